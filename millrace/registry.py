@@ -5,12 +5,103 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.operators import marts
-from millrace.sources.fixtures import customers, orders, products
+from millrace.functions.numeric import rounded
+from millrace.operators import cleaning, features, marts, quality, sensors
+from millrace.plans.etl import clean_orders
+from millrace.session import new_folder, shared_folder
+from millrace.sources import tables
+from millrace.sources.fixtures import (
+    customers, mart, mart_with_gaps, orders, orders_dirty, products, sensor,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The view's markets take the places of the five markets the base rates were set for.
+MARKET_BASE = {"AFRICA": 0.72, "AMERICA": 0.64, "ASIA": 0.59, "EUROPE": 0.52}
+MONEY = ["sales", "benefit_per_order", "sales_per_customer"]
+
+
+def _digits(df: DataFrame, cols: list[str], places: int = 6) -> DataFrame:
+    """Round floats that come from interpolation, sums or roots for comparison."""
+    return df.withColumns({c: rounded(F.col(c), places) for c in cols})
+
+
+def _clean(s: SparkSession, d: str) -> DataFrame:
+    return _digits(clean_orders(mart_with_gaps(s, d)), MONEY)
+
+
+def _saved_mart(s: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The mart after a round trip through parquet."""
+    folder, whole = new_folder(s, "mart"), mart(s, d)
+    for name, df in whole.items():
+        tables.write_table(df, f"{folder}/{name}")
+    return tables.load_mart(s, folder, {name: df.schema for name, df in whole.items()})
+
+
+def _sink_tables(s: SparkSession, d: str) -> DataFrame:
+    """Replace the mart's tables twice and count what is stored."""
+    whole = mart(s, d)
+    s.sql(f"create database if not exists millrace_mart location '{shared_folder(s)}/millrace_mart'")
+    folder = new_folder(s, "tables")
+    tables.save_mart(whole, folder, "millrace_mart")
+    return quality.row_counts({n: s.table(f"millrace_mart.{n}") for n in whole})
+
+
+def _features_csv(s: SparkSession, d: str) -> DataFrame:
+    path = new_folder(s, "features_csv")
+    ready = features.ml_features(_clean(s, d))
+    tables.write_csv(ready, path)
+    return tables.read_csv(s, path, ready.schema)
+
+
+def _sensor_csv(s: SparkSession, d: str) -> DataFrame:
+    path = new_folder(s, "sensor_csv")
+    labelled = sensors.label_failures(sensor(s, d))
+    tables.write_csv(labelled.select(*tables.SENSOR.names), path)
+    return tables.read_sensor(s, path)
+
+
+def _sources() -> dict[str, Query]:
+    return {
+        "src_orders_mart": lambda s, d: _saved_mart(s, d)["orders"],
+        "src_extract": lambda s, d: cleaning.extract(
+            mart_with_gaps(s, d)["orders"], customers(s, d), products(s, d)),
+        "src_features_csv": _features_csv,
+        "src_sensor_csv": _sensor_csv,
+        "sink_tables": _sink_tables,
+        "sink_flat": lambda s, d: tables.write_table(
+            tables.flat_export(orders(s, d), customers(s, d), products(s, d)),
+            new_folder(s, "flat")),
+        "sink_clean": lambda s, d: tables.write_table(_clean(s, d), new_folder(s, "clean")),
+        "sink_ml": lambda s, d: tables.write_table(
+            features.ml_features(_clean(s, d)), new_folder(s, "ml")),
+        "sink_dash": lambda s, d: tables.write_table(
+            features.dashboard_view(_clean(s, d)), new_folder(s, "dash")),
+        "sink_health": lambda s, d: tables.write_health(
+            sensors.machine_health(sensor(s, d)), new_folder(s, "health")),
+    }
+
+
+def _quality() -> dict[str, Query]:
+    return {
+        "dq_row_counts": lambda s, d: quality.row_counts(mart(s, d)),
+        "dq_null_audit": lambda s, d: quality.null_audit(mart_with_gaps(s, d)["orders"]),
+        "dq_orphan_customers": lambda s, d: quality.orphans(
+            orders(s, d), customers(s, d).where(F.col("customer_id") % 50 != 0), "customer_id",
+            "orphan_orders"),
+        "dq_orphan_products": lambda s, d: quality.orphans(
+            orders(s, d), products(s, d), "product_id", "orphan_order_items"),
+        "dq_sample": lambda s, d: quality.sample(orders(s, d), customers(s, d), products(s, d)),
+        "dq_status_dist": lambda s, d: quality.share_by(orders(s, d), "delivery_status"),
+        "dq_class_dist": lambda s, d: quality.class_shares(
+            cleaning.not_canceled(orders(s, d)), "late_delivery_risk"),
+        "dq_missing_total": lambda s, d: quality.missing_cells(
+            cleaning.parse_timestamps(orders_dirty(s, d), ["order_date_text"])),
+        "dq_summary": lambda s, d: quality.etl_summary(_clean(s, d)),
+    }
+
 
 def _marts() -> dict[str, Query]:
     return {
@@ -26,5 +117,120 @@ def _marts() -> dict[str, Query]:
     }
 
 
+def _cleaning() -> dict[str, Query]:
+    numeric = ["order_id", "customer_id", "product_id", *MONEY, "late_delivery_risk"]
+    line = ["l_orderkey", "l_linenumber"]
+    return {
+        "clean_dedup": lambda s, d: cleaning.dedup(
+            s.read.parquet(f"{d}/lineitem.parquet").select(
+                *line, "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"),
+            line, ["l_partkey", "l_suppkey", "l_extendedprice"]),
+        "clean_parse_dates": lambda s, d: cleaning.parse_timestamps(
+            orders_dirty(s, d), ["order_date_text"]).select("order_item_id", "order_date_text"),
+        "clean_fill_median": lambda s, d: cleaning.fill_median(
+            orders_dirty(s, d), numeric).select("order_item_id", *numeric),
+        "clean_fill_mode": lambda s, d: cleaning.fill_mode(
+            orders_dirty(s, d), ["payment_type", "order_status", "market"]).select(
+            "order_item_id", "payment_type", "order_status", "market"),
+        "clean_abs_sales": lambda s, d: cleaning.abs_fix(
+            orders_dirty(s, d), "sales").select("order_item_id", "sales"),
+        "clean_negative_count": lambda s, d: cleaning.negative_count(orders_dirty(s, d), "sales"),
+        "clean_clip_p99": lambda s, d: _digits(
+            cleaning.clip_upper(orders(s, d), MONEY), MONEY).select("order_item_id", *MONEY),
+        "filter_not_canceled": lambda s, d: cleaning.not_canceled(orders(s, d)).select(
+            "order_item_id", "order_status"),
+        "filter_late": lambda s, d: cleaning.late_only(orders(s, d)).select(
+            "order_item_id", "late_delivery_risk"),
+        "sensor_clip": lambda s, d: sensors.clip_ranges(sensor(s, d)).select(
+            "machine_id", "event_id", *sensors.CHANNELS),
+        "delivery_status": lambda s, d: orders(s, d).select(
+            "order_item_id",
+            cleaning.delivery_status(
+                F.col("order_status"), F.col("late_delivery_risk"),
+                F.col("days_for_shipment_scheduled"), F.col("days_for_shipping_real"),
+            ).alias("delivery_status")),
+        "prior_late_prob": lambda s, d: orders(s, d).select(
+            "order_item_id",
+            rounded(cleaning.prior_late_probability(
+                F.col("market"), F.col("shipping_mode"), MARKET_BASE), 6,
+            ).alias("prior_probability")),
+    }
+
+
+def _features() -> dict[str, Query]:
+    def one(step, *out: str, source=orders) -> Query:
+        return lambda s, d: step(source(s, d)).select("order_item_id", *out)
+
+    def parsed(s: SparkSession, d: str) -> DataFrame:
+        return cleaning.parse_timestamps(orders_dirty(s, d), ["order_date_text"])
+
+    def risk(key: str) -> Query:
+        out = features.RISK_KEYS[key]
+        return lambda s, d: features.target_mean(
+            cleaning.not_canceled(orders(s, d)).select("order_item_id", key, "late_delivery_risk"),
+            key, out).select("order_item_id", key, out)
+
+    return {
+        "fe_delay_days": one(features.delay_days, "shipping_delay_days"),
+        "fe_calendar": one(
+            features.calendar, "order_hour", "order_day_of_week", "order_month", "order_year"),
+        "fe_weekend": one(
+            lambda df: features.weekend(df, "order_date_text"), "is_weekend_order", source=parsed),
+        "fe_revenue_per_unit": one(
+            features.revenue_per_unit, "revenue_per_unit",
+            source=lambda s, d: mart_with_gaps(s, d)["orders"]),
+        "fe_has_discount": one(features.has_discount, "has_discount"),
+        "fe_is_profitable": one(features.is_profitable, "is_profitable"),
+        "fe_sched_bin": one(features.scheduled_bin, "scheduled_days_bin"),
+        "fe_market_risk": risk("market"),
+        "fe_region_risk": risk("order_region"),
+        "fe_mode_risk": risk("shipping_mode"),
+        "fe_lookup_risk": one(features.lookup_risk, *features.RISK_KEYS.values()),
+        "fe_incoming_order": lambda s, d: features.incoming_orders(
+            cleaning.extract(mart_with_gaps(s, d)["orders"], customers(s, d), products(s, d)),
+            ["order_item_id"]),
+    }
+
+
+def _sequence_sums(s: SparkSession, d: str) -> DataFrame:
+    """Length and channel sums of every sequence."""
+    made = sensors.sequences(sensors.label_failures(sensor(s, d)))
+
+    def total(i: int):
+        return F.aggregate("sequence", F.lit(0.0), lambda acc, step: acc + step[i])
+
+    return made.select(
+        "machine_id", "event_id", "failure_in_24h", F.size("sequence").alias("steps"),
+        *[rounded(total(i), 4).alias(f"sum_{c}") for i, c in enumerate(sensors.CHANNELS)])
+
+
+def _sensors() -> dict[str, Query]:
+    def scores(s: SparkSession, d: str) -> DataFrame:
+        return sensors.health_scores(sensor(s, d))
+
+    return {
+        "ts_failure_label": lambda s, d: sensors.label_failures(sensor(s, d)).select(
+            "machine_id", "event_id", "is_failure", "failure_in_24h"),
+        "ts_minmax": lambda s, d: _digits(
+            sensors.minmax(sensor(s, d)), sensors.CHANNELS).select(
+            "machine_id", "event_id", *sensors.CHANNELS),
+        "ts_sequences": _sequence_sums,
+        "ts_window_features": lambda s, d: _digits(
+            sensors.window_features(sensor(s, d)), sensors.WINDOW_FEATURES, 4).select(
+            "machine_id", "event_id", *sensors.WINDOW_FEATURES),
+        "ts_latest_window": lambda s, d: sensors.latest_window(sensor(s, d)).select(
+            "machine_id", "event_id", "reading_ts", "age"),
+        "ts_health_zscore": lambda s, d: _digits(
+            scores(s, d), ["probability"]).select("machine_id", "probability"),
+        "ts_rul": lambda s, d: scores(s, d).select(
+            "machine_id", sensors.rul_hours(F.col("probability")).alias("rul_hours")),
+        "ts_severity": lambda s, d: scores(s, d).select(
+            "machine_id", sensors.severity(F.col("probability")).alias("severity")),
+        "ts_health_table": lambda s, d: sensors.machine_health(sensor(s, d)),
+    }
+
+
 def queries() -> dict[str, Query]:
-    return {**_marts()}
+    return {
+        **_sources(), **_quality(), **_marts(), **_cleaning(), **_features(), **_sensors(),
+    }

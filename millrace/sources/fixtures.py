@@ -79,6 +79,27 @@ SELECT order_id, order_item_id, customer_id, product_id,
 FROM {sc_orders}
 """
 
+# The whole order table with missing payment types and missing or negative sales.
+ORDERS_WITH_GAPS = """
+SELECT order_id, order_item_id, customer_id, product_id, order_date, shipping_date, shipping_mode,
+  order_status, delivery_status, late_delivery_risk, days_for_shipping_real,
+  days_for_shipment_scheduled, order_item_quantity, order_item_discount_rate,
+  order_item_product_price, order_item_profit_ratio,
+  CASE WHEN product_id % 97 = 0 THEN NULL WHEN product_id % 101 = 0 THEN -sales ELSE sales END AS sales,
+  benefit_per_order, sales_per_customer, order_region, order_country, market,
+  CASE WHEN product_id % 89 = 0 THEN NULL ELSE type END AS type
+FROM {sc_orders}
+"""
+
+# A fixed score in place of a model's, so that evaluation and briefing have repeatable input.
+SCORED = """
+SELECT order_item_id, order_region, late_delivery_risk AS label,
+  CAST(sales AS DOUBLE) / (CAST(sales AS DOUBLE) + 3e4) AS score,
+  CASE WHEN CAST(sales AS DOUBLE) / (CAST(sales AS DOUBLE) + 3e4) >= 5e-1 THEN 1 ELSE 0 END AS prediction,
+  CASE WHEN CAST(sales AS DOUBLE) / (CAST(sales AS DOUBLE) + 3e4) >= 5e-1 THEN 1 ELSE 0 END AS predicted_late
+FROM {sc_orders}
+"""
+
 SENSOR = """
 SELECT user_id AS machine_id, event_id, ts AS reading_ts, value AS temperature,
   CAST({k} AS DOUBLE) / 1e2 AS vibration, 1e2 + CAST({k} AS DOUBLE) / 1e1 AS pressure,
@@ -129,3 +150,13 @@ def sensor(spark: SparkSession, root: str) -> DataFrame:
     return spark.sql(
         SENSOR.replace("{k}", SENSOR_KEY["spark"]), events=_table(spark, root, "events")
     )
+
+
+def mart_with_gaps(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    whole = mart(spark, root)
+    whole["orders"] = spark.sql(ORDERS_WITH_GAPS, sc_orders=whole["orders"])
+    return whole
+
+
+def scored(spark: SparkSession, root: str) -> DataFrame:
+    return spark.sql(SCORED, sc_orders=orders(spark, root))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ("marts",)
+PARTS = ("tables", "marts")
 
 
 def statements() -> dict[str, str]:
