@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from math import ceil, floor
+
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.lookup import scalar
+from millrace.functions.lookup import mapped
 
 SKETCH_ACCURACY = 10_000
 # Ten times the sketch's own rank error, so the wanted rank is inside the band.
@@ -14,84 +16,85 @@ BAND = 10 / SKETCH_ACCURACY
 BAND_CELLS = 4_096
 
 
-def quantiles(df: DataFrame, wanted: dict[str, float]) -> DataFrame:
-    """One row with the linearly interpolated quantile of each named column.
+def quantiles(df: DataFrame, wanted: dict[str, float]) -> dict[str, float | None]:
+    """Exact, linearly interpolated quantile of each named column; None for an empty column.
 
-    A sketch brackets each quantile within a narrow band. The second pass counts what lies
-    below and above the bracket, so only distinct values inside the band are shuffled, and the
-    wanted rank is looked up in the one cell of the band that holds it.
+    A sketch brackets each quantile within a narrow band (two numbers per column). The second
+    pass counts what lies below and above the bracket, so only distinct values inside the band
+    are shuffled, and the wanted rank is looked up in the one cell of the band that holds it.
     """
-    names = list(wanted)
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in names])
-    brackets = scalar(values.agg(*[
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in wanted])
+    sketch = values.agg(*[
         F.struct(
-            F.percentile_approx(
-                c, [max(wanted[c] - BAND, 0.0), min(wanted[c] + BAND, 1.0)], SKETCH_ACCURACY
-            ).alias("at"),
+            F.percentile_approx(c, [max(p - BAND, 0.0), min(p + BAND, 1.0)], SKETCH_ACCURACY)
+            .alias("at"),
             F.count(c).alias("n"),
         ).alias(c)
-        for c in names
-    ]))
-    entries = [
-        F.struct(
-            F.lit(c).alias("name"), F.col(c).alias("v"), brackets[c]["n"].alias("total"),
-            F.element_at(brackets[c]["at"], 1).alias("lo"),
-            F.element_at(brackets[c]["at"], 2).alias("hi"),
-            ((brackets[c]["n"] - 1) * F.lit(wanted[c])).alias("pos"),
+        for c, p in wanted.items()
+    ]).first()
+    names = [c for c in wanted if sketch[c]["n"]]
+    if not names:
+        return dict.fromkeys(wanted)
+    position = {c: (sketch[c]["n"] - 1) * wanted[c] for c in names}
+
+    def entry(c: str) -> Column:
+        low, high = sketch[c]["at"]
+        v = F.col(c)
+        # side: -1 below the bracket, 0 inside, 1 above
+        side = F.when(v < low, -1).when(v > high, 1).when(v.isNotNull(), 0)
+        share = (v - low) / (high - low) if high > low else F.lit(0.0)
+        inside = v.between(low, high)
+        return F.struct(
+            F.lit(c).alias("name"), side.alias("side"),
+            F.when(inside, F.floor(share * BAND_CELLS)).otherwise(0).alias("cell"),
+            F.when(inside, v).alias("key"), v.alias("v"),
         )
-        for c in names
-    ]
-    long = values.select(F.inline(F.array(*entries))).where("v is not null")
-    # side: -1 below the bracket, 0 inside, 1 above
-    side = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0)
-    width = F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-    cell = F.floor(F.coalesce((F.col("v") - F.col("lo")) / width, F.lit(0.0)) * BAND_CELLS)
+
     tally = (
-        long.withColumn("side", side)
-        .withColumn("cell", F.when(F.col("side") == 0, cell).otherwise(0))
-        .groupBy("name", "pos", "side", "cell", F.when(F.col("side") == 0, F.col("v")).alias("key"))
+        values.select(F.inline(F.array(*[entry(c) for c in names]))).where("side is not null")
+        .groupBy("name", "side", "cell", "key")
         .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
     cells = tally.groupBy("name", "side", "cell").agg(F.sum("n").alias("n"))
-    in_order = Window.partitionBy("name").orderBy("side", "cell")
-    cells = cells.select(
-        "name", "side", "cell", (F.sum("n").over(in_order) - F.col("n")).alias("before"),
-        F.sum("n").over(in_order).alias("upto"),
-    )
-    steps = tally.join(cells, ["name", "side", "cell"]).where(
-        (F.col("before") <= F.floor("pos") + 1) & (F.col("upto") > F.floor("pos"))
-    )
+    upto = F.sum("n").over(Window.partitionBy("name").orderBy("side", "cell"))
+    cells = cells.select("name", "side", "cell", (upto - F.col("n")).alias("before"), upto.alias("upto"))
+    first_rank = mapped(F.col("name"), {c: float(floor(position[c])) for c in names}, None)
+    cells = cells.where((F.col("before") <= first_rank + 1) & (F.col("upto") > first_rank))
     within = Window.partitionBy("name", "side", "cell").orderBy("key")
     last = F.col("before") + F.sum("n").over(within)
-    steps = steps.select("name", "pos", "side", "low", "high", "n", last.alias("last"))
+    steps = tally.join(cells, ["name", "side", "cell"]).select(
+        "name", "side", "low", "high", "n", last.alias("last")
+    )
 
-    def at(rank):
+    def at(rank: Column) -> Column:
         """Value at a zero-based rank: known inside the bracket and at its two outer edges."""
         inside = (rank >= F.col("last") - F.col("n")) & (rank < F.col("last"))
-        edge = (
+        value = (
             F.when(F.col("side") == 0, F.col("low"))
             .when((F.col("side") == -1) & (rank == F.col("last") - 1), F.col("high"))
             .when((F.col("side") == 1) & (rank == F.col("last") - F.col("n")), F.col("low"))
             .otherwise(F.raise_error(F.lit("quantile lies outside its bracket")).cast("double"))
         )
-        return F.max(F.when(inside, edge))
+        return F.max(F.when(inside, value))
 
-    low_rank, high_rank = F.floor("pos"), F.ceil("pos")
-    found = steps.groupBy("name", "pos").agg(at(low_rank).alias("a"), at(high_rank).alias("b"))
-    share = F.col("pos") - F.floor("pos")
-    found = found.select("name", (F.col("a") + (F.col("b") - F.col("a")) * share).alias("q"))
-    return found.agg(*[F.max(F.when(F.col("name") == c, F.col("q"))).alias(c) for c in names])
+    second_rank = mapped(F.col("name"), {c: float(ceil(position[c])) for c in names}, None)
+    found = steps.groupBy("name").agg(at(first_rank).alias("a"), at(second_rank).alias("b"))
+    out: dict[str, float | None] = dict.fromkeys(wanted)
+    for row in found.collect():
+        share = position[row["name"]] - floor(position[row["name"]])
+        out[row["name"]] = row["a"] + (row["b"] - row["a"]) * share
+    return out
 
 
-def modes(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row with the most frequent value of each column, the smallest one on ties."""
+def modes(df: DataFrame, cols: list[str]) -> dict[str, str | None]:
+    """Most frequent value of each column, the smallest one on ties; None for an empty column."""
     entries = [F.struct(F.lit(c).alias("name"), F.col(c).alias("v")) for c in cols]
     counts = (
         df.select(F.inline(F.array(*entries))).where("v is not null")
         .groupBy("name", "v").agg(F.count("*").alias("n"))
     )
     best = counts.groupBy("name").agg(F.min(F.struct(-F.col("n"), "v"))["v"].alias("v"))
-    return best.agg(*[F.max(F.when(F.col("name") == c, F.col("v"))).alias(c) for c in cols])
+    return dict.fromkeys(cols) | {row["name"]: row["v"] for row in best.collect()}
 
 
 def rank_among(few: DataFrame, population: DataFrame, value: str, out: str,

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.lookup import mapped, scalar
+from millrace.functions.lookup import mapped
 from millrace.functions.numeric import clamp
 from millrace.functions.stats import modes, quantiles
 
@@ -65,16 +65,40 @@ def parse_timestamps(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast("timestamp_ntz") for c in cols})
 
 
+def with_gaps(df: DataFrame, cols: list[str]) -> list[str]:
+    """Those of the columns that have a missing value."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    return [c for c in cols if counts[c]]
+
+
+def _medians(df: DataFrame, cols: list[str]) -> dict[str, float]:
+    gaps = with_gaps(df, cols)
+    found = quantiles(df, dict.fromkeys(gaps, 0.5)) if gaps else {}
+    return {c: v for c, v in found.items() if v is not None}
+
+
+def _modes(df: DataFrame, cols: list[str]) -> dict[str, str]:
+    gaps = with_gaps(df, cols)
+    found = modes(df, gaps) if gaps else {}
+    return {c: v for c, v in found.items() if v is not None}
+
+
+def _fill(df: DataFrame, values: dict) -> DataFrame:
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items()})
+
+
+def as_double(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
 def fill_median(df: DataFrame, cols: list[str]) -> DataFrame:
     """Fill missing numbers with the exact median of their column."""
-    centre = scalar(quantiles(df, dict.fromkeys(cols, 0.5)))
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), centre[c]) for c in cols})
+    return _fill(as_double(df, cols), _medians(df, cols))
 
 
 def fill_mode(df: DataFrame, cols: list[str]) -> DataFrame:
     """Fill missing text with the most frequent value of its column."""
-    usual = scalar(modes(df, cols))
-    return df.withColumns({c: F.coalesce(F.col(c), usual[c]) for c in cols})
+    return _fill(df, _modes(df, cols))
 
 
 def abs_fix(df: DataFrame, column: str) -> DataFrame:
@@ -85,14 +109,19 @@ def negative_count(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.count_if(F.col(column) < 0).alias("negative"))
 
 
-def clip_upper(df: DataFrame, cols: list[str], p: float = 0.99) -> DataFrame:
-    """Cap columns at their own p-quantile; missing values stay missing."""
-    caps = scalar(quantiles(df, dict.fromkeys(cols, p)))
+def cap(df: DataFrame, caps: dict[str, float]) -> DataFrame:
+    """Lower larger values to a fixed cap per column; missing values stay missing."""
     return df.withColumns({
-        c: F.when(F.col(c).isNotNull(), F.least(F.col(c).cast("double"), caps[c])) for c in cols
+        c: F.when(F.col(c).isNotNull(), F.least(F.col(c), F.lit(v))) for c, v in caps.items()
     })
 
 
+def clip_upper(df: DataFrame, cols: list[str], p: float = 0.99) -> DataFrame:
+    """Cap columns at their own exact p-quantile."""
+    caps = quantiles(df, dict.fromkeys(cols, p))
+    return cap(as_double(df, cols), {c: v for c, v in caps.items() if v is not None})
+
+
 def delivery_status(status: Column, risk: Column, scheduled: Column, actual: Column) -> Column:
     return (
         F.when(status == "CANCELED", "Shipping canceled")
@@ -111,35 +140,25 @@ def prior_late_probability(market: Column, mode: Column,
 
 @dataclass(frozen=True)
 class CleaningRules:
-    """Values learnt from one table: one number or text per column."""
+    """What cleaning learnt from one table: one number or text per column."""
 
-    medians: dict[str, float]
-    modes: dict[str, str]
+    numeric: list[str]
+    fills: dict[str, float | str]
     caps: dict[str, float]
 
 
-def _filled(df: DataFrame, medians: dict, usual: dict) -> DataFrame:
-    values = {c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in medians.items()}
-    values |= {c: F.coalesce(F.col(c), F.lit(v)) for c, v in usual.items()}
-    return abs_fix(df.withColumns(values), "sales")
-
-
-def _known(one_row: DataFrame) -> dict:
-    return {k: v for k, v in one_row.first().asDict().items() if v is not None}
+def _filled(df: DataFrame, numeric: list[str], fills: dict[str, float | str]) -> DataFrame:
+    return abs_fix(_fill(as_double(df, numeric), fills), "sales")
 
 
 def fit_cleaning(df: DataFrame, numeric: list[str], text: list[str], money: list[str] = MONEY,
                  p: float = 0.99) -> CleaningRules:
     """Learn fills and caps; the caps hold for the filled, non-negative amounts."""
-    medians = _known(quantiles(df, dict.fromkeys(numeric, 0.5)))
-    usual = _known(modes(df, text))
-    caps = _known(quantiles(_filled(df, medians, usual), dict.fromkeys(money, p)))
-    return CleaningRules(medians, usual, caps)
+    fills = {**_medians(df, numeric), **_modes(df, text)}
+    caps = quantiles(_filled(df, numeric, fills), dict.fromkeys(money, p))
+    return CleaningRules(numeric, fills, {c: v for c, v in caps.items() if v is not None})
 
 
 def apply_cleaning(df: DataFrame, rules: CleaningRules) -> DataFrame:
     """Fill, make sales positive and cap; a pure projection."""
-    filled = _filled(df, rules.medians, rules.modes)
-    return filled.withColumns({
-        c: F.when(F.col(c).isNotNull(), F.least(F.col(c), F.lit(v))) for c, v in rules.caps.items()
-    })
+    return cap(_filled(df, rules.numeric, rules.fills), rules.caps)

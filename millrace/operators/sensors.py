@@ -60,16 +60,14 @@ def label_failures(df: DataFrame, horizon_hours: int = HORIZON_HOURS, event: str
 def minmax(df: DataFrame, cols: list[str] = CHANNELS, fit_on: DataFrame | None = None) -> DataFrame:
     """Scale columns to 0..1 by their global extremes; a constant column becomes 0."""
     source = df if fit_on is None else fit_on
-    ends = scalar(source.agg(
-        *[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]
-    ))
+    ends = source.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in cols])
 
     def scaled(c: str) -> Column:
-        width = F.nullif(ends[f"hi_{c}"] - ends[f"lo_{c}"], F.lit(0.0))
-        share = F.coalesce((F.col(c) - ends[f"lo_{c}"]) / width, F.lit(0.0))
+        low, high = F.col("ends")[c]["lo"], F.col("ends")[c]["hi"]
+        share = F.coalesce((F.col(c) - low) / F.nullif(high - low, F.lit(0.0)), F.lit(0.0))
         return F.when(F.col(c).isNotNull(), share)
 
-    return df.withColumns({c: scaled(c) for c in cols})
+    return df.withColumn("ends", scalar(ends)).withColumns({c: scaled(c) for c in cols}).drop("ends")
 
 
 def numbered(df: DataFrame) -> DataFrame:
