@@ -137,9 +137,9 @@ def incoming_orders(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return ready.select(*(keep or []), *FEATURES)
 
 
-def ml_features(df: DataFrame) -> DataFrame:
-    """Features and target, complete rows only."""
-    return df.select(*FEATURES, TARGET).dropna(how="any")
+def ml_features(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Features and target, complete rows only; ``keep`` adds identifying columns."""
+    return df.select(*(keep or []), *FEATURES, TARGET).dropna(how="any", subset=[*FEATURES, TARGET])
 
 
 def dashboard_view(df: DataFrame) -> DataFrame:

@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.numeric import rounded
-from millrace.operators import cleaning, features, marts, quality, sensors
+from millrace.functions.lookup import attach
+from millrace.functions.numeric import percent, rounded
+from millrace.operators import (
+    briefing, cleaning, evaluation, features, marts, model, quality, sensors,
+)
+from millrace.operators.oversample import oversample
+from millrace.plans.delay_model import train_delay_model, training_rows
 from millrace.plans.etl import clean_orders
+from millrace.plans.maintenance import score_failures, train_failure_model
 from millrace.session import new_folder, shared_folder
 from millrace.sources import tables
 from millrace.sources.fixtures import (
-    customers, mart, mart_with_gaps, orders, orders_dirty, products, sensor,
+    customers, mart, mart_with_gaps, orders, orders_dirty, products, scored, sensor,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -230,7 +237,187 @@ def _sensors() -> dict[str, Query]:
     }
 
 
+def _evaluation() -> dict[str, Query]:
+    def rounded_floats(df: DataFrame) -> DataFrame:
+        doubles = [f.name for f in df.schema if f.dataType.simpleString() == "double"]
+        return _digits(df, [c for c in doubles if c != "threshold"], 8)
+
+    def metrics(s: SparkSession, d: str) -> DataFrame:
+        rows = scored(s, d)
+        ratios = evaluation.metric_rows(evaluation.binary_metrics(rows))
+        return ratios.unionAll(evaluation.metric_rows(evaluation.auc(rows)))
+
+    return {
+        "sink_metrics": lambda s, d: tables.write_table(
+            rounded_floats(metrics(s, d)), new_folder(s, "metrics")),
+        "ev_confusion": lambda s, d: evaluation.confusion(scored(s, d)),
+        "ev_scores": lambda s, d: rounded_floats(evaluation.binary_metrics(scored(s, d))),
+        "ev_auc": lambda s, d: rounded_floats(evaluation.auc(scored(s, d))),
+        "ev_report": lambda s, d: rounded_floats(evaluation.classification_report(scored(s, d))),
+        "ev_roc": lambda s, d: rounded_floats(evaluation.roc_points(scored(s, d))),
+    }
+
+
+def _split(s: SparkSession, d: str) -> DataFrame:
+    rows = cleaning.not_canceled(orders(s, d)).select("order_item_id", "late_delivery_risk")
+    return model.stratified_split(rows)
+
+
+def _prepared(s: SparkSession, d: str) -> DataFrame:
+    """Feature vectors of the training rows."""
+    train = training_rows(clean_orders(mart(s, d))).where("split = 'train'")
+    fitted = model.fit_preprocessing(train)
+    return fitted.transform(train).select("order_item_id", "late_delivery_risk", "features")
+
+
+def _trained(s: SparkSession, d: str, rounds: int = 20):
+    """Cleaned orders and a model fitted on them with few rounds."""
+    clean = clean_orders(mart(s, d))
+    return clean, train_delay_model(clean, rounds=rounds)
+
+
+def _predictions(s: SparkSession, d: str) -> DataFrame:
+    clean, fitted = _trained(s, d)
+    return model.score_orders(fitted.pipeline, features.dashboard_view(clean))
+
+
+def _oversampled(s: SparkSession, d: str) -> DataFrame:
+    """Rows and new rows per class after balancing."""
+    rows = oversample(_prepared(s, d), "late_delivery_risk")
+    return rows.groupBy("late_delivery_risk").agg(
+        F.count("*").alias("n"), F.count("parent").alias("added"))
+
+
+def _risk_radar(s: SparkSession, d: str) -> DataFrame:
+    rates = marts.region_late_rates(orders(s, d))
+    return attach(_predictions(s, d), rates, "order_region").where(
+        F.col("delay_probability") > model.HIGH_ABOVE)
+
+
+def _importance(s: SparkSession, d: str) -> DataFrame:
+    clean, fitted = _trained(s, d)
+    return model.feature_importance(fitted.pipeline, clean)
+
+
+def _failure_report(s: SparkSession, d: str) -> DataFrame:
+    fitted = train_failure_model(sensor(s, d), rounds=10)
+    report = fitted.report()
+    return report.join(fitted.auc(), F.col("class") == "accuracy", "left")
+
+
+def _failure_scores(s: SparkSession, d: str) -> DataFrame:
+    readings = sensor(s, d)
+    return score_failures(train_failure_model(readings, rounds=10), readings)
+
+
+def _model() -> dict[str, Query]:
+    numeric = ["days_for_shipment_scheduled", "order_item_quantity", "order_item_discount_rate",
+               "order_item_product_price"]
+    text = ["shipping_mode", "order_region", "market", "type"]
+
+    def gaps(s: SparkSession, d: str) -> DataFrame:
+        return mart_with_gaps(s, d)["orders"]
+
+    def labelled(s: SparkSession, d: str) -> DataFrame:
+        label = model.risk_label(F.col("score")).alias("risk_label")
+        return scored(s, d).select(label).groupBy("risk_label").agg(F.count("*").alias("n"))
+
+    def advised(s: SparkSession, d: str) -> DataFrame:
+        level = model.risk_level(F.col("score"))
+        return scored(s, d).select(
+            "order_item_id", level.alias("risk_level"), model.advice(level).alias("message"))
+
+    return {
+        "ml_split": _split,
+        "ev_base_rates": lambda s, d: evaluation.late_rate_by_split(
+            _split(s, d), label="late_delivery_risk"),
+        "ml_impute_num": lambda s, d: cleaning.fill_median(gaps(s, d), ["sales"]).select(
+            "order_item_id", "sales"),
+        "ml_impute_cat": lambda s, d: cleaning.fill_mode(gaps(s, d), ["type"]).select(
+            "order_item_id", "type"),
+        "ml_scale": lambda s, d: _digits(
+            model.standard_scale(orders(s, d), numeric), numeric).select("order_item_id", *numeric),
+        "ml_encode": lambda s, d: model.ordinal_encode(
+            orders(s, d).select("order_item_id", *text), text).select(
+            "order_item_id", *[f"{c}_code" for c in text]),
+        "ml_assemble": lambda s, d: _prepared(s, d).select(
+            "order_item_id", vector_to_array("features").alias("features")),
+        "ml_class_weight": lambda s, d: model.class_weight(_split(s, d).where("split = 'train'")),
+        "ml_oversample": _oversampled,
+        "ml_train": lambda s, d: _trained(s, d)[1].metrics(),
+        "ml_score": _predictions,
+        "ml_risk_label": labelled,
+        "ml_advice": advised,
+        "ml_factor_flags": lambda s, d: _digits(model.risk_factors(_clean(s, d)), ["score"]),
+        "ev_importance": _importance,
+        "sink_predictions": lambda s, d: tables.write_table(
+            _predictions(s, d), new_folder(s, "predictions")),
+        "ts_failure_train": _failure_report,
+        "ts_failure_score": _failure_scores,
+    }
+
+
+AS_OF = "2024-07-01 06:30:00"
+
+
+def _monthly_reports(s: SparkSession, d: str) -> DataFrame:
+    """Write one report per order month and list the newest twenty."""
+    month = F.date_trunc("month", F.col("order_date"))
+    late = F.sum("late_delivery_risk")
+    reports = orders(s, d).groupBy(month.alias("month")).agg(
+        percent(late, F.count("*")).alias("overall_risk_score"), late.alias("total_alerts"))
+    folder = new_folder(s, "reports")
+    tables.write_briefings(reports.select(
+        F.concat(F.lit("briefing_"), F.date_format("month", "yyyyMMdd"), F.lit("_0000.json"))
+        .alias("report_name"),
+        F.date_format("month", "EEEE, dd MMMM yyyy").alias("date"), "overall_risk_score",
+        "total_alerts",
+    ), folder)
+    return tables.list_reports(s, folder).drop("path")
+
+
+def _stored_briefing(s: SparkSession, d: str) -> DataFrame:
+    folder = new_folder(s, "briefings")
+    made = briefing.daily_briefing(sensors.machine_health(sensor(s, d)), scored(s, d), AS_OF)
+    tables.write_briefings(
+        made.withColumn("report_name", F.lit("briefing_20240701_0630.json")), folder)
+    return s.read.schema(made.schema).json(folder).select(*made.columns)
+
+
+def _briefing() -> dict[str, Query]:
+    def health(s: SparkSession, d: str) -> DataFrame:
+        return sensors.machine_health(sensor(s, d))
+
+    def supply_status(s: SparkSession, d: str) -> DataFrame:
+        stats = briefing.delay_stats(scored(s, d), by="order_region")
+        return stats.select(
+            "order_region", briefing.supply_status(F.col("delay_rate")).alias("supply_status"))
+
+    def daily(s: SparkSession, d: str) -> DataFrame:
+        return briefing.daily_briefing(health(s, d), scored(s, d), AS_OF)
+
+    return {
+        "br_fleet_stats": lambda s, d: briefing.fleet_stats(health(s, d)),
+        "br_delay_stats": lambda s, d: briefing.delay_stats(scored(s, d), by="order_region"),
+        "br_top_regions": lambda s, d: briefing.top_regions(scored(s, d)),
+        "br_fleet_status": lambda s, d: briefing.fleet_stats(health(s, d)).select(
+            briefing.fleet_status(F.col("critical")).alias("fleet_status")),
+        "br_supply_status": supply_status,
+        "br_overall_risk": lambda s, d: briefing.overall_risk(health(s, d), scored(s, d)),
+        "br_alerts": lambda s, d: briefing.alert_count(health(s, d), scored(s, d)),
+        "br_headline": lambda s, d: daily(s, d).select("executive_headline"),
+        "br_maintenance_text": lambda s, d: briefing.maintenance_text(
+            briefing.fleet_stats(health(s, d)), AS_OF).select("maintenance_summary"),
+        "br_supply_text": lambda s, d: briefing.supply_text(
+            briefing.supply_stats(scored(s, d))).select("supply_chain_summary"),
+        "br_daily": daily,
+        "sink_briefing": _stored_briefing,
+        "src_reports": _monthly_reports,
+    }
+
+
 def queries() -> dict[str, Query]:
     return {
         **_sources(), **_quality(), **_marts(), **_cleaning(), **_features(), **_sensors(),
+        **_evaluation(), **_model(), **_briefing(),
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ("tables", "marts")
+PARTS = ("tables", "marts", "reports")
 
 
 def statements() -> dict[str, str]:
