@@ -18,6 +18,10 @@ TEXT_COLUMNS = [
     "shipping_mode", "order_status", "delivery_status", "order_region", "order_country", "market",
     "payment_type", "customer_segment", "customer_country", "category_name", "department_name",
 ]
+# Order of the copies of one item; the first is kept.
+FIRST_SEEN = [
+    "order_date", "order_id", "order_item_quantity", "sales_per_customer", "benefit_per_order",
+]
 
 
 def clean_orders(mart: dict[str, DataFrame]) -> DataFrame:
@@ -27,6 +31,6 @@ def clean_orders(mart: dict[str, DataFrame]) -> DataFrame:
     learnt from narrow passes over that table; applying them is a projection of the same table.
     """
     items = extract(mart["orders"], mart["customers"], mart["products"])
-    items = staged(dedup(items, ["order_item_id"], ["order_date", "order_id"]), "order_items")
+    items = staged(dedup(items, ["order_item_id"], FIRST_SEEN), "order_items")
     rules = fit_cleaning(items, NUMERIC_COLUMNS, TEXT_COLUMNS)
     return risk_scores(derive(apply_cleaning(items, rules)))

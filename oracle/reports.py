@@ -59,10 +59,16 @@ SELECT {half_up("fpr", 8)} AS fpr, {half_up("tpr", 8)} AS tpr, threshold FROM (
     return out
 
 
-SPLIT = """(SELECT order_item_id, late_delivery_risk AS label,
+
+
+def _split(source: str) -> str:
+    return f"""(SELECT order_item_id, late_delivery_risk AS label,
   CASE WHEN ROW_NUMBER() OVER (PARTITION BY late_delivery_risk ORDER BY md5(concat(order_item_id, '42')))
     <= ceil(0.2 * COUNT(*) OVER (PARTITION BY late_delivery_risk)) THEN 'test' ELSE 'train' END AS split
-  FROM sc_orders WHERE order_status <> 'CANCELED')"""
+  FROM {source} WHERE order_status <> 'CANCELED')"""
+
+
+SPLIT = _split("sc_orders")
 
 
 def model() -> dict[str, str]:
@@ -105,7 +111,7 @@ SELECT {half_up("CAST(COUNT(*) FILTER (label = 0) AS DOUBLE) / COUNT(*) FILTER (
   AS weight FROM {SPLIT} WHERE split = 'train'""",
         "ml_oversample": f"""
 SELECT label AS late_delivery_risk, MAX(COUNT(*)) OVER () AS n,
-  MAX(COUNT(*)) OVER () - COUNT(*) AS added FROM {SPLIT} WHERE split = 'train' GROUP BY label""",
+  MAX(COUNT(*)) OVER () - COUNT(*) AS added FROM {_split("sc_items")} WHERE split = 'train' GROUP BY label""",
         "ml_risk_label": f"""
 SELECT risk_label, COUNT(*) AS n FROM (SELECT {label.format(p=half_up("score", 3))} AS risk_label
   FROM sc_scored) GROUP BY risk_label""",

@@ -25,7 +25,7 @@ MODE_OF_TYPE = """(SELECT payment_type FROM sc_orders_dirty WHERE payment_type I
 def sources() -> dict[str, str]:
     return {
         "src_orders_mart": f"SELECT {ORDER_COLUMNS} FROM sc_orders",
-        "src_extract": "SELECT * FROM sc_items",
+        "src_extract": "SELECT * FROM sc_extracted",
         "src_features_csv": f"SELECT {FEATURES}, late_delivery_risk FROM sc_clean",
         "src_sensor_csv": "SELECT machine_id, reading_ts, temperature, vibration, pressure, rpm, "
                           "current_amps, failure_in_24h FROM sc_labelled",
@@ -191,7 +191,7 @@ SELECT order_item_id, shipping_mode, order_region, market, category_name, depart
   CASE WHEN order_item_discount_rate > 0 THEN 1 ELSE 0 END AS has_discount,
   CAST(hour(order_date) AS INTEGER) AS order_hour, CAST(month(order_date) AS INTEGER) AS order_month,
   55e-2 AS market_risk_score, 55e-2 AS region_risk_score, {mode_risk}
-FROM sc_items""",
+FROM sc_extracted""",
     }
 
 

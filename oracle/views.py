@@ -40,7 +40,7 @@ BODY = {
     "sc_scored": fixtures.SCORED.format(**_NAMES),
     "sc_sensor": fixtures.SENSOR.replace("{k}", fixtures.SENSOR_KEY["duckdb"]).format(**_NAMES),
     # order items as extracted: joined, not canceled
-    "sc_items": """
+    "sc_extracted": """
 SELECT order_id, order_item_id, order_date, shipping_date, shipping_mode, order_status,
   delivery_status, late_delivery_risk, days_for_shipping_real, days_for_shipment_scheduled,
   order_item_quantity, order_item_discount_rate, order_item_product_price,
@@ -50,6 +50,9 @@ SELECT order_id, order_item_id, order_date, shipping_date, shipping_mode, order_
 FROM sc_orders_gaps o JOIN sc_customers c ON o.customer_id = c.customer_id
 JOIN sc_products p ON o.product_id = p.product_id
 WHERE order_status <> 'CANCELED'""",
+    "sc_items": """
+SELECT * FROM sc_extracted QUALIFY ROW_NUMBER() OVER (PARTITION BY order_item_id
+  ORDER BY order_date, order_id, order_item_quantity, sales_per_customer, benefit_per_order) = 1""",
     # filled and made positive
     "sc_filled": """
 SELECT * REPLACE (
