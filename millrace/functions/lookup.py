@@ -14,14 +14,18 @@ def scalar(one_row: DataFrame) -> Column:
     return one_row.select(F.struct("*").alias("row")).scalar()
 
 
-def attach(df: DataFrame, lookup: DataFrame, key: str | list[str],
-           max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Left join to an aggregated lookup, broadcast only once its row count is known to be small."""
+def small_or_same(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """An aggregated lookup, turned into a broadcast local table if it is known to be small."""
     rows = lookup.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
-        return df.join(lookup, key, "left")
-    known = df.sparkSession.createDataFrame(rows, lookup.schema)
-    return df.join(F.broadcast(known), key, "left")
+        return lookup
+    return F.broadcast(lookup.sparkSession.createDataFrame(rows, lookup.schema))
+
+
+def attach(df: DataFrame, lookup: DataFrame, key: str | list[str],
+           max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Left join to a lookup, broadcast only once its row count is known to be small."""
+    return df.join(small_or_same(lookup, max_rows), key, "left")
 
 
 def mapped(key: Column, table: dict[str, float], default: float | None) -> Column:

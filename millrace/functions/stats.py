@@ -14,14 +14,17 @@ SKETCH_ACCURACY = 10_000
 # Ten times the sketch's own rank error, so the wanted rank is inside the band.
 BAND = 10 / SKETCH_ACCURACY
 BAND_CELLS = 4_096
+WINDOW_ROWS = 1_000_000
 
 
-def quantiles(df: DataFrame, wanted: dict[str, float]) -> dict[str, float | None]:
+def quantiles(df: DataFrame, wanted: dict[str, float],
+              window_rows: int = WINDOW_ROWS) -> dict[str, float | None]:
     """Exact, linearly interpolated quantile of each named column; None for an empty column.
 
     A sketch brackets each quantile within a narrow band (two numbers per column). The second
     pass counts what lies below and above the bracket, so only distinct values inside the band
-    are shuffled, and the wanted rank is looked up in the one cell of the band that holds it.
+    are shuffled. A band of more than ``window_rows`` rows is cut into cells, and the wanted rank
+    is looked up in the one cell that holds it.
     """
     values = df.select(*[F.col(c).cast("double").alias(c) for c in wanted])
     sketch = values.agg(*[
@@ -55,16 +58,21 @@ def quantiles(df: DataFrame, wanted: dict[str, float]) -> dict[str, float | None
         .groupBy("name", "side", "cell", "key")
         .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
-    cells = tally.groupBy("name", "side", "cell").agg(F.sum("n").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("name").orderBy("side", "cell"))
-    cells = cells.select("name", "side", "cell", (upto - F.col("n")).alias("before"), upto.alias("upto"))
     first_rank = mapped(F.col("name"), {c: float(floor(position[c])) for c in names}, None)
-    cells = cells.where((F.col("before") <= first_rank + 1) & (F.col("upto") > first_rank))
-    within = Window.partitionBy("name", "side", "cell").orderBy("key")
-    last = F.col("before") + F.sum("n").over(within)
-    steps = tally.join(cells, ["name", "side", "cell"]).select(
-        "name", "side", "low", "high", "n", last.alias("last")
-    )
+    if max(sketch[c]["n"] for c in names) * 2 * BAND <= window_rows:
+        in_order = Window.partitionBy("name").orderBy("side", "key")
+        last = F.sum("n").over(in_order)
+        steps = tally
+    else:
+        cells = tally.groupBy("name", "side", "cell").agg(F.sum("n").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("name").orderBy("side", "cell"))
+        cells = cells.select(
+            "name", "side", "cell", (upto - F.col("n")).alias("before"), upto.alias("upto"))
+        cells = cells.where((F.col("before") <= first_rank + 1) & (F.col("upto") > first_rank))
+        within = Window.partitionBy("name", "side", "cell").orderBy("key")
+        last = F.col("before") + F.sum("n").over(within)
+        steps = tally.join(cells.drop("n"), ["name", "side", "cell"])
+    steps = steps.select("name", "side", "low", "high", "n", last.alias("last"))
 
     def at(rank: Column) -> Column:
         """Value at a zero-based rank: known inside the bracket and at its two outer edges."""

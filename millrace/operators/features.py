@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.lookup import attach, mapped
+from millrace.functions.lookup import mapped, small_or_same
 from millrace.functions.numeric import flag, mean, rounded
 
 TARGET = "late_delivery_risk"
@@ -92,19 +92,31 @@ def scheduled_bin(df: DataFrame) -> DataFrame:
     return df.withColumn("scheduled_days_bin", label)
 
 
-def target_mean(df: DataFrame, key: str, out: str, target: str = TARGET,
-                fit_on: DataFrame | None = None) -> DataFrame:
-    """Mean target per key joined back to the rows; a missing key gets no score.
+def target_means(df: DataFrame, keys: dict[str, str], target: str = TARGET,
+                 fit_on: DataFrame | None = None) -> DataFrame:
+    """Mean target per value of each key column (key to output name), joined back to the rows.
 
-    With ``fit_on`` the means come from other rows, and an unseen key gets their overall mean.
+    All means come from one pass. A missing key gets no score. With ``fit_on`` the means come
+    from other rows, and an unseen value gets their overall mean.
     """
-    seen = (df if fit_on is None else fit_on).where(F.col(key).isNotNull())
-    rates = seen.groupBy(key).agg(mean(F.col(target)).alias(out))
-    scored = attach(df, rates, key)
-    if fit_on is None:
-        return scored
-    overall = fit_on.agg(mean(F.col(target))).first()[0]
-    return scored.withColumn(out, F.coalesce(F.col(out), F.lit(overall)))
+    entries = [F.struct(F.lit(k).alias("name"), F.col(k).alias("value")) for k in keys]
+    rates = (
+        (df if fit_on is None else fit_on).select(target, F.inline(F.array(*entries)))
+        .where("value is not null").groupBy("name", "value").agg(mean(F.col(target)).alias("rate"))
+    )
+    rates = small_or_same(rates)
+    overall = None if fit_on is None else fit_on.agg(mean(F.col(target))).first()[0]
+    for key, out in keys.items():
+        lookup = rates.where(F.col("name") == key).select(F.col("value").alias(key), F.col("rate").alias(out))
+        df = df.join(lookup, key, "left")
+        if fit_on is not None:
+            df = df.withColumn(out, F.coalesce(F.col(out), F.lit(overall)))
+    return df
+
+
+def target_mean(df: DataFrame, key: str, out: str, target: str = TARGET,
+                fit_on: DataFrame | None = None) -> DataFrame:
+    return target_means(df, {key: out}, target, fit_on)
 
 
 def derive(df: DataFrame) -> DataFrame:
@@ -117,9 +129,7 @@ def derive(df: DataFrame) -> DataFrame:
 
 def risk_scores(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
     """Historical late rates by market, region and shipping mode."""
-    for key, out in RISK_KEYS.items():
-        df = target_mean(df, key, out, fit_on=fit_on)
-    return df
+    return target_means(df, RISK_KEYS, fit_on=fit_on)
 
 
 def lookup_risk(df: DataFrame) -> DataFrame:
