@@ -7,6 +7,7 @@ can bind its own relations.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 WAREHOUSE = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
 
@@ -113,8 +114,23 @@ SENSOR_KEY = {
 }
 
 
+# Columns with many values, by which a fact stored in fewer splits than cores is spread.
+FACT_KEYS = {"lineitem": "l_orderkey", "events": "event_id"}
+
+
+# Schemas seen so far, by file: reading a footer again for every view costs a job each time.
+_schemas: dict[str, StructType] = {}
+
+
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    path = f"{root}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_schemas[path]).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if name in FACT_KEYS and len(df.inputFiles()) < cores:
+        return df.repartition(cores, FACT_KEYS[name])
+    return df
 
 
 def _view(spark: SparkSession, root: str, text: str) -> DataFrame:
