@@ -8,10 +8,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.lookup import attach
 from millrace.functions.numeric import percent, rounded
 from millrace.operators import (
-    briefing, cleaning, evaluation, features, marts, model, quality, sensors,
+    briefing, cleaning, evaluation, features, marts, model, monitoring, quality, sensors,
 )
 from millrace.operators.oversample import oversample
 from millrace.plans.delay_model import train_delay_model, training_rows
@@ -288,12 +287,6 @@ def _oversampled(s: SparkSession, d: str) -> DataFrame:
         F.count("*").alias("n"), F.count("parent").alias("added"))
 
 
-def _risk_radar(s: SparkSession, d: str) -> DataFrame:
-    rates = marts.region_late_rates(orders(s, d))
-    return attach(_predictions(s, d), rates, "order_region").where(
-        F.col("delay_probability") > model.HIGH_ABOVE)
-
-
 def _importance(s: SparkSession, d: str) -> DataFrame:
     clean, fitted = _trained(s, d)
     return model.feature_importance(fitted.pipeline, clean)
@@ -416,8 +409,24 @@ def _briefing() -> dict[str, Query]:
     }
 
 
+def _monitoring() -> dict[str, Query]:
+    def drift(s: SparkSession, d: str) -> DataFrame:
+        """Orders since 1998 against the earlier ones."""
+        rows, since = orders(s, d), F.to_timestamp_ntz(F.lit("1998-01-01 00:00:00"))
+        found = monitoring.drift(
+            rows.where(F.col("order_date") < since), rows.where(F.col("order_date") >= since),
+            ["order_item_quantity", "order_item_product_price"], ["shipping_mode", "market"])
+        return _digits(found, ["psi"])
+
+    return {
+        "adv_logistics_spend": lambda s, d: monitoring.logistics_spend(orders(s, d)),
+        "adv_risk_radar": lambda s, d: monitoring.predicted_risk(_predictions(s, d), orders(s, d)),
+        "adv_drift": drift,
+    }
+
+
 def queries() -> dict[str, Query]:
     return {
         **_sources(), **_quality(), **_marts(), **_cleaning(), **_features(), **_sensors(),
-        **_evaluation(), **_model(), **_briefing(),
+        **_evaluation(), **_model(), **_briefing(), **_monitoring(),
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ("tables", "marts", "reports")
+PARTS = ("tables", "marts", "reports", "monitoring")
 
 
 def statements() -> dict[str, str]:
