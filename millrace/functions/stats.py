@@ -15,6 +15,7 @@ SKETCH_ACCURACY = 10_000
 BAND = 10 / SKETCH_ACCURACY
 BAND_CELLS = 4_096
 WINDOW_ROWS = 1_000_000
+MAX_SLICES = 100_000
 
 
 def quantiles(df: DataFrame, wanted: dict[str, float],
@@ -125,23 +126,26 @@ def rank_among(few: DataFrame, population: DataFrame, value: str, out: str,
 
 
 def running_sums(levels: DataFrame, order: str, sums: list[str], descending: bool = False,
-                 slices: int = 256) -> DataFrame:
+                 slice_rows: int = WINDOW_ROWS) -> DataFrame:
     """Inclusive running totals over a column of distinct values, as ``cum_<name>`` columns.
 
-    Quantile cut points (at most ``slices`` numbers) spread the values evenly over slices. Totals
-    of whole slices are summed first, then each slice is summed on its own.
+    Quantile cut points, one number per ``slice_rows`` rows, spread the values evenly over
+    slices. Totals of whole slices are summed first, then each slice is summed on its own. The
+    input is read several times, so it should be staged.
     """
+    direction = F.desc if descending else F.asc
+    slices = min(ceil(levels.count() / slice_rows), MAX_SLICES)
+    if slices <= 1:
+        running = Window.orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
+        return levels.select("*", *[F.sum(c).over(running).alias(f"cum_{c}") for c in sums])
+    key = F.col(order).cast("double")
     fractions = [i / slices for i in range(1, slices)]
-    cuts = levels.agg(F.percentile_approx(F.col(order).cast("double"), fractions)).first()[0] or []
+    accuracy = max(SKETCH_ACCURACY, 10 * slices)
+    cuts = levels.agg(F.percentile_approx(key, fractions, accuracy)).first()[0]
     bounds = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    keyed = levels.withColumn("slice_key", F.col(order).cast("double"))
-    if cuts:
-        slicer = Bucketizer(splits=bounds, inputCol="slice_key", outputCol="slice")
-        sliced = slicer.transform(keyed).drop("slice_key")
-    else:
-        sliced = keyed.withColumnRenamed("slice_key", "slice")
+    slicer = Bucketizer(splits=bounds, inputCol="slice_key", outputCol="slice")
+    sliced = slicer.transform(levels.withColumn("slice_key", key)).drop("slice_key")
 
-    direction = F.desc if descending else F.asc
     totals = sliced.groupBy("slice").agg(*[F.sum(c).alias(c) for c in sums])
     earlier = Window.orderBy(direction("slice")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

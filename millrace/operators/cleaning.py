@@ -71,15 +71,14 @@ def with_gaps(df: DataFrame, cols: list[str]) -> list[str]:
     return [c for c in cols if counts[c]]
 
 
-def _medians(df: DataFrame, cols: list[str]) -> dict[str, float]:
-    gaps = with_gaps(df, cols)
-    found = quantiles(df, dict.fromkeys(gaps, 0.5)) if gaps else {}
-    return {c: v for c, v in found.items() if v is not None}
-
-
-def _modes(df: DataFrame, cols: list[str]) -> dict[str, str]:
-    gaps = with_gaps(df, cols)
-    found = modes(df, gaps) if gaps else {}
+def learn_fills(df: DataFrame, numeric: list[str], text: list[str]) -> dict[str, float | str]:
+    """Median or most frequent value of those columns that have a missing value."""
+    gaps = set(with_gaps(df, numeric + text))
+    numbers, words = [c for c in numeric if c in gaps], [c for c in text if c in gaps]
+    found = {
+        **(quantiles(df, dict.fromkeys(numbers, 0.5)) if numbers else {}),
+        **(modes(df, words) if words else {}),
+    }
     return {c: v for c, v in found.items() if v is not None}
 
 
@@ -93,12 +92,12 @@ def as_double(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def fill_median(df: DataFrame, cols: list[str]) -> DataFrame:
     """Fill missing numbers with the exact median of their column."""
-    return _fill(as_double(df, cols), _medians(df, cols))
+    return _fill(as_double(df, cols), learn_fills(df, cols, []))
 
 
 def fill_mode(df: DataFrame, cols: list[str]) -> DataFrame:
     """Fill missing text with the most frequent value of its column."""
-    return _fill(df, _modes(df, cols))
+    return _fill(df, learn_fills(df, [], cols))
 
 
 def abs_fix(df: DataFrame, column: str) -> DataFrame:
@@ -154,7 +153,7 @@ def _filled(df: DataFrame, numeric: list[str], fills: dict[str, float | str]) ->
 def fit_cleaning(df: DataFrame, numeric: list[str], text: list[str], money: list[str] = MONEY,
                  p: float = 0.99) -> CleaningRules:
     """Learn fills and caps; the caps hold for the filled, non-negative amounts."""
-    fills = {**_medians(df, numeric), **_modes(df, text)}
+    fills = learn_fills(df, numeric, text)
     caps = quantiles(_filled(df, numeric, fills), dict.fromkeys(money, p))
     return CleaningRules(numeric, fills, {c: v for c, v in caps.items() if v is not None})
 

@@ -54,7 +54,7 @@ SELECT COUNT(*) FILTER (customer_id IS NULL) AS null_customer_id,
   COUNT(*) FILTER (sales IS NULL) AS null_sales FROM sc_orders_gaps""",
         "dq_orphan_customers": """
 SELECT COUNT(*) AS orphan_orders FROM sc_orders o WHERE NOT EXISTS
-  (SELECT 1 FROM sc_customers c WHERE c.customer_id = o.customer_id AND c.customer_id % 50 <> 0)""",
+  (SELECT 1 FROM sc_customers c WHERE c.customer_id = o.customer_id)""",
         "dq_orphan_products": """
 SELECT COUNT(*) AS orphan_order_items FROM sc_orders o WHERE NOT EXISTS
   (SELECT 1 FROM sc_products p WHERE p.product_id = o.product_id)""",
