@@ -19,8 +19,7 @@ def _keys(by: str | None) -> list[str]:
     return [by] if by else []
 
 
-def fleet_stats(health: DataFrame, by: str | None = None) -> DataFrame:
-    """Fleet size, mean health, critical and high machines, and the machine most at risk."""
+def _fleet(health: DataFrame, by: str | None = None) -> DataFrame:
     critical = F.col("severity") == "CRITICAL"
     worst = F.min(F.struct(
         (-F.col("failure_probability")).alias("order"), "machine_id", "failure_probability",
@@ -35,15 +34,21 @@ def fleet_stats(health: DataFrame, by: str | None = None) -> DataFrame:
         F.count_if(F.col("severity") == "HIGH").alias("high"),
         F.min(F.when(critical, F.col("rul_hours"))).alias("soonest_hours"),
         worst.alias("worst"),
+        mean(F.col("failure_probability").cast("decimal(18,6)")).alias("machine_risk"),
     )
     return stats.select(
         *_keys(by), "machines", "mean_health", "critical", "critical_ids", "high", "soonest_hours",
         F.col("worst.machine_id").alias("worst_machine"),
         F.col("worst.failure_probability").alias("worst_probability"),
-        F.col("worst.rul_hours").alias("worst_hours"),
+        F.col("worst.rul_hours").alias("worst_hours"), "machine_risk",
     )
 
 
+def fleet_stats(health: DataFrame, by: str | None = None) -> DataFrame:
+    """Fleet size, mean health, critical and high machines, and the machine most at risk."""
+    return _fleet(health, by).drop("machine_risk")
+
+
 def delay_stats(predictions: DataFrame, by: str | None = None) -> DataFrame:
     """Shipments, predicted late ones and their share, 0 when there are none."""
     late = F.coalesce(F.sum("predicted_late"), F.lit(0)).cast("bigint")
@@ -82,20 +87,18 @@ def supply_status(delay_rate: Column) -> Column:
     )
 
 
-def overall_risk(health: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Mean failure probability and predicted late share in equal parts, 0..100.
+def _risk(machines: Column, orders: Column) -> Column:
+    """Equal parts of both risks on 0..100; an absent side counts as 0 and stays in the mean."""
+    parts = [F.coalesce(side, F.lit(0.0)) * 0.5 for side in (machines, orders)]
+    return rounded((parts[0] + parts[1]) * 100, 1)
 
-    An empty side counts as 0; it is not left out of the mean.
-    """
-    machines = health.agg(
-        mean(F.col("failure_probability").cast("decimal(18,6)")).alias("machine_risk"))
-    orders = predictions.agg(mean(F.col("predicted_late")).alias("order_risk"))
-    return _beside(machines, orders).select(
-        rounded(
-            (F.coalesce("machine_risk", F.lit(0.0)) * 0.5
-             + F.coalesce("order_risk", F.lit(0.0)) * 0.5) * 100, 1
-        ).alias("overall_risk_score")
-    )
+
+def overall_risk(health: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Mean failure probability and predicted late share in equal parts."""
+    machines = _fleet(health).select("machine_risk")
+    orders = delay_stats(predictions).select("delay_rate")
+    risk = _risk(F.col("machine_risk"), F.col("delay_rate"))
+    return _beside(machines, orders).select(risk.alias("overall_risk_score"))
 
 
 def alert_count(health: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -203,12 +206,14 @@ def daily_briefing(health: DataFrame, predictions: DataFrame, as_of: str) -> Dat
     """The briefing record of one moment."""
     moment = F.lit(as_of).cast("timestamp_ntz")
     parts = _beside(
-        overall_risk(health, predictions),
-        alert_count(health, predictions),
-        maintenance_text(fleet_stats(health), as_of).select("maintenance_summary"),
-        supply_text(supply_stats(predictions)).select("supply_chain_summary"),
+        maintenance_text(_fleet(health), as_of), supply_text(supply_stats(predictions))
     )
-    return parts.select(
+    alerts = F.col("critical") + F.col("high") + F.col("late")
+    figures = parts.withColumns({
+        "overall_risk_score": _risk(F.col("machine_risk"), F.col("delay_rate")),
+        "total_alerts": alerts.cast("bigint"),
+    })
+    return figures.select(
         F.date_format(moment, "EEEE, dd MMMM yyyy").alias("date"),
         "overall_risk_score", "total_alerts", "maintenance_summary", "supply_chain_summary",
         headline(F.col("overall_risk_score"), F.col("total_alerts")).alias("executive_headline"),

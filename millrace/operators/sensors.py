@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.lookup import scalar
+from millrace.functions.lookup import scalar, small_or_same
 from millrace.functions.numeric import clamp, rounded
+from millrace.operators.cleaning import dedup
+from millrace.session import staged
 
 MACHINE, TIME, READING = "machine_id", "reading_ts", "event_id"
 
@@ -26,6 +28,8 @@ LIFE_HOURS = 72
 
 CHANNELS = list(RANGES)
 SLICE_ROWS = 100_000
+# Stands for a missing time, so that such readings come last.
+NO_DAY = "9999-12-31"
 
 
 def clip_ranges(df: DataFrame, ranges: dict[str, tuple[float, float]] = RANGES) -> DataFrame:
@@ -49,7 +53,7 @@ def label_failures(df: DataFrame, horizon_hours: int = HORIZON_HOURS, event: str
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     next_failure = F.min(F.when(F.col(event) == 1, F.col(TIME))).over(upcoming)
-    labelled = sliced.withColumn("next_failure", next_failure).where("slice = own")
+    labelled = sliced.withColumn("next_failure", next_failure).where("slice <=> own")
     limit = F.col(TIME) + F.make_dt_interval(hours=F.lit(horizon_hours))
     return (
         labelled.withColumn(out, F.coalesce(F.col("next_failure") <= limit, F.lit(False)).cast("int"))
@@ -76,7 +80,7 @@ def numbered(df: DataFrame) -> DataFrame:
     Readings are numbered within a machine's day; the days' totals, one small row each, give the
     number a day starts from.
     """
-    daily = df.withColumn("day", F.to_date(TIME))
+    daily = df.withColumn("day", F.coalesce(F.to_date(TIME), F.lit(NO_DAY).cast("date")))
     in_day = Window.partitionBy(MACHINE, "day").orderBy(TIME, READING)
     days = daily.groupBy(MACHINE, "day").agg(F.count("*").alias("n"))
     earlier = (
@@ -177,20 +181,25 @@ def health_scores(df: DataFrame, cols: list[str] = CHANNELS) -> DataFrame:
 
     The mean absolute deviation in sample standard deviations, divided by 4 and limited to 0..1.
     A channel that never varied counts as having deviation 1.
+
+    Moments and newest times are plain hash aggregates, staged at one row per machine; joining
+    the times back picks the newest readings without sorting or shuffling the history.
     """
-    newest = F.max_by(F.struct(*cols), F.struct(TIME, READING)).alias("newest")
-    moments = [F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("sd")).alias(c) for c in cols]
-    machines = df.groupBy(MACHINE).agg(newest, *moments)
+    moments = [F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("sd")).alias(f"of_{c}") for c in cols]
+    machines = staged(
+        df.where(F.col(MACHINE).isNotNull()).groupBy(MACHINE).agg(F.max(TIME).alias("newest"), *moments),
+        "machine_moments",
+    )
+    times = small_or_same(machines.select(MACHINE, F.col("newest").alias(TIME)))
+    newest = dedup(df.join(times, [MACHINE, TIME]), [MACHINE], [F.desc(READING)])
 
     def distance(c: str) -> Column:
-        sd = F.coalesce(F.nullif(F.col(c)["sd"], F.lit(0.0)), F.lit(1.0))
-        return F.abs((F.col("newest")[c] - F.col(c)["mean"]) / sd)
+        sd = F.coalesce(F.nullif(F.col(f"of_{c}")["sd"], F.lit(0.0)), F.lit(1.0))
+        return F.abs((F.col(c) - F.col(f"of_{c}")["mean"]) / sd)
 
     total = sum((distance(c) for c in cols[1:]), distance(cols[0]))
     probability = clamp(total / len(cols) / 4, 0.0, 1.0)
-    return machines.select(
-        MACHINE, probability.alias("probability"), *[F.col("newest")[c].alias(c) for c in cols]
-    )
+    return newest.join(machines, MACHINE).select(MACHINE, probability.alias("probability"), *cols)
 
 
 def health_table(scores: DataFrame) -> DataFrame:

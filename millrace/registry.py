@@ -378,7 +378,7 @@ def _stored_briefing(s: SparkSession, d: str) -> DataFrame:
 
 def _briefing() -> dict[str, Query]:
     def health(s: SparkSession, d: str) -> DataFrame:
-        return sensors.machine_health(sensor(s, d))
+        return sensors.health_table(sensors.health_scores(sensor(s, d)))
 
     def supply_status(s: SparkSession, d: str) -> DataFrame:
         stats = briefing.delay_stats(scored(s, d), by="order_region")

@@ -114,7 +114,7 @@ SENSOR_KEY = {
 }
 
 
-# Columns with many values, by which a fact stored in fewer splits than cores is spread.
+# Columns with many values, by which a fact of fewer splits than cores (one row group, say) is spread.
 FACT_KEYS = {"lineitem": "l_orderkey", "events": "event_id"}
 
 
@@ -128,7 +128,7 @@ def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
         _schemas[path] = spark.read.parquet(path).schema
     df = spark.read.schema(_schemas[path]).parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if name in FACT_KEYS and len(df.inputFiles()) < cores:
+    if name in FACT_KEYS and df.rdd.getNumPartitions() < cores:
         return df.repartition(cores, FACT_KEYS[name])
     return df
 

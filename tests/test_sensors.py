@@ -72,6 +72,28 @@ def test_sequences(spark, slice_rows):
     assert found == expected
 
 
+def test_readings_without_a_time_come_last_and_are_kept(spark):
+    rows = [reading(1, i, i) for i in range(4)]
+    rows.append((1, 9, None, 1.0, 1.0, 1.0, 1.0, 1.0, 0))
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert sensors.label_failures(df).count() == 5
+    order = {r["event_id"]: r["seq"] for r in sensors.numbered(df).collect()}
+    assert order == {0: 0, 1: 1, 2: 2, 3: 3, 9: 4}
+
+
+def test_a_long_history_is_cut_into_slices(spark):
+    plan = sensors.window_features(spark.createDataFrame(history(), SCHEMA))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in text.splitlines() if "Window [" in line and "machine_id" in line]
+    assert any("slice" in line for line in windows) and "Python" not in text
+
+
+def test_newest_of_equal_times_is_the_larger_id(spark):
+    rows = [reading(1, 1, 0, 10.0), reading(1, 3, 5, 50.0), reading(1, 2, 5, 20.0)]
+    found = sensors.health_scores(spark.createDataFrame(rows, SCHEMA)).first()
+    assert found["temperature"] == 50.0
+
+
 def test_window_features(spark):
     rows, window = history(), 4
     made = sensors.window_features(spark.createDataFrame(rows, SCHEMA), window, slice_rows=9).collect()
