@@ -31,6 +31,8 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(folder)
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the whole cluster")
