@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing, simple8b, tokens
+from millrace.llm import packing, sharding, simple8b, tokens
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op3_harmonic_packing": lambda s, d: packing.packed_pieces(table(s, d, "documents")),
         "op5_byte_bpe": lambda s, d: tokens.round_trip(table(s, d, "documents")),
         "op9_simple8b": lambda s, d: simple8b.written_and_read(table(s, d, "documents")),
+        "op10_hypergeometric_shards": lambda s, d: sharding.sharded(table(s, d, "documents")),
     }
 
 
