@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing, quality, sharding, simple8b, tokens, toxicity
+from millrace.llm import neardup, packing, quality, sharding, simple8b, tokens, toxicity
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ def queries() -> dict[str, Query]:
         "op4_crf_quality": lambda s, d: quality.quality_scores(
             table(s, d, "documents"), table(s, d, "labels")),
         "op5_byte_bpe": lambda s, d: tokens.round_trip(table(s, d, "documents")),
+        "op7_minhash_inverted": lambda s, d: neardup.linked_documents(table(s, d, "documents")),
         "op8_mil_toxicity": lambda s, d: toxicity.toxicity_scores(
             table(s, d, "documents"), table(s, d, "labels")),
         "op9_simple8b": lambda s, d: simple8b.written_and_read(table(s, d, "documents")),
