@@ -62,9 +62,11 @@ def with_tuples(df: DataFrame, text: str, out: str) -> DataFrame:
         f"if(n is null or (m & {POSITION}L) < (n & {POSITION}L), "
         f"xxhash64(shiftright(m, 24), shiftright(n, 24)), "
         f"xxhash64(shiftright(n, 24), shiftright(m, 24))))[0])[0]")
+    # The sketch is named twice, so the optimizer computes it once and not for every seed.
     df = df.withColumn(p, F.expr(
+        f"case when size({p}_b) = 0 then array_repeat(0L, {TUPLES}) else "
         f"transform(sequence(0, {TUPLES - 1}), r -> transform(array(transform({p}_b, "
-        f"x -> (xxhash64(shiftright(x, 24), r) {mark})), y -> {pair})[0])"))
+        f"x -> (xxhash64(shiftright(x, 24), r) {mark})), y -> {pair})[0]) end"))
     return df.select(*keep, p)
 
 
