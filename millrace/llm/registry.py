@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import neardup, ordermin, packing, quality, sharding, simple8b, tokens, toxicity
+from millrace.llm import (
+    neardup, ordermin, packing, pii, quality, sharding, simple8b, tokens, toxicity,
+)
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_order_minhash": lambda s, d: ordermin.edited_pairs(table(s, d, "documents")),
+        "op2_boosted_pii": lambda s, d: pii.personal_data(table(s, d, "documents")),
         "op3_harmonic_packing": lambda s, d: packing.packed_pieces(table(s, d, "documents")),
         "op4_crf_quality": lambda s, d: quality.quality_scores(
             table(s, d, "documents"), table(s, d, "labels")),
