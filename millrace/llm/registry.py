@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
-    neardup, ordermin, packing, pii, quality, sharding, simple8b, tokens, toxicity,
+    hilbert, neardup, ordermin, packing, pii, quality, sharding, simple8b, tokens, toxicity,
 )
 from millrace.llm.common import table
 
@@ -22,6 +22,7 @@ def queries() -> dict[str, Query]:
         "op4_crf_quality": lambda s, d: quality.quality_scores(
             table(s, d, "documents"), table(s, d, "labels")),
         "op5_byte_bpe": lambda s, d: tokens.round_trip(table(s, d, "documents")),
+        "op6_hilbert_neighbours": lambda s, d: hilbert.nearest(table(s, d, "embeddings")),
         "op7_minhash_inverted": lambda s, d: neardup.linked_documents(table(s, d, "documents")),
         "op8_mil_toxicity": lambda s, d: toxicity.toxicity_scores(
             table(s, d, "documents"), table(s, d, "labels")),
