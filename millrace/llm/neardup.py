@@ -33,13 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import over_slices, staged, text_bytes
+from millrace.llm.common import fresh, over_slices, staged, text_bytes
 from millrace.llm.quality import SPACES
 from millrace.llm.scan import mixed, words
 
 COORDINATES = 48
 MATCHES = 26
 WORDS = 4
+# The row number's column, a name that carried columns do not have.
+ROW = fresh("row")
 PERCENT = 80
 
 _random = np.random.default_rng(19)
@@ -186,14 +188,19 @@ def _fits(percent: int):
 
 def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
                     carry: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: ``doc_id``, carried columns, ``n_shingles``, ``component_id``, ``kept``.
+    """Per row: ``doc_id``, carried columns, ``n_shingles``, ``component_id``, ``kept``, ``single``.
 
     Links join texts whose sets have a Jaccard similarity of at least ``percent`` in a hundred.
+    ``kept`` marks rows with the smallest id of their component; ``single`` marks one row of each
+    component, also where rows are repeated.
     """
-    signed = staged(signatures(docs, width, ("doc_id", *carry)), "signatures")
+    # Row numbers are written with the rows, so later stages see the same ones.
+    signed = staged(signatures(docs, width, ("doc_id", *carry)).withColumn(
+        ROW, F.monotonically_increasing_id()), "signatures")
     slim = signed.drop("tokens")
+    place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.col(ROW).alias("row"))
     reps = staged(signed.where("set_key is not null").groupBy("set_key").agg(
-        F.min("doc_id").alias("least_doc"), F.first("n_shingles").alias("n"),
+        F.min(place).alias("least"), F.first("n_shingles").alias("n"),
         F.first("tokens").alias("tokens")), "classes")
 
     posted = reps.select("set_key", F.explode("tokens").alias("token"))
@@ -207,7 +214,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
         .join(reps.select("set_key", "n"), "set_key"), "prefix")
 
     wanted = prefix.select("set_key").distinct().join(reps, "set_key").select(
-        F.col("least_doc").alias("doc_id"), "set_key")
+        F.col("least.doc_id").alias("doc_id"), "set_key")
     texts = docs.select("doc_id", "text").join(
         wanted.select("doc_id").distinct(), docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
     sets = staged(
@@ -242,17 +249,19 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     links = links.unionByName(_confirmed(_agreeing(rest, reps), sets, percent))
     joined = components(links)
 
-    of_class = reps.select("set_key", "least_doc").join(
+    of_class = reps.select("set_key", "least").join(
         joined.withColumnRenamed("node", "set_key"), "set_key", "left").select(
-        "set_key", "least_doc", F.coalesce("component", "set_key").alias("component"))
-    least = of_class.groupBy("component").agg(F.min("least_doc").alias("component_id"))
-    found = of_class.join(least, "component").select("set_key", "component_id")
-    component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+        "set_key", "least", F.coalesce("component", "set_key").alias("component"))
+    least = of_class.groupBy("component").agg(F.min("least").alias("first"))
+    found = of_class.join(least, "component").select("set_key", "first")
+    alone = F.col("set_key").isNull()
+    component = F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id"))
     return slim.join(found, "set_key", "left").select(
         "doc_id", *carry, "n_shingles", component.alias("component_id"),
-        component.eqNullSafe(F.col("doc_id")).alias("kept"))
+        component.eqNullSafe(F.col("doc_id")).alias("kept"),
+        (alone | (F.col(ROW) == F.col("first.row"))).alias("single"))
 
 
 def linked_documents(docs: DataFrame) -> DataFrame:
     """Query op7: the component of every document."""
-    return near_duplicates(docs)
+    return near_duplicates(docs).drop("single")
