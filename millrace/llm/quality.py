@@ -17,6 +17,7 @@ both labels among the fitted rows the score is their mean, or one half without a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -173,9 +174,10 @@ def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit_field(texts: list[str], labels: list[int], steps: int = STEPS) -> Field:
     """Fit the field to labelled texts by Adam on the log-likelihood of their lines' labels."""
-    column = pa.array([t or "" for t in texts], pa.string())
-    raw, bounds = text_bytes(column)
-    found, row, sizes = line_features(raw, bounds)
+    parts = [(*line_features(raw, bounds), first) for raw, bounds, first in portions(texts)]
+    found = np.vstack([p[0] for p in parts])
+    row = np.concatenate([p[1] + p[3] for p in parts])
+    sizes = np.concatenate([p[2] for p in parts])
     y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
         p = float(y.mean()) if len(y) else 0.5
@@ -212,14 +214,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Colu
     """At most ``fit_rows`` labelled texts, picked by a hash of their id."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label"))
     known = known.where("doc_id is not null and label in (0, 1)").where(usable).distinct()
+    # Ids are picked first; at most fit_rows of them go to the executors, and their texts come back.
+    h = F.xxhash64("doc_id").alias("h")
+    picked = known.select("doc_id", "label", h).orderBy("h", "doc_id", "label").limit(fit_rows)
     texts = docs.select("doc_id", F.col("text").alias("text")).where(
         F.coalesce(F.char_length("text"), F.lit(0)) <= fit_chars)
-    picked = known.join(texts, "doc_id").select(
-        F.xxhash64("doc_id").alias("h"), "text", "label")
-    rows = picked.orderBy("h", "label", "text").limit(fit_rows).collect()
+    rows = texts.join(F.broadcast(picked), "doc_id").orderBy("h", "label", "text").select(
+        "text", "label").limit(fit_rows).collect()
     return [r["text"] for r in rows], [r["label"] for r in rows]
 
 
+def portions(texts: list[str], most: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Bytes and bounds of a few texts at a time, and the number of the first."""
+    first, size = 0, 0
+    for i, text in enumerate([*texts, None]):
+        if text is None and i == len(texts) or size > most:
+            yield *text_bytes(pa.array([t or "" for t in texts[first:i]], pa.string())), first
+            first, size = i, 0
+        size += len(text or "")
+
+
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, fit_rows: int = FIT_ROWS,
         fit_chars: int = FIT_CHARS) -> Field:
     return fit_field(*labelled_sample(docs, labels, "quality", usable, fit_rows, fit_chars))
