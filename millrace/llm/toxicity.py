@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.common import over_slices, remainder, text_bytes
-from millrace.llm.quality import labelled_sample
+from millrace.llm.quality import labelled_sample, portions
 from millrace.llm.scan import byte_set, segments, words
 
 FIT_ROWS = 6_000
@@ -85,8 +85,12 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS) -> Model:
     weights = np.zeros(1 << BITS)
     if not len(y) or y.min() == y.max():
         return Model(weights, -40.0 if not len(y) or y[0] == 0 else 40.0)
-    raw, bounds = text_bytes(pa.array([t or "" for t in texts], pa.string()))
-    starts, row, features, sentence = instances(raw, bounds)
+    parts, before = [], 0
+    for raw, bounds, first in portions(texts):
+        starts, row, features, sentence = instances(raw, bounds)
+        parts.append((row + first, features, sentence + before))
+        before += len(starts)
+    row, features, sentence = (np.concatenate([p[k] for p in parts]) for k in range(3))
     kinds = features.shape[1]
     # Features that are no more frequent among toxic documents than among others keep no weight.
     pair = np.unique(features.astype(np.int64) * len(y) + row[sentence][:, None])
