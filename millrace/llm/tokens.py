@@ -32,7 +32,7 @@ PLAIN = f"[{LETTERS}]+(?=[{WHITE}.,]|\\Z)"
 CHUNK = re.compile(f" ?{PLAIN}| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 WORD = re.compile(f"{PLAIN}|[^{WHITE}]+")
 # Chunks kept by one worker, and the longest chunk that is kept.
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 300_000
 CACHE_CHARS = 48
 NO_BYTES = b""
 
