@@ -65,10 +65,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
-def over_slices(work: Callable[[pa.RecordBatch], pa.RecordBatch], text: int = 0):
+def over_slices(work: Callable[[pa.RecordBatch], pa.RecordBatch], text: int = 0,
+                most: int = SLICE_BYTES):
     """A function for mapInArrow that sees batches of bounded text only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, most):
                 yield work(part)
     return run

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import slices
-from millrace.llm.tokens import file_encoder
+from millrace.llm.tokens import ENCODE_BYTES, file_encoder
 from millrace.session import new_folder
 
 # Ids in a word and bits of each, by selector: the fixed values of the format.
@@ -163,7 +163,7 @@ def _rows(batches: Iterator[pa.RecordBatch], path: str, drops_white: bool, end_i
         return row
 
     for batch in batches:
-        for piece in slices(batch):
+        for piece in slices(batch, most=ENCODE_BYTES):
             texts = [t or "" for t in piece.column(0).to_pylist()]
             found = file_encoder(path, drops_white).encode(texts)
             for doc_id, ids in zip(piece.column(1).to_pylist(), found):
@@ -195,7 +195,8 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select(
         "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("long").alias("base"))
-    placed = rows.join(bases, "part").select(
+    # As many rows as the writer had partitions.
+    placed = rows.join(F.broadcast(bases), "part").select(
         (F.col("base") + F.col("first")).alias("first"), *SCHEMA.names[3:])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

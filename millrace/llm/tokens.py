@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -32,8 +33,14 @@ PLAIN = f"[{LETTERS}]+(?=[{WHITE}.,]|\\Z)"
 CHUNK = re.compile(f" ?{PLAIN}| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 WORD = re.compile(f"{PLAIN}|[^{WHITE}]+")
 # Chunks kept by one worker, and the longest chunk that is kept.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 400_000
 CACHE_CHARS = 48
+# Text encoded at a time.
+ENCODE_BYTES = 400_000
+# Words given to the library as one text.
+GROUP = 512
+# What a word-level vocabulary adds to the last piece of a word.
+WORD_END = "</w>"
 NO_BYTES = b""
 
 
@@ -82,27 +89,59 @@ def tokenizer_from_ranks(path: str, pattern: str):
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers, one ``bytes`` object per text."""
+    """Ids of texts as little-endian unsigned 32-bit integers, one ``bytes`` object per text.
 
-    def __init__(self, tokenizer, chunk: re.Pattern):
-        tokenizer.encode_special_tokens = True
-        self.tokenizer, self.chunk, self.known = tokenizer, chunk, {}
+    New chunks that are a single Latin word go to the library many at a time, as one text with
+    blanks between them; the vocabulary marks where a word begins or ends in the ids. The others
+    go one by one.
+    """
 
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+    def __init__(self, tokenizer, drops_white: bool):
+        tokenizer.encode_special_tokens = True
+        self.tokenizer, self.known = tokenizer, {}
+        self.chunk, self.glue = (WORD, " ") if drops_white else (CHUNK, "")
+        self.plain = re.compile(f"[{LETTERS}]+" if drops_white else f" [{LETTERS}]+").fullmatch
+        self.marks_end = drops_white
+        space = byte_characters()[0x20]
+        names = tokenizer.get_vocab()
+        self.edge = np.zeros(max(names.values(), default=-1) + 1, bool)
+        for name, number in names.items():
+            self.edge[number] = name.endswith(WORD_END) if drops_white else name.startswith(space)
+
+    def _ids(self, chunks: list[str]) -> dict[str, bytes]:
+        out: dict[str, bytes] = {}
+        plain = [c for c in chunks if self.plain(c)]
+        groups = [plain[i:i + GROUP] for i in range(0, len(plain), GROUP)]
+        whole = self.tokenizer.encode_batch_fast(
+            [self.glue.join(g) for g in groups], add_special_tokens=False)
+        for group, found in zip(groups, whole):
+            ids = np.array(found.ids, dtype="<u4")
+            cuts = np.flatnonzero(self.edge[ids])
+            if len(cuts) != len(group):
+                continue
+            cuts = np.append(0, cuts + 1) if self.marks_end else np.append(cuts, len(ids))
+            raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+            out.update((c, raw[a:b]) for c, a, b in zip(group, cuts, cuts[1:]))
+        rest = [c for c in chunks if c not in out]
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        out.update((c, np.array(x.ids, dtype="<u4").tobytes()) for c, x in zip(rest, found))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [self.chunk.findall(t) for t in texts]
-        known = self.known
-        new = list(set().union(*parts) - known.keys())
-        full = len(known) >= CACHE_CHUNKS
-        known.update(zip(new, self._ids(new)))
-        get = known.__getitem__
-        out = [NO_BYTES.join(map(get, p)) for p in parts]
-        for chunk in new:
-            if full or len(chunk) > CACHE_CHARS:
-                del known[chunk]
+        chunks = list(chain.from_iterable(parts))
+        found = list(map(self.known.get, chunks))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            fresh = self._ids(list({chunks[i] for i in missing}))
+            for i in missing:
+                found[i] = fresh[chunks[i]]
+            if len(self.known) < CACHE_CHUNKS:
+                self.known.update((c, ids) for c, ids in fresh.items() if len(c) <= CACHE_CHARS)
+        out, at = [], 0
+        for p in parts:
+            out.append(NO_BYTES.join(found[at:at + len(p)]))
+            at += len(p)
         return out
 
 
@@ -110,12 +149,12 @@ class Encoder:
 def file_encoder(path: str, drops_white: bool) -> Encoder:
     """Encoder of a tokenizers file; ``drops_white`` if its rules ignore white space."""
     from tokenizers import Tokenizer
-    return Encoder(Tokenizer.from_file(path), WORD if drops_white else CHUNK)
+    return Encoder(Tokenizer.from_file(path), drops_white)
 
 
 @lru_cache(maxsize=4)
 def rank_encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(tokenizer_from_ranks(path, pattern), CHUNK)
+    return Encoder(tokenizer_from_ranks(path, pattern), False)
 
 
 @lru_cache(maxsize=4)
@@ -160,7 +199,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
             columns += [pa.array([p[k].tolist() for p in pairs], pa.list_(pa.int32())) for k in (0, 1)]
         return pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
-    return source.mapInArrow(over_slices(work), T.StructType(fields))
+    return source.mapInArrow(over_slices(work, most=ENCODE_BYTES), T.StructType(fields))
 
 
 def decode(encoded: DataFrame, path: str | None = None, carry: tuple[str, ...] = ("doc_id",),
