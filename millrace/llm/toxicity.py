@@ -10,7 +10,7 @@ characters. Scoring reads every whole text.
 Defined results: null and empty text is one sentence without words; repeated rows get equal
 scores; labels without a document or with a null label are not used; an empty table gives no rows;
 without both labels among the fitted rows every document gets their mean, or 0 without any.
-Columns in ``carry`` pass through whatever their names and values.
+Columns in ``carry`` pass through, but for those named like a result, which replaces them.
 """
 
 from __future__ import annotations
@@ -23,19 +23,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import over_slices, remainder, text_bytes
+from millrace.llm.common import apart, over_slices, remainder, text_bytes
 from millrace.llm.quality import labelled_sample, portions
 from millrace.llm.scan import byte_set, segments, words
 
 FIT_ROWS = 6_000
 FIT_CHARS = 20_000
-STEPS = 100
+STEPS = 200
 # A feature is learnt if it is in so many toxic documents, and so many times as common there.
 LEAST_DOCS = 3
 LEAST_LIFT = 15.0
 # Log-odds of a sentence without any learnt feature.
 UNKNOWN = -40.0
-BITS = 18
 PREFIXES = (4, 5, 6)
 ENDS = byte_set((10, 10), (33, 33), (46, 46), (63, 63))
 LETTERS = byte_set((48, 57), (65, 90), (97, 122), (128, 255))
@@ -52,20 +51,26 @@ def instances(raw: np.ndarray, bounds: np.ndarray):
     new[1:] = (np.diff(sentence[order]) != 0) | (hashes[0][order][1:] != hashes[0][order][:-1])
     once = np.sort(order[new])
     sentence, hashes = sentence[once], [h[once] for h in hashes]
-    features = np.stack([(h >> np.uint64(64 - BITS)).astype(np.int32) for h in hashes], axis=1)
-    return starts, row, features, sentence
+    short = [(h >> np.uint64(32)).astype(np.uint32) for h in hashes]
+    return starts, row.astype(np.int32), short, sentence.astype(np.int32)
 
 
 @dataclass
 class Model:
+    # Sorted 32-bit hashes of the learnt words and beginnings, and their weights.
+    keys: np.ndarray
     weights: np.ndarray
     constant: float
 
     def sentences(self, raw: np.ndarray, bounds: np.ndarray):
-        starts, row, features, sentence = instances(raw, bounds)
-        each = self.weights[features]
-        total = np.bincount(sentence, each.sum(1), len(starts)) + self.constant
-        known = np.bincount(sentence, each.any(axis=1), len(starts)) > 0
+        starts, row, hashes, sentence = instances(raw, bounds)
+        total = np.full(len(starts), self.constant)
+        known = np.zeros(len(starts), bool)
+        for h in hashes if len(self.keys) else ():
+            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+            met = np.flatnonzero(self.keys[at] == h)
+            total += np.bincount(sentence[met], self.weights[at[met]], len(starts))
+            known[sentence[met]] = True
         return starts, row, np.where(known | (self.constant > 0), total, UNKNOWN)
 
     def score(self, raw: np.ndarray, bounds: np.ndarray):
@@ -82,41 +87,55 @@ class Model:
 def train(texts: list[str], labels: list[int], steps: int = STEPS) -> Model:
     """Weights that maximise the likelihood of document labels under the noisy-or."""
     y = np.array(labels, float)
-    weights = np.zeros(1 << BITS)
     if not len(y) or y.min() == y.max():
-        return Model(weights, -40.0 if not len(y) or y[0] == 0 else 40.0)
+        return Model(np.zeros(0, np.uint32), np.zeros(0), -40.0 if not len(y) or y[0] == 0 else 40.0)
     parts, before = [], 0
     for raw, bounds, first in portions(texts):
-        starts, row, features, sentence = instances(raw, bounds)
-        parts.append((row + first, features, sentence + before))
+        starts, row, hashes, sentence = instances(raw, bounds)
+        parts.append((row + np.int32(first), sentence + np.int32(before), hashes))
         before += len(starts)
-    row, features, sentence = (np.concatenate([p[k] for p in parts]) for k in range(3))
-    kinds = features.shape[1]
-    # Features that are no more frequent among toxic documents than among others keep no weight.
-    pair = np.unique(features.astype(np.int64) * len(y) + row[sentence][:, None])
-    of, label = pair // len(y), y[pair % len(y)]
-    with_toxic = np.bincount(of, label, 1 << BITS)
-    with_clean = np.bincount(of, 1 - label, 1 << BITS)
-    lift = (with_toxic + 0.5) / y.sum() * (1 - y).sum() / (with_clean + 0.5)
-    flat = features.ravel()
-    kept = np.flatnonzero(((lift >= LEAST_LIFT) & (with_toxic >= LEAST_DOCS))[flat])
-    flat, where = flat[kept], np.repeat(sentence, kinds)[kept]
+    row, sentence = (np.concatenate([p[k] for p in parts]) for k in range(2))
+    parts = [p[2] for p in parts]
+    of_word = row[sentence]
+    # Features that are no more frequent among toxic documents than among others are left out.
+    keys, flat, where = [], [], []
+    for kind in range(1 + len(PREFIXES)):
+        h = np.concatenate([p[kind] for p in parts])
+        order = np.lexsort((of_word, h))
+        sorted_h, sorted_row = h[order], of_word[order]
+        del order
+        new = np.append(True, (sorted_h[1:] != sorted_h[:-1]) | (sorted_row[1:] != sorted_row[:-1]))
+        sorted_h, label = sorted_h[new], y[sorted_row[new]]
+        begin = np.flatnonzero(np.append(True, sorted_h[1:] != sorted_h[:-1]))[:len(sorted_h)]
+        if not len(begin):
+            continue
+        with_toxic, with_clean = np.add.reduceat(label, begin), np.add.reduceat(1 - label, begin)
+        lift = (with_toxic + 0.5) / y.sum() * (1 - y).sum() / (with_clean + 0.5)
+        chosen = sorted_h[begin][(lift >= LEAST_LIFT) & (with_toxic >= LEAST_DOCS)]
+        if len(chosen):
+            at = np.minimum(np.searchsorted(chosen, h), len(chosen) - 1)
+            met = np.flatnonzero(chosen[at] == h)
+            flat.append(at[met] + sum(map(len, keys)))
+            where.append(sentence[met])
+            keys.append(chosen)
+    keys, flat, where = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, flat, where))
+    size = len(keys)
     # Sentences without such a feature are not toxic, however many a document has.
     met, where = np.unique(where, return_inverse=True)
     row, n, rows = row[met], len(met), len(y)
-    theta, constant = weights, -4.0
-    first, second = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
+    theta, constant = np.zeros(size), -4.0
+    first, second = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, steps + 1):
         total = np.bincount(where, theta[flat], n) + constant
         p = 1 / (1 + np.exp(-np.clip(total, -40, 40)))
         none = np.exp(np.bincount(row, -np.logaddexp(0, total), rows))
         pull = np.where(y == 1, -none / np.maximum(1 - none, 1e-9), 1.0)[row] * p
-        slope = np.append(np.bincount(flat, pull[where], 1 << BITS) + 1e-2 * theta, pull.sum())
+        slope = np.append(np.bincount(flat, pull[where], size) + 1e-2 * theta, pull.sum())
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope * slope
         move = 0.1 * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
         theta, constant = theta - move[:-1], constant - move[-1]
-    weights = theta
-    return Model(weights.astype(np.float32), float(constant))
+    order = np.argsort(keys)
+    return Model(keys[order].astype(np.uint32), theta[order], float(constant))
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, fit_rows: int = FIT_ROWS,
@@ -128,7 +147,7 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ("doc_id",),
           sentence_at: float = 0.5) -> DataFrame:
     """The carried columns, ``score``, and ``offending``: start, end (code points, end exclusive)
     and probability of each sentence whose own probability reaches ``sentence_at``."""
-    source = docs.select(F.col("text").alias("text"), *carry)
+    source = docs.select(F.col("text").alias("text"), *apart(carry, "score", "offending"))
     spans = T.ArrayType(T.StructType([
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
         T.StructField("score", T.DoubleType())]))
