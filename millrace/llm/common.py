@@ -32,6 +32,11 @@ def fresh(name: str) -> str:
     return f"_{name}_{uuid.uuid4().hex[:12]}"
 
 
+def apart(carry: tuple[str, ...], *results: str) -> tuple[str, ...]:
+    """Carried columns without those named like a result, which takes their place."""
+    return tuple(c for c in carry if c not in results)
+
+
 def remainder(key: str, divisor: int) -> Column:
     """crc32 of a key's decimal text, modulo a divisor."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % divisor

@@ -27,9 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import slices, staged
-from millrace.llm.tokens import file_encoder
+from millrace.llm.tokens import ENCODE_BYTES, file_encoder
 
 CAPACITY = 2048
+# The plan of bins, 40 bytes per worker and class, is broadcast up to so many rows; more are joined.
+BROADCAST_ROWS = 400_000
 CUT = (
     "part int, width int, nth long, doc_id long, start long, length long, doc_tokens long, "
     "ids binary")
@@ -53,10 +55,9 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: in
     names = ["part", "width", "nth", "doc_id", "start", "length", "doc_tokens", "ids"]
     types = [pa.int32(), pa.int32(), *[pa.int64()] * 5, pa.binary()]
     for batch in batches:
-        for piece in slices(batch):
+        for piece in slices(batch, most=ENCODE_BYTES):
             rows: list[tuple] = []
-            texts = [t or "" for t in piece.column(0).to_pylist()]
-            encoded = file_encoder(path, drops_white).encode(texts)
+            encoded = file_encoder(path, drops_white).encode(piece.column(0))
             for doc_id, ids in zip(piece.column(1).to_pylist(), encoded):
                 ids += end
                 total, at = len(ids) // 4, 0
@@ -124,8 +125,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, end
     classes = classes.select(
         "width", "bins", F.coalesce(F.sum("bins").over(before), F.lit(0)).alias("first_bin"),
         F.sum("bins").over(Window.partitionBy()).alias("all_bins"))
+    plan = workers.join(classes, "width")
+    if counts.count() <= BROADCAST_ROWS:
+        plan = F.broadcast(plan)
     placed = (
-        pieces.join(workers.join(classes, "width"), ["part", "width"])
+        pieces.join(plan, ["part", "width"])
         .withColumn("rank", F.col("base") + F.col("nth"))
         .withColumn("bin", F.expr(f"rank div ({capacity} div width)")))
     filled = placed.where("bin < bins").select(

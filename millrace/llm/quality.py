@@ -12,7 +12,7 @@ every whole text.
 Defined results: null and empty text is one empty line; repeated rows get equal scores; labels
 without a document or with a null label are not used; an empty table gives no rows. Without
 both labels among the fitted rows the score is their mean, or one half without any. Columns in
-``carry`` pass through whatever their names and values; scores are in the column ``score``.
+``carry`` pass through, but for one named ``score``, which the result replaces.
 """
 
 from __future__ import annotations
@@ -26,14 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import over_slices, remainder, text_bytes
-from millrace.llm.scan import byte_set, segments, words
+from millrace.llm.common import apart, over_slices, remainder, text_bytes
+from millrace.llm.scan import SPACES, byte_set, segments, words
 
 FIT_ROWS = 4_000
 FIT_CHARS = 20_000
 STEPS = 80
 NEWLINE = byte_set((10, 10))
-SPACES = byte_set((9, 13), (32, 32))
 # Kinds of bytes whose shares describe a line.
 KINDS = [
     "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t\r\n\f\v",
@@ -241,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, fit_rows: int = FIT_
 
 def score(docs: DataFrame, field: Field, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The carried columns and ``score``, the probability that a text is good."""
-    source = docs.select(F.col("text").alias("text"), *carry)
+    source = docs.select(F.col("text").alias("text"), *apart(carry, "score"))
     fields = [*source.schema.fields[1:], T.StructField("score", T.DoubleType())]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:

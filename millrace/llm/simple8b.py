@@ -83,6 +83,8 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         count, width = COUNTS[selector], WIDTHS[selector]
         span = 1 << (count.bit_length() - 1)
         most = widest[span][:, :BLOCK]
+        if most.min() > width:
+            continue
         if span < count:
             shift = count - span
             most = np.maximum(most, widest[span][:, shift:shift + BLOCK])
@@ -164,8 +166,7 @@ def _rows(batches: Iterator[pa.RecordBatch], path: str, drops_white: bool, end_i
 
     for batch in batches:
         for piece in slices(batch, most=ENCODE_BYTES):
-            texts = [t or "" for t in piece.column(0).to_pylist()]
-            found = file_encoder(path, drops_white).encode(texts)
+            found = file_encoder(path, drops_white).encode(piece.column(0))
             for doc_id, ids in zip(piece.column(1).to_pylist(), found):
                 held.append((doc_id, ids + end))
                 size += len(ids) // 4 + 1

@@ -1,12 +1,12 @@
 """Byte-level BPE with the tokenizers library over Arrow batches: ids, offsets, decoding.
 
 A text falls into chunks at its white space, and where a full stop or comma ends a word. No rule of
-the three vocabularies looks across such a border, so each distinct chunk is given to the library once per worker and its ids are kept in a
-dictionary of bounded size; the ids of a text are those of its chunks, end to end.
+the three vocabularies looks across such a border, so the distinct chunks of a batch, told apart by a 64-bit hash, are looked up in a dictionary
+of bounded size or given to the library, and the ids of a text are those of its chunks, end to end.
 
 Defined results: null text counts as empty and has no ids; repeated rows give repeated results; an
 empty table gives an empty table; other columns, whatever their names, are neither read nor kept
-unless listed in ``carry``; nulls in them pass through.
+unless listed in ``carry``, and a result replaces one of its name; nulls in them pass through.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from __future__ import annotations
 import base64
 import re
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -23,20 +22,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import over_slices
+from millrace.llm.common import apart, over_slices, text_bytes
+from millrace.llm.scan import POWERS, SPACES, byte_set, mixed
 
 # Characters with the Unicode property White_Space: fixed values.
 WHITE = "\x09-\x0d\x20\x85\xa0  -     　"
+WHITE_WIDE = [chr(c) for c in (
+    0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+ASCII_LETTERS = byte_set((65, 90), (97, 122))
+BYTES = np.random.default_rng(13).integers(1, 1 << 63, 256, dtype=np.uint64)
 # A run of Latin letters ends a chunk where white space, a full stop or a comma follows it.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 PLAIN = f"[{LETTERS}]+(?=[{WHITE}.,]|\\Z)"
 CHUNK = re.compile(f" ?{PLAIN}| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 WORD = re.compile(f"{PLAIN}|[^{WHITE}]+")
 # Chunks kept by one worker, and the longest chunk that is kept.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 300_000
 CACHE_CHARS = 48
 # Text encoded at a time.
-ENCODE_BYTES = 400_000
+ENCODE_BYTES = 2_000_000
 # Words given to the library as one text.
 GROUP = 512
 # What a word-level vocabulary adds to the last piece of a word.
@@ -88,6 +92,41 @@ def tokenizer_from_ranks(path: str, pattern: str):
     return made
 
 
+def chunk_starts(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where chunks begin in texts without white space beyond ASCII.
+
+    A word takes one blank before it along; white space before that is a chunk, and so is a last
+    white character other than a blank. A full stop or comma after an ASCII letter begins one.
+    """
+    white, n = SPACES[raw], len(raw)
+    begin, inner = np.zeros(n + 1, bool), np.ones(n, bool)
+    inner[bounds[:-1][bounds[:-1] < n]] = False
+    begin[bounds] = True
+    turns = np.flatnonzero(white[1:] != white[:-1]) + 1
+    turns = turns[inner[turns]]
+    to_word = turns[~white[turns]]
+    begin[turns[white[turns]]] = True
+    begin[to_word - 1] = True
+    begin[to_word[raw[to_word - 1] != 32]] = True
+    stops = np.flatnonzero((raw == 46) | (raw == 44))
+    stops = stops[inner[stops]]
+    begin[stops[ASCII_LETTERS[raw[stops - 1]]]] = True
+    return np.flatnonzero(begin[:-1])
+
+
+def rare_white(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Rows with white space beyond ASCII."""
+    hits = []
+    for character in WHITE_WIDE:
+        code = character.encode()
+        at = np.flatnonzero(raw == code[0])
+        at = at[at + len(code) <= len(raw)]
+        for k in range(1, len(code)):
+            at = at[raw[at + k] == code[k]]
+        hits.append(at)
+    return np.unique(np.searchsorted(bounds, np.concatenate(hits), side="right") - 1)
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, one ``bytes`` object per text.
 
@@ -127,21 +166,45 @@ class Encoder:
         out.update((c, np.array(x.ids, dtype="<u4").tobytes()) for c, x in zip(rest, found))
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [self.chunk.findall(t) for t in texts]
-        chunks = list(chain.from_iterable(parts))
+    def _found(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of distinct chunks, from the dictionary or the library."""
         found = list(map(self.known.get, chunks))
         missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
-            fresh = self._ids(list({chunks[i] for i in missing}))
-            for i in missing:
-                found[i] = fresh[chunks[i]]
-            if len(self.known) < CACHE_CHUNKS:
-                self.known.update((c, ids) for c, ids in fresh.items() if len(c) <= CACHE_CHARS)
-        out, at = [], 0
-        for p in parts:
-            out.append(NO_BYTES.join(found[at:at + len(p)]))
-            at += len(p)
+            names = [chunks[i].decode() for i in missing]
+            fresh = self._ids(names)
+            full = len(self.known) >= CACHE_CHUNKS
+            for i, name in zip(missing, names):
+                found[i] = ids = fresh[name]
+                if not full and len(name) <= CACHE_CHARS:
+                    self.known[chunks[i]] = ids
+        return found
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text of an Arrow column; null counts as empty."""
+        raw, bounds = text_bytes(texts)
+        starts = chunk_starts(raw, bounds)
+        sizes = np.diff(np.append(starts, len(raw)))
+        if len(starts):
+            at = np.arange(len(raw)) - np.repeat(starts, sizes)
+            h = mixed(np.add.reduceat(BYTES[raw] * POWERS[at & 255], starts) + sizes.astype(np.uint64))
+            _, first, kind = np.unique(h, return_index=True, return_inverse=True)
+            data, begin = raw.tobytes(), starts[first]
+            found = self._found(
+                [data[a:b] for a, b in zip(begin.tolist(), (begin + sizes[first]).tolist())])
+            lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            flat, offset = np.frombuffer(NO_BYTES.join(found), "<u4"), np.cumsum(lengths) - lengths
+            n = lengths[kind]
+            upto = np.concatenate([[0], np.cumsum(n)])
+            ids = flat[np.repeat(offset[kind] - upto[:-1], n) + np.arange(upto[-1])].tobytes()
+            cuts = (4 * upto[np.searchsorted(starts, bounds)]).tolist()
+            out = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+        else:
+            out = [NO_BYTES] * len(texts)
+        for i in rare_white(raw, bounds).tolist():
+            parts = self.chunk.findall(texts[i].as_py())
+            ids = dict(zip(set(parts), self._found([c.encode() for c in set(parts)])))
+            out[i] = NO_BYTES.join(map(ids.__getitem__, parts))
         return out
 
 
@@ -184,18 +247,19 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
     With ``with_offsets`` also ``starts`` and ``ends``, the character range of every id.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    source = docs.select(F.col("text").alias("text"), *carry)
+    source = docs.select(
+        F.col("text").alias("text"), *apart(carry, "ids", "starts", "ends"))
     kept = [f for f in source.schema.fields[1:]]
     fields = [*kept, T.StructField("ids", T.BinaryType())]
     if with_offsets:
         fields += [T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("starts", "ends")]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [t or "" for t in batch.column(0).to_pylist()]
-        ids = rank_encoder(path, pattern).encode(texts)
+        ids = rank_encoder(path, pattern).encode(batch.column(0))
         columns = [*batch.columns[1:], pa.array(ids, pa.binary())]
         if with_offsets:
-            pairs = [offsets(np.frombuffer(i, "<u4"), path, t.encode()) for i, t in zip(ids, texts)]
+            raws = [(t or "").encode() for t in batch.column(0).to_pylist()]
+            pairs = [offsets(np.frombuffer(i, "<u4"), path, r) for i, r in zip(ids, raws)]
             columns += [pa.array([p[k].tolist() for p in pairs], pa.list_(pa.int32())) for k in (0, 1)]
         return pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
@@ -211,7 +275,8 @@ def decode(encoded: DataFrame, path: str | None = None, carry: tuple[str, ...] =
     ``decoded``. Null ids count as none.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    source = encoded.select(F.col("ids").alias("ids"), *carry)
+    source = encoded.select(
+        F.col("ids").alias("ids"), *apart(carry, "ids", "decoded", "text"))
     fields = [*source.schema.fields[1:], T.StructField("ids", T.BinaryType()),
               T.StructField("decoded", T.BinaryType())]
     if with_text:
