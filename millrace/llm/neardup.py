@@ -9,9 +9,13 @@
    meets in the rarest ``shared - MATCHES + 1`` postings of each side: the long lists are skipped.
 3. Every list links its members to the one whose postings are longest, the centre of a group of
    near copies; of those centres a class keeps the one it agrees with most, so that this round
-   makes at most one pair per class. Confirmed links are contracted to components.
-4. Then all pairs of a list that are still in different components are compared. A group of
-   copies of copies is one component by then and makes no pairs.
+   makes at most one pair per class. Confirmed links are contracted to components. Then up to
+   ``ROUNDS`` rounds pair members of a list at random, each class again keeping the closest that
+   is in another component. These rounds only save work.
+4. At last each member of a list that is outside the list's largest component is compared with all
+   of the list that are in other components. A group of copies of copies is one component by then
+   and makes no pairs; a group whose members are alike but not alike enough still makes its pairs,
+   whose number grows with the square of such a group.
 5. Every pair whose signatures agree often enough is confirmed on the two full sets.
 
 Components are found by contraction rounds over the link table: each node takes the smallest node
@@ -20,7 +24,7 @@ around it, links between joined nodes vanish, and the rest go on.
 Defined results: null text, empty text and text of white space have no shingles and link with
 nothing; fewer words than a shingle make one shingle; repeated rows and equal sets are one class;
 a null ``doc_id`` takes part but is never a component's smallest id unless all are null; an empty
-table gives no rows. Columns in ``carry`` pass through whatever their names and values.
+table gives no rows. Columns in ``carry`` pass through, but for those named like a result.
 """
 
 from __future__ import annotations
@@ -29,13 +33,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import fresh, over_slices, staged, text_bytes
-from millrace.llm.quality import SPACES
-from millrace.llm.scan import mixed, words
+from millrace.llm.common import apart, fresh, over_slices, staged, text_bytes
+from millrace.llm.scan import SPACES, mixed, words
 
 COORDINATES = 48
 MATCHES = 26
@@ -43,6 +46,9 @@ WORDS = 4
 # The row number's column, a name that carried columns do not have.
 ROW = fresh("row")
 PERCENT = 80
+ROUNDS = 2
+# Members of a list that a random round orders in one group, about.
+GROUP = 64
 
 _random = np.random.default_rng(19)
 MULTIPLIERS = _random.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -96,7 +102,7 @@ def postings(found: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 def signatures(docs: DataFrame, width: int = WORDS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The carried columns, ``n_shingles``, ``set_key`` (null without shingles) and ``tokens``."""
-    source = docs.select(F.col("text").alias("text"), *carry)
+    source = docs.select(F.col("text").alias("text"), *apart(carry, "n_shingles", "set_key", "tokens"))
     fields = [*source.schema.fields[1:], T.StructField("n_shingles", T.LongType()),
               T.StructField("set_key", T.BinaryType()),
               T.StructField("tokens", T.ArrayType(T.LongType()))]
@@ -181,6 +187,22 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .where(F.col("both") * 100 >= either * percent).select("a", "b"))
 
 
+def _closest(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Of each ``b`` the pair that agrees most."""
+    return staged(_agreeing(pairs, reps).groupBy("b").agg(
+        F.max(F.struct("agree", "a"))["a"].alias("a")).select("a", "b"), "closest")
+
+
+def _open_lists(prefix: DataFrame, joined: DataFrame) -> DataFrame:
+    """The postings of lists that hold more than one component, with each member's component."""
+    placed = staged(
+        prefix.join(joined.withColumnRenamed("node", "set_key"), "set_key", "left")
+        .withColumn("component", F.coalesce("component", "set_key")), "placed")
+    several = placed.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    return placed.join(several.select("token"), "token", "left_semi")
+
+
 def _fits(percent: int):
     """Sets of too different sizes cannot be similar enough."""
     return (F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent)
@@ -194,6 +216,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     ``kept`` marks rows with the smallest id of their component; ``single`` marks one row of each
     component, also where rows are repeated.
     """
+    carry = apart(carry, "doc_id", "n_shingles", "set_key", "tokens", "component_id", "kept", "single", "first")
     # Row numbers are written with the rows, so later stages see the same ones.
     signed = staged(signatures(docs, width, ("doc_id", *carry)).withColumn(
         ROW, F.monotonically_increasing_id()), "signatures")
@@ -210,7 +233,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
         F.sum("long").alias("mass")).where(F.size("found") >= MATCHES)
     rare = F.slice("found", F.lit(1), F.size("found") - MATCHES + 1)
     prefix = staged(
-        lists.select("set_key", "mass", F.explode(rare["token"]).alias("token"))
+        lists.select("set_key", "mass", F.inline(rare))
         .join(reps.select("set_key", "n"), "set_key"), "prefix")
 
     wanted = prefix.select("set_key").distinct().join(reps, "set_key").select(
@@ -226,26 +249,38 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
         "token", F.col("top.set_key").alias("a"), F.col("top.n").alias("other_n"))
     star = prefix.join(centre, "token").where(F.col("a") != F.col("set_key")).where(_fits(percent))
     star = star.select("a", F.col("set_key").alias("b")).distinct()
-    closest = staged(_agreeing(star, reps).groupBy("b").agg(
-        F.max(F.struct("agree", "a"))["a"].alias("a")).select("a", "b"), "closest")
+    tried = closest = _closest(star, reps)
     links = staged(_confirmed(closest, sets, percent), "links")
     joined = components(links)
-
-    placed = staged(
-        prefix.join(joined.withColumnRenamed("node", "set_key"), "set_key", "left")
-        .select("token", "set_key", "n", F.coalesce("component", "set_key").alias("component")),
-        "placed")
-    # Lists that lie in one component by now have nothing left to compare.
-    open_lists = placed.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    placed = placed.join(open_lists.select("token"), "token", "left_semi")
+    for turn in range(ROUNDS):
+        placed = _open_lists(prefix, joined)
+        group = F.pmod(F.xxhash64(F.lit(turn), "set_key"), F.ceil(F.col("long") / GROUP))
+        line = Window.partitionBy("token", "group").orderBy(
+            F.xxhash64(F.lit(ROUNDS + turn), "set_key"))
+        member = F.struct(F.col("set_key").alias("a"), F.col("n").alias("other_n"),
+                          F.col("component").alias("other"))
+        met = placed.withColumn("group", group).select(
+            "*", F.array(F.lead(member, 1).over(line), F.lead(member, 2).over(line)).alias("next"))
+        met = met.select("set_key", "n", "component", F.inline(F.filter("next", lambda x: x.isNotNull())))
+        met = met.where(F.col("component") != F.col("other")).where(_fits(percent)).select(
+            "a", F.col("set_key").alias("b")).distinct()
+        closest = _closest(met.join(tried, ["a", "b"], "left_anti"), reps)
+        found = staged(_confirmed(closest, sets, percent), "links")
+        if found.isEmpty():
+            break
+        tried, links = tried.unionByName(closest), links.unionByName(found)
+        joined = components(links)
+
+    placed = _open_lists(prefix, joined)
+    main = placed.groupBy("token", "component").agg(F.count("*").alias("size")).groupBy("token").agg(
+        F.max(F.struct("size", "component"))["component"].alias("main"))
+    outside = placed.join(main, "token").where(F.col("component") != F.col("main"))
     other = placed.select("token", F.col("set_key").alias("a"), F.col("n").alias("other_n"),
                           F.col("component").alias("other"))
-    rest = placed.join(other, "token").where(
-        (F.col("a") < F.col("set_key")) & (F.col("component") != F.col("other"))).where(_fits(percent))
-    rest = rest.select("a", F.col("set_key").alias("b")).distinct()
-    tried = closest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = rest.join(tried, ["a", "b"], "left_anti")
+    rest = outside.join(other, "token").where(F.col("component") != F.col("other")).where(_fits(percent))
+    ends = F.least("a", "set_key").alias("a"), F.greatest("a", "set_key").alias("b")
+    tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = rest.select(*ends).distinct().join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(_confirmed(_agreeing(rest, reps), sets, percent))
     joined = components(links)
 
