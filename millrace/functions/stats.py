@@ -129,22 +129,28 @@ def running_sums(levels: DataFrame, order: str, sums: list[str], descending: boo
                  slice_rows: int = WINDOW_ROWS) -> DataFrame:
     """Inclusive running totals over a column of distinct values, as ``cum_<name>`` columns.
 
+    A null comes before all values in ascending order, NaN after them, as in any sort of Spark's.
     Quantile cut points, one number per ``slice_rows`` rows, spread the values evenly over
     slices. Totals of whole slices are summed first, then each slice is summed on its own. The
     input is read several times, so it should be staged.
     """
     direction = F.desc if descending else F.asc
-    slices = min(ceil(levels.count() / slice_rows), MAX_SLICES)
-    if slices <= 1:
-        running = Window.orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
-        return levels.select("*", *[F.sum(c).over(running).alias(f"cum_{c}") for c in sums])
+    slices = max(1, min(ceil(levels.count() / slice_rows), MAX_SLICES))
     key = F.col(order).cast("double")
-    fractions = [i / slices for i in range(1, slices)]
-    accuracy = max(SKETCH_ACCURACY, 10 * slices)
-    cuts = levels.agg(F.percentile_approx(key, fractions, accuracy)).first()[0]
-    bounds = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    slicer = Bucketizer(splits=bounds, inputCol="slice_key", outputCol="slice")
-    sliced = slicer.transform(levels.withColumn("slice_key", key)).drop("slice_key")
+    cuts = []
+    if slices > 1:
+        fractions = [i / slices for i in range(1, slices)]
+        accuracy = max(SKETCH_ACCURACY, 10 * slices)
+        numbers = F.when(~F.isnan(key), key)
+        cuts = levels.agg(F.percentile_approx(numbers, fractions, accuracy)).first()[0] or []
+    # Zero is a cut at every size, so the same steps run with one slice or with many.
+    inner = {0.0, *cuts} - {float("-inf"), float("inf")}
+    bounds = [float("-inf"), *sorted(inner), float("inf")]
+    slicer = Bucketizer(
+        splits=bounds, inputCol="slice_key", outputCol="slice", handleInvalid="keep")
+    sliced = slicer.transform(levels.withColumn("slice_key", key)).withColumn(
+        "slice", F.when(key.isNull(), -1.0).when(F.isnan(key), float(len(bounds)))
+        .otherwise(F.col("slice"))).drop("slice_key")
 
     totals = sliced.groupBy("slice").agg(*[F.sum(c).alias(c) for c in sums])
     earlier = Window.orderBy(direction("slice")).rowsBetween(Window.unboundedPreceding, -1)

@@ -169,20 +169,21 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def score_orders(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Class, probability and risk label for a full table.
+    """Class, probability and risk label for a full table, whose own columns stay as they are.
 
-    Missing numbers get the median of this table, missing text ``Unknown``, absent features 0.
+    Only for the model, missing numbers get the median of this table, missing text ``Unknown``, absent features 0.
     """
     numeric = [c for c in NUMERIC if c in df.columns]
     text = [c for c in CATEGORICAL if c in df.columns]
     gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in numeric]).first()
     medians = quantiles(df, {c: 0.5 for c in numeric if gaps[c]}) if any(gaps) else {}
-    ready = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items()})
+    ready = df.withColumn("given", F.struct("*"))
+    ready = ready.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items()})
     ready = ready.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("Unknown")) for c in text})
     ready = ready.withColumns({c: F.lit(0) for c in FEATURES if c not in df.columns})
     scored = predict(model, ready)
     return scored.select(
-        *df.columns, F.col("prediction").alias("predicted_late"),
+        "given.*", F.col("prediction").alias("predicted_late"),
         rounded(F.col("score"), 3).alias("delay_probability"),
         risk_label(F.col("score")).alias("risk_label"),
     )

@@ -46,7 +46,8 @@ def label_failures(df: DataFrame, horizon_hours: int = HORIZON_HOURS, event: str
     """
     hour = F.datediff(F.to_date(TIME), F.lit("1970-01-01")) * 24 + F.hour(TIME)
     own = F.floor(hour / horizon_hours)
-    places = F.when(F.col(event) == 1, F.array(own, own - 1)).otherwise(F.array(own))
+    # A failure without a time belongs to no slice but its own.
+    places = F.when((F.col(event) == 1) & own.isNotNull(), F.array(own, own - 1)).otherwise(F.array(own))
     sliced = df.withColumn("own", own).withColumn("slice", F.explode(places))
     upcoming = (
         Window.partitionBy(MACHINE, "slice").orderBy(F.desc(TIME))

@@ -114,10 +114,6 @@ SENSOR_KEY = {
 }
 
 
-# Columns with many values, by which a fact of fewer splits than cores (one row group, say) is spread.
-FACT_KEYS = {"lineitem": "l_orderkey", "events": "event_id"}
-
-
 # Schemas seen so far, by file: reading a footer again for every view costs a job each time.
 _schemas: dict[str, StructType] = {}
 
@@ -126,11 +122,7 @@ def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
     path = f"{root}/{name}.parquet"
     if path not in _schemas:
         _schemas[path] = spark.read.parquet(path).schema
-    df = spark.read.schema(_schemas[path]).parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if name in FACT_KEYS and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, FACT_KEYS[name])
-    return df
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _view(spark: SparkSession, root: str, text: str) -> DataFrame:

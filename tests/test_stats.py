@@ -68,6 +68,21 @@ def test_running_sums(spark, descending, slice_rows):
         assert found[v] == total
 
 
+@pytest.mark.parametrize("descending", [True, False])
+@pytest.mark.parametrize("slice_rows", [2, 1_000])
+def test_running_sums_place_null_and_nan(spark, descending, slice_rows):
+    rows = [(None, 1), (float("nan"), 10), (1.0, 100), (2.0, 1_000), (3.0, 10_000), (4.0, 100_000)]
+    df = spark.createDataFrame(rows, "v double, n long")
+    found = stats.running_sums(df, "v", ["n"], descending, slice_rows).collect()
+    got = {str(r["v"]): r["cum_n"] for r in found}
+    order = ["None", "1.0", "2.0", "3.0", "4.0", "nan"]
+    size = {str(v): n for v, n in rows}
+    total = 0
+    for v in reversed(order) if descending else order:
+        total += size[v]
+        assert got[v] == total
+
+
 def test_attach_gives_the_same_with_and_without_broadcast(spark):
     df = spark.range(20).select((F.col("id") % 5).alias("k"))
     lookup = spark.createDataFrame([(i, i * i) for i in range(4)], "k long, sq long")
