@@ -102,7 +102,7 @@ def postings(found: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 def signatures(docs: DataFrame, width: int = WORDS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The carried columns, ``n_shingles``, ``set_key`` (null without shingles) and ``tokens``."""
-    source = docs.select(F.col("text").alias("text"), *apart(carry, "n_shingles", "set_key", "tokens"))
+    source = docs.select(F.col("text").alias(fresh("text")), *apart(carry, "n_shingles", "set_key", "tokens"))
     fields = [*source.schema.fields[1:], T.StructField("n_shingles", T.LongType()),
               T.StructField("set_key", T.BinaryType()),
               T.StructField("tokens", T.ArrayType(T.LongType()))]

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import apart, over_slices, remainder, text_bytes
+from millrace.llm.common import apart, fresh, over_slices, remainder, text_bytes
 from millrace.llm.scan import SPACES, byte_set, segments, words
 
 FIT_ROWS = 4_000
@@ -240,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, fit_rows: int = FIT_
 
 def score(docs: DataFrame, field: Field, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The carried columns and ``score``, the probability that a text is good."""
-    source = docs.select(F.col("text").alias("text"), *apart(carry, "score"))
+    source = docs.select(F.col("text").alias(fresh("text")), *apart(carry, "score"))
     fields = [*source.schema.fields[1:], T.StructField("score", T.DoubleType())]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import apart, over_slices, text_bytes
+from millrace.llm.common import apart, fresh, over_slices, text_bytes
 from millrace.llm.scan import POWERS, SPACES, byte_set, mixed
 
 # Characters with the Unicode property White_Space: fixed values.
@@ -139,7 +139,7 @@ class Encoder:
         tokenizer.encode_special_tokens = True
         self.tokenizer, self.known = tokenizer, {}
         self.chunk, self.glue = (WORD, " ") if drops_white else (CHUNK, "")
-        self.plain = re.compile(f"[{LETTERS}]+" if drops_white else f" [{LETTERS}]+").fullmatch
+        self.plain = re.compile(f" ?[{LETTERS}]+" if drops_white else f" [{LETTERS}]+").fullmatch
         self.marks_end = drops_white
         space = byte_characters()[0x20]
         names = tokenizer.get_vocab()
@@ -172,10 +172,10 @@ class Encoder:
         missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
             names = [chunks[i].decode() for i in missing]
-            fresh = self._ids(names)
+            made = self._ids(names)
             full = len(self.known) >= CACHE_CHUNKS
             for i, name in zip(missing, names):
-                found[i] = ids = fresh[name]
+                found[i] = ids = made[name]
                 if not full and len(name) <= CACHE_CHARS:
                     self.known[chunks[i]] = ids
         return found
@@ -248,7 +248,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
     """
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     source = docs.select(
-        F.col("text").alias("text"), *apart(carry, "ids", "starts", "ends"))
+        F.col("text").alias(fresh("text")), *apart(carry, "ids", "starts", "ends"))
     kept = [f for f in source.schema.fields[1:]]
     fields = [*kept, T.StructField("ids", T.BinaryType())]
     if with_offsets:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import apart, over_slices, remainder, text_bytes
+from millrace.llm.common import apart, fresh, over_slices, remainder, text_bytes
 from millrace.llm.quality import labelled_sample, portions
 from millrace.llm.scan import byte_set, segments, words
 
@@ -147,7 +147,7 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ("doc_id",),
           sentence_at: float = 0.5) -> DataFrame:
     """The carried columns, ``score``, and ``offending``: start, end (code points, end exclusive)
     and probability of each sentence whose own probability reaches ``sentence_at``."""
-    source = docs.select(F.col("text").alias("text"), *apart(carry, "score", "offending"))
+    source = docs.select(F.col("text").alias(fresh("text")), *apart(carry, "score", "offending"))
     spans = T.ArrayType(T.StructType([
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
         T.StructField("score", T.DoubleType())]))

@@ -64,7 +64,7 @@ def test_hard_rows_and_missing_labels(docs, none, labels, model):
 
 
 def test_toxic_sentences_are_located():
-    clean = ["the mill stood by the river. nobody came."] * 40
+    clean = ["the mill stood by the river. nobody came é."] * 40
     bad = [f"the mill stood by the river. you total blockhead{i % 2}! nobody came é." for i in range(20)]
     model = toxicity.train(clean + bad, [0] * 40 + [1] * 20)
     raw, bounds = text_bytes(pa.array(["é nobody came. you total blockhead1! the mill.", ""]))
