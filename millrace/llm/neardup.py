@@ -9,9 +9,7 @@
    meets in the rarest ``shared - MATCHES + 1`` postings of each side: the long lists are skipped.
 3. Every list links its members to the one whose postings are longest, the centre of a group of
    near copies; of those centres a class keeps the one it agrees with most, so that this round
-   makes at most one pair per class. Confirmed links are contracted to components. Then up to
-   ``ROUNDS`` rounds pair members of a list at random, each class again keeping the closest that
-   is in another component. These rounds only save work.
+   makes at most one pair per class. Confirmed links are contracted to components.
 4. At last each member of a list that is outside the list's largest component is compared with all
    of the list that are in other components. A group of copies of copies is one component by then
    and makes no pairs; a group whose members are alike but not alike enough still makes its pairs,
@@ -33,7 +31,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,9 +44,6 @@ WORDS = 4
 # The row number's column, a name that carried columns do not have.
 ROW = fresh("row")
 PERCENT = 80
-ROUNDS = 2
-# Members of a list that a random round orders in one group, about.
-GROUP = 64
 
 _random = np.random.default_rng(19)
 MULTIPLIERS = _random.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -233,7 +228,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
         F.sum("long").alias("mass")).where(F.size("found") >= MATCHES)
     rare = F.slice("found", F.lit(1), F.size("found") - MATCHES + 1)
     prefix = staged(
-        lists.select("set_key", "mass", F.inline(rare))
+        lists.select("set_key", "mass", F.explode(rare["token"]).alias("token"))
         .join(reps.select("set_key", "n"), "set_key"), "prefix")
 
     wanted = prefix.select("set_key").distinct().join(reps, "set_key").select(
@@ -249,27 +244,9 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
         "token", F.col("top.set_key").alias("a"), F.col("top.n").alias("other_n"))
     star = prefix.join(centre, "token").where(F.col("a") != F.col("set_key")).where(_fits(percent))
     star = star.select("a", F.col("set_key").alias("b")).distinct()
-    tried = closest = _closest(star, reps)
+    closest = _closest(star, reps)
     links = staged(_confirmed(closest, sets, percent), "links")
     joined = components(links)
-    for turn in range(ROUNDS):
-        placed = _open_lists(prefix, joined)
-        group = F.pmod(F.xxhash64(F.lit(turn), "set_key"), F.ceil(F.col("long") / GROUP))
-        line = Window.partitionBy("token", "group").orderBy(
-            F.xxhash64(F.lit(ROUNDS + turn), "set_key"))
-        member = F.struct(F.col("set_key").alias("a"), F.col("n").alias("other_n"),
-                          F.col("component").alias("other"))
-        met = placed.withColumn("group", group).select(
-            "*", F.array(F.lead(member, 1).over(line), F.lead(member, 2).over(line)).alias("next"))
-        met = met.select("set_key", "n", "component", F.inline(F.filter("next", lambda x: x.isNotNull())))
-        met = met.where(F.col("component") != F.col("other")).where(_fits(percent)).select(
-            "a", F.col("set_key").alias("b")).distinct()
-        closest = _closest(met.join(tried, ["a", "b"], "left_anti"), reps)
-        found = staged(_confirmed(closest, sets, percent), "links")
-        if found.isEmpty():
-            break
-        tried, links = tried.unionByName(closest), links.unionByName(found)
-        joined = components(links)
 
     placed = _open_lists(prefix, joined)
     main = placed.groupBy("token", "component").agg(F.count("*").alias("size")).groupBy("token").agg(
@@ -279,7 +256,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
                           F.col("component").alias("other"))
     rest = outside.join(other, "token").where(F.col("component") != F.col("other")).where(_fits(percent))
     ends = F.least("a", "set_key").alias("a"), F.greatest("a", "set_key").alias("b")
-    tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    tried = closest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = rest.select(*ends).distinct().join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(_confirmed(_agreeing(rest, reps), sets, percent))
     joined = components(links)
