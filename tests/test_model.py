@@ -160,6 +160,8 @@ def test_scoring_fills_gaps_and_absent_features(spark, fitted, clean, tmp_path):
         rows = model.score_orders(loaded, df).collect()
         assert len(rows) == df.count()
         assert all(0 <= r["delay_probability"] <= 1 and r["predicted_late"] in (0, 1) for r in rows)
+        given = model.score_orders(loaded, df).select(*df.columns)
+        assert given.schema == df.schema and given.exceptAll(df).isEmpty()
     same = model.score_orders(fitted.pipeline, view).select("order_id", "delay_probability")
     assert sorted(same.collect()) == sorted(
         model.score_orders(loaded, view).select("order_id", "delay_probability").collect())

@@ -77,6 +77,8 @@ def test_readings_without_a_time_come_last_and_are_kept(spark):
     rows.append((1, 9, None, 1.0, 1.0, 1.0, 1.0, 1.0, 0))
     df = spark.createDataFrame(rows, SCHEMA)
     assert sensors.label_failures(df).count() == 5
+    failed = spark.createDataFrame([*rows[:4], (*rows[4][:8], 1)], SCHEMA)
+    assert sensors.label_failures(failed).count() == 5
     order = {r["event_id"]: r["seq"] for r in sensors.numbered(df).collect()}
     assert order == {0: 0, 1: 1, 2: 2, 3: 3, 9: 4}
 
