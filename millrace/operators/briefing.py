@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.numeric import mean, rounded
 
+# These texts and the sentences of the functions below must match word for word.
 NO_MACHINES = "No machine health data available."
 NO_ORDERS = "No supply chain data available."
 ENGINE = "Template Engine"

@@ -124,6 +124,7 @@ def clip_upper(df: DataFrame, cols: list[str], p: float = 0.99) -> DataFrame:
 def delivery_status(status: Column, risk: Column, scheduled: Column, actual: Column) -> Column:
     return (
         F.when(status == "CANCELED", "Shipping canceled")
+        # The status texts.
         .when(risk == 1, "Late delivery")
         .when(actual < scheduled, "Advance shipping")
         .otherwise("Shipping on time")

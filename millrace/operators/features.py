@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.lookup import mapped, small_or_same
 from millrace.functions.numeric import flag, mean, rounded
 
+# The model's columns and those of the dashboard export, in their order.
 TARGET = "late_delivery_risk"
 CATEGORICAL = [
     "shipping_mode", "order_region", "market", "category_name", "department_name",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle.views import half_up, mean, with_views
 
+# The sentences in the statements below must match word for word.
 AS_OF = "2024-07-01 06:30:00"
 
 CELLS = """(SELECT
