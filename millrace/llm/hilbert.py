@@ -139,12 +139,15 @@ def _best(asked: pa.Table, held: pa.Table, size: int, k: int) -> pa.Table:
             return np.frombuffer(b"".join(t.column("vector").to_pylist()), float).reshape(-1, size)
 
         x, ids = matrix(held), held.column("vec_id").to_numpy()
+        names_held, same = np.unique(ids, return_inverse=True)
+        # Rows that repeat an id take no other row's place.
+        wide = k + len(ids) - len(names_held)
         q, query = matrix(asked), asked.column("vec_id").to_numpy()
         for first in range(0, len(q), QUERIES_AT_ONCE):
             part, names = q[first:first + QUERIES_AT_ONCE], query[first:first + QUERIES_AT_ONCE]
             scores = part @ x.T
             scores[names[:, None] == ids[None, :]] = -np.inf
-            least = np.partition(scores, -k, axis=1)[:, -k] if x.shape[0] > k else np.full(len(part), -np.inf)
+            least = np.partition(scores, -wide, axis=1)[:, -wide] if x.shape[0] > wide else np.full(len(part), -np.inf)
             # The product is computed again in one fixed order, so equal vectors get equal scores.
             near = scores >= (least - 1e-9 * (1 + np.abs(np.where(np.isinf(least), 0, least))))[:, None]
             i, j = np.nonzero(near & (scores > -np.inf))
@@ -153,6 +156,8 @@ def _best(asked: pa.Table, held: pa.Table, size: int, k: int) -> pa.Table:
                 exact[a:a + 65_536] = (part[i[a:a + 65_536]] * x[j[a:a + 65_536]]).sum(1)
             order = np.lexsort((ids[j], -exact, i))
             i, j, exact = i[order], j[order], exact[order]
+            once = np.sort(np.unique(i * len(names_held) + same[j], return_index=True)[1])
+            i, j, exact = i[once], j[once], exact[once]
             first_of = np.searchsorted(i, np.arange(len(part)))
             keep = np.arange(len(i)) - first_of[i] < k
             out.append((names[i[keep]], ids[j[keep]], exact[keep]))
@@ -173,9 +178,12 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20, vector: str = "embeddin
             F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
     placed, rows, size = found
     blocks = max(1, ceil(rows / BLOCK_ROWS), min(LEAST_BLOCKS, rows // LEAST_ROWS))
-    placed = staged(
-        placed.repartitionByRange(CURVES * blocks, "curve", "key")
-        .withColumn("block", F.spark_partition_id()), "curves")
+    if blocks > 1:
+        placed = placed.repartitionByRange(CURVES * blocks, "curve", "key").withColumn(
+            "block", F.spark_partition_id())
+    else:  # range bounds are estimates; a table of one block must not be cut
+        placed = placed.withColumn("block", F.col("curve"))
+    placed = staged(placed, "curves")
     ends = {r["curve"]: (r["low"], r["high"]) for r in placed.groupBy("curve").agg(
         F.min("block").alias("low"), F.max("block").alias("high")).collect()}
     low = F.get(F.array(*[F.lit(ends[c][0]) for c in range(CURVES)]), F.col("curve"))
