@@ -123,6 +123,7 @@ HARD = [
     "4041894974608795 4041-8949-7460-8795 4041 8949 7460 8795 1 2 3 5--6 40418949746087951",
     "+1 (988) 555-2485) +49 30 1234567-- +1 2 +1234567890123456 ++1 234 567 8901 2", "\x01a@b.c\x02 é 😀 1.2.3.4",
     "e 😀😀 q.w@e.r +1 (988) 555-2485 4041894974608795\n10.20.30.40 a.b@c.d",
+    "card 4 0 4 1 8 9 4 9 7 4 6 0 8 7 9 5", "card 4-0-4-1-8-9-4-9-7-4-6-0-8-7-9-5 x",
 ]
 
 
