@@ -174,6 +174,19 @@ def test_trees_add_spans_and_redact(spark):
     assert clean == "é [CARD] and [PHONE]."
 
 
+@pytest.mark.parametrize("every", [0, 2])
+def test_fitted_trees_add_what_the_base_form_lacks(spark, every):
+    """``every``: one in so many numbers of the sample stands without its prefix."""
+    rows = [(i, f"call {'' if every and i % every == 0 else '+1 '}(9{i % 90 + 10}) 555-{1000 + i} now or write to "
+                f"ann{i}@host{i % 7}.org today, see page {i} of 2024-10-{i % 28 + 1:02d} 1 end") for i in range(600)]
+    trees = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    text = "call (988) 555-2485 now or write to bob [at] host3 [dot] org today, see page 5 of 2024-10-07 1 end"
+    lone = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = pii.find(lone, trees).select(pii.listed("base"), pii.listed("spans")).first()
+    at = text.index("bob")
+    assert tuple(found) == ("", f"phone:5:19,email:{at}:{at + len('bob [at] host3 [dot] org')}")
+
+
 @pytest.mark.parametrize("width", [4, 5])
 def test_components(spark, real, docs, none, width):
     rnd = random.Random(width)
