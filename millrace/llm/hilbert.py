@@ -4,8 +4,12 @@ Vectors are extended by one component to a common length, so that the nearest by
 unit query is the largest inner product. ``CURVES`` random projections to ``AXES`` directions, each
 shifted at random and cut to a grid, give every vector a place on as many Hilbert curves. Spark
 range-partitions each curve into blocks; a query meets the blocks within ``SHARE`` of the curve on
-either side (the ends of a curve join), block by block, and the few best of each meeting are merged
-and ranked by the exact product.
+either side (the ends of a curve join) and all blocks that hold its own place, block by block, and
+the few best of each meeting are merged and ranked by the exact product.
+
+Of equal vectors only the k + 1 smallest ids can be among a query's k best beside the query itself, so
+the others are left out before placing, and a vector that many queries share is searched once. Rows of
+one place on a curve are cut into blocks by a hash, so no group of vectors makes a block large.
 
 Without structure in the vectors, near ones are spread over much of any curve, so the windows are a
 share of the table and the work grows with queries times rows, as for exact search; recall against
@@ -84,17 +88,20 @@ def _extended(x: np.ndarray, longest: float) -> np.ndarray:
     return np.hstack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(1)))[:, None]])
 
 
-def place(vectors: DataFrame, every: int, seed: int = 5) -> tuple[DataFrame, int, int] | None:
-    """Every vector, and every query again, on each curve; the number of rows, and dimensions."""
+def measured(vectors: DataFrame) -> tuple[int, float] | None:
+    """The most frequent number of dimensions, and the longest of its vectors."""
     sizes = vectors.groupBy(F.size("vector").alias("size")).agg(
         F.count("*").alias("n"),
         F.max(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v)).alias("square")
     ).orderBy(F.desc("n"), "size").limit(1).collect()
     if not sizes:
         return None
-    size, rows, longest = sizes[0]["size"], sizes[0]["n"], float(sizes[0]["square"]) ** 0.5
-    vectors = vectors.where(F.size("vector") == size)
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).select("vector").collect()
+    return sizes[0]["size"], float(sizes[0]["square"]) ** 0.5
+
+
+def place(points: DataFrame, size: int, longest: float, seed: int = 5) -> DataFrame:
+    """Every vector with a ``vec_id``, and every one with an ``ask`` as a query, on each curve."""
+    sample = points.where("vec_id is not null").orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).select("vector").collect()
     known = _extended(np.array([r["vector"] for r in sample], float), longest)
     random = np.random.default_rng(seed)
     curves = []
@@ -112,11 +119,13 @@ def place(vectors: DataFrame, every: int, seed: int = 5) -> tuple[DataFrame, int
         for whole in batches:
             for first in range(0, whole.num_rows, 2_000):
                 batch = whole.slice(first, 2_000)
-                ids = batch.column(0).to_numpy()
-                x = batch.column(1).flatten().to_numpy().reshape(len(ids), size)
+                x = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, size)
                 raw = np.array([v.tobytes() for v in x], object)
-                far = _extended(x, longest)
-                ask = np.flatnonzero(ids % every == 0)
+                hold = np.flatnonzero(batch.column(0).is_valid().to_numpy(zero_copy_only=False))
+                ask = np.flatnonzero(batch.column(1).is_valid().to_numpy(zero_copy_only=False))
+                ids = batch.column(0).drop_null().to_numpy()
+                asked = batch.column(1).drop_null().to_numpy()
+                far = _extended(x[hold], longest)
                 near = x[ask] / np.sqrt((x[ask] ** 2).sum(1))[:, None]
                 near = np.hstack([near, np.zeros((len(ask), 1))])
                 for c, curve in enumerate(curves):
@@ -124,11 +133,11 @@ def place(vectors: DataFrame, every: int, seed: int = 5) -> tuple[DataFrame, int
                     asks = np.arange(len(key)) >= len(ids)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.full(len(key), c, np.int32)), pa.array(key),
-                        pa.array(np.concatenate([ids, ids[ask]])), pa.array(asks),
-                        pa.array(np.concatenate([raw, raw[ask]]), pa.binary())],
+                        pa.array(np.concatenate([ids, asked])), pa.array(asks),
+                        pa.array(np.concatenate([raw[hold], raw[ask]]), pa.binary())],
                         names=["curve", "key", "vec_id", "asks", "vector"])
 
-    return vectors.select("vec_id", "vector").mapInArrow(work, PLACED), rows, size
+    return points.select("vec_id", "ask", "vector").mapInArrow(work, PLACED)
 
 
 def _best(asked: pa.Table, held: pa.Table, size: int, k: int) -> pa.Table:
@@ -146,7 +155,6 @@ def _best(asked: pa.Table, held: pa.Table, size: int, k: int) -> pa.Table:
         for first in range(0, len(q), QUERIES_AT_ONCE):
             part, names = q[first:first + QUERIES_AT_ONCE], query[first:first + QUERIES_AT_ONCE]
             scores = part @ x.T
-            scores[names[:, None] == ids[None, :]] = -np.inf
             least = np.partition(scores, -wide, axis=1)[:, -wide] if x.shape[0] > wide else np.full(len(part), -np.inf)
             # The product is computed again in one fixed order, so equal vectors get equal scores.
             near = scores >= (least - 1e-9 * (1 + np.abs(np.where(np.isinf(least), 0, least))))[:, None]
@@ -163,7 +171,7 @@ def _best(asked: pa.Table, held: pa.Table, size: int, k: int) -> pa.Table:
             out.append((names[i[keep]], ids[j[keep]], exact[keep]))
     columns = [np.concatenate(c) for c in zip(*out)] if out else [
         np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-    return pa.table({"query_id": columns[0], "vec_id": columns[1], "score": columns[2]})
+    return pa.table({"ask": columns[0], "vec_id": columns[1], "score": columns[2]})
 
 
 def nearest(df: DataFrame, k: int = 20, every: int = 20, vector: str = "embedding") -> DataFrame:
@@ -172,14 +180,26 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20, vector: str = "embeddin
     vectors = df.where(F.col("vec_id").isNotNull() & usable(vector)).select(
         F.col("vec_id").cast("long").alias("vec_id"),
         F.col(vector).cast("array<double>").alias("vector"))
-    found = place(vectors, every)
+    found = measured(vectors)
     if found is None:
         return vectors.limit(0).select(
             F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
-    placed, rows, size = found
+    size, longest = found
+    vectors = staged(vectors.where(F.size("vector") == size).distinct(), "vectors")
+    copies = Window.partitionBy("vector").orderBy("vec_id")
+    kept = vectors.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1)
+    asking = vectors.where(F.col("vec_id") % every == 0)
+    asks = staged(asking.select("vector").distinct().withColumn(
+        "ask", F.monotonically_increasing_id()), "asks")
+    queries = asking.join(asks, "vector").select(F.col("vec_id").alias("query_id"), "ask")
+    points = staged(kept.select("vec_id", F.lit(None).cast("long").alias("ask"), "vector").unionByName(
+        asks.select(F.lit(None).cast("long").alias("vec_id"), "ask", "vector")), "points")
+    rows = points.where("vec_id is not null").count()
+    placed = place(points, size, longest)
     blocks = max(1, ceil(rows / BLOCK_ROWS), min(LEAST_BLOCKS, rows // LEAST_ROWS))
     if blocks > 1:
-        placed = placed.repartitionByRange(CURVES * blocks, "curve", "key").withColumn(
+        placed = placed.repartitionByRange(
+            CURVES * blocks, "curve", "key", F.xxhash64("vec_id", "asks")).withColumn(
             "block", F.spark_partition_id())
     else:  # range bounds are estimates; a table of one block must not be cut
         placed = placed.withColumn("block", F.col("curve"))
@@ -191,18 +211,28 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20, vector: str = "embeddin
     reach = ceil(SHARE * blocks) if blocks > 1 else 0
     together = max(1, QUERIES_PER_TASK * blocks * every // max(rows, 1))
     placed = placed.withColumn("at", F.col("block") - low).withColumn("many", many)
-    steps = F.sequence(F.lit(-reach), F.lit(reach))
-    ring = F.array_distinct(F.transform(steps, lambda d: F.pmod(F.col("at") + d, F.col("many"))))
+    # Places that several blocks hold; at most one for each block's end.
+    cut = placed.groupBy("curve", "key").agg(
+        F.min("at").alias("first"), F.max("at").alias("last")).where("first < last")
+    steps = F.sequence(F.coalesce("first", "at") - reach, F.coalesce("last", "at") + reach)
+    ring = F.array_distinct(F.transform(steps, lambda a: F.pmod(a, F.col("many"))))
     chunk = F.floor(F.col("at") / together).cast("int")
-    asked = placed.where("asks").select(
+    asked = placed.where("asks").join(F.broadcast(cut), ["curve", "key"], "left").select(
         "curve", F.explode(ring).alias("at"), chunk.alias("chunk"), "vec_id", "vector")
-    chunks = F.array_distinct(F.transform(ring, lambda a: F.floor(a / together).cast("int")))
-    held = placed.where("not asks").select(
-        "curve", "at", F.explode(chunks).alias("chunk"), "vec_id", "vector")
     keys = ["curve", "at", "chunk"]
+    # toDF names the columns anew: both sides of the meeting come from the same table.
+    meetings = asked.select(*keys).distinct().toDF(*keys)
+    asked = asked.toDF(*asked.columns)
+    held = placed.where("not asks").select("curve", "at", "vec_id", "vector").join(
+        F.broadcast(meetings), ["curve", "at"])
+    held = held.toDF(*held.columns)
     met = held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(
-        lambda h, a: _best(a, h, size, k), "query_id long, vec_id long, score double")
-    once = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        lambda h, a: _best(a, h, size, k + 1), "ask long, vec_id long, score double")
+    once = met.groupBy("ask", "vec_id").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("ask").orderBy(F.desc("score"), "vec_id")
+    once = once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1).drop("rank")
+    found = queries.join(once, "ask").where("query_id <> vec_id").groupBy("query_id", "vec_id").agg(
+        F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -128,6 +128,33 @@ def test_recall(spark, size):
     assert hits / (20 * len(want)) >= 0.9
 
 
+def test_copies_fill_no_block(spark, monkeypatch):
+    rnd = np.random.default_rng(8)
+    rows = [(i, [float(v) for v in rnd.normal(size=6)]) for i in range(3_000)]
+    rows += [(i, rows[4][1]) for i in range(3_000, 6_000)]
+    rows += [(i, [v + 1e-9 * i for v in rows[7][1]]) for i in range(6_000, 9_000)]  # one place, no copies
+    monkeypatch.setattr(hilbert, "BLOCK_ROWS", 256)
+    sizes, staged = [], hilbert.staged
+
+    def watched(df, name):
+        out = staged(df, name)
+        if name == "curves":
+            sizes.extend(r["count"] for r in out.where("not asks").groupBy("block").count().collect())
+        return out
+
+    monkeypatch.setattr(hilbert, "staged", watched)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in hilbert.nearest(frame).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert max(sizes) <= 4 * 256
+    want = brute_nearest(rows, 20, 20)
+    assert got.keys() == want.keys()
+    hits = sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want)
+    assert hits / (20 * len(want)) >= 0.9
+    assert all(len(got[q]) == 20 for q in want)
+
+
 def test_pipeline_stage_by_stage(spark, real):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality", "toxicity", "near_duplicates", "personal_data", "packing"]
