@@ -90,8 +90,12 @@ def numbered(df: DataFrame) -> DataFrame:
     starts = days.select(
         MACHINE, "day", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start")
     )
-    placed = daily.withColumn("place", F.row_number().over(in_day)).join(starts, [MACHINE, "day"])
-    return placed.withColumn("seq", F.col("start") + F.col("place") - 1).drop("day", "place", "start")
+    starts = starts.toDF("of_machine", "of_day", "start")
+    # A machine that is not known is a history of its own, as in the windows.
+    same = F.col(MACHINE).eqNullSafe(F.col("of_machine")) & (F.col("day") == F.col("of_day"))
+    placed = daily.withColumn("place", F.row_number().over(in_day)).join(starts, same)
+    return placed.withColumn("seq", F.col("start") + F.col("place") - 1).drop(
+        "day", "place", "start", "of_machine", "of_day")
 
 
 def with_lookback(df: DataFrame, window: int, columns: dict[str, Column],

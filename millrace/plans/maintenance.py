@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +43,7 @@ def train_failure_model(readings: DataFrame, rounds: int = 50, test_share: float
     """Classify windows by whether a failure follows within a day.
 
     Windows of one machine overlap, so whole machines are held out: a random split of windows
-    would put nearly the same window on both sides.
+    would put nearly the same window on both sides. A missing feature gets the training median.
     """
     shared_folder(readings.sparkSession)
     windows = sensors.window_features(sensors.label_failures(readings))
@@ -51,26 +51,37 @@ def train_failure_model(readings: DataFrame, rounds: int = 50, test_share: float
     rows = staged(
         windows.select(
             sensors.MACHINE, sensors.READING, LABEL, *sensors.WINDOW_FEATURES, side.alias("is_test")
-        ).dropna(), "windows",
+        ), "windows",
     )
     train = rows.where("not is_test")
     weight = class_weight(train, LABEL).first()["weight"] or 1.0
     weighted = train.withColumn("weight", F.when(F.col(LABEL) == 1, F.lit(weight)).otherwise(1.0))
-    assembler = VectorAssembler(inputCols=sensors.WINDOW_FEATURES, outputCol="features")
+    filled = [f"{c}_filled" for c in sensors.WINDOW_FEATURES]
+    imputer = Imputer(
+        strategy="median", inputCols=sensors.WINDOW_FEATURES, outputCols=filled).fit(train)
+    assembler = VectorAssembler(inputCols=filled, outputCol="features")
     classifier = GBTClassifier(
         labelCol=LABEL, weightCol="weight", maxIter=rounds, maxDepth=5, stepSize=0.1,
         subsamplingRate=0.8, seed=seed, checkpointInterval=10,
-    ).fit(assembler.transform(weighted))
-    model = PipelineModel([assembler, classifier])
+    ).fit(assembler.transform(imputer.transform(weighted)))
+    model = PipelineModel([imputer, assembler, classifier])
     held = _scored(model, rows.where("is_test"), sensors.MACHINE, sensors.READING, LABEL)
     return FailureModel(model, held)
 
 
 def score_failures(model: FailureModel, readings: DataFrame) -> DataFrame:
-    """Probability, hours left and severity for the newest window of every machine."""
-    latest = sensors.latest_features(readings).dropna()
-    p = F.col("score")
-    return _scored(model.pipeline, latest, sensors.MACHINE).select(
+    """Probability, hours left and severity of every machine.
+
+    From the newest window by the model; for a machine without a full one, from the deviation of its
+    newest reading (``health_scores``), null if that reading has no time or lacks a channel.
+    """
+    known = readings.where(F.col(sensors.MACHINE).isNotNull())
+    full = _scored(model.pipeline, sensors.latest_features(known), sensors.MACHINE)
+    deviation = sensors.health_scores(known).select(sensors.MACHINE, "probability")
+    p = F.coalesce("score", "probability")
+    machines = known.select(sensors.MACHINE).distinct()
+    return machines.join(full, sensors.MACHINE, "left").join(
+        deviation, sensors.MACHINE, "left").select(
         sensors.MACHINE, F.round(p, 4).alias("failure_probability"),
         sensors.rul_hours(p).alias("rul_hours"), sensors.severity(p).alias("severity"),
     )

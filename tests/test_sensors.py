@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import sensors
+from millrace.plans.maintenance import score_failures, train_failure_model
 
 SCHEMA = ("machine_id long, event_id long, reading_ts timestamp_ntz, temperature double, "
           "vibration double, pressure double, rpm double, current_amps double, is_failure int")
@@ -72,6 +73,31 @@ def test_sequences(spark, slice_rows):
     assert found == expected
 
 
+def test_readings_without_a_machine_are_a_history_of_their_own(spark):
+    rows = [reading(None, i, i, float(i)) for i in range(8)] + [reading(1, 10 + i, i) for i in range(8)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = {r["event_id"]: r["sequence"] for r in sensors.sequences(frame, 5).collect()}
+    assert found.keys() == {5, 6, 7, 15, 16, 17}
+    assert [step[0] for step in found[6]] == [1.0, 2.0, 3.0, 4.0, 5.0]
+    assert sensors.window_features(frame, 5).count() == 6
+
+
+def test_failure_scores_of_short_and_broken_histories(spark):
+    rng = random.Random(4)
+    rows = [reading(m, 100 * m + i, i, rng.uniform(0, 100), int(i % 25 == 9))
+            for m in range(1, 13) for i in range(60)]
+    rows += [reading(20, 9_000 + i, i, float(i)) for i in range(5)]
+    rows += [(21, 9_100 + i, START + dt.timedelta(hours=i), None if i > 5 else 5.0, 1.0, 100.0, 900.0, 9.0,
+              int(i == 35)) for i in range(40)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    fitted = train_failure_model(frame, rounds=2, test_share=0.0)
+    seen = {r["machine_id"]: r for r in score_failures(fitted, frame).collect()}
+    assert seen.keys() == {*range(1, 13), 20, 21}
+    assert all(r["failure_probability"] is not None and r["severity"] for r in seen.values())
+    own = sensors.health_scores(frame).where("machine_id = 20").first()["probability"]
+    assert seen[20]["failure_probability"] == pytest.approx(own, abs=1e-4)
+
+
 def test_readings_without_a_time_come_last_and_are_kept(spark):
     rows = [reading(1, i, i) for i in range(4)]
     rows.append((1, 9, None, 1.0, 1.0, 1.0, 1.0, 1.0, 0))
