@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.lookup import BROADCAST_ROWS, attach, scalar
+from millrace.functions.lookup import attach, scalar
 from millrace.functions.numeric import rounded
 from millrace.functions.stats import quantiles
 from millrace.operators.features import CATEGORICAL, FEATURES, NUMERIC, TARGET
@@ -113,10 +113,6 @@ def fit_preprocessing(train: DataFrame) -> PipelineModel:
 
     Medians, means, deviations and the sorted category values are learnt from the training rows.
     """
-    sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL]).first()
-    wide = [c for c in CATEGORICAL if sizes[c] > BROADCAST_ROWS]
-    if wide:
-        raise ValueError(f"too many distinct values for ordinal codes: {wide}")
     medians = quantiles(train, dict.fromkeys(NUMERIC, 0.5))
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(medians[c])).alias(c) for c in NUMERIC]
     moments = train.select(*filled).agg(*[

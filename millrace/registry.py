@@ -268,10 +268,10 @@ def _prepared(s: SparkSession, d: str) -> DataFrame:
     return fitted.transform(train).select("order_item_id", "late_delivery_risk", "features")
 
 
-def _trained(s: SparkSession, d: str, rounds: int = 20):
-    """Cleaned orders and a model fitted on them with few rounds."""
+def _trained(s: SparkSession, d: str):
+    """Cleaned orders and a model fitted on them."""
     clean = clean_orders(mart(s, d))
-    return clean, train_delay_model(clean, rounds=rounds)
+    return clean, train_delay_model(clean)
 
 
 def _predictions(s: SparkSession, d: str) -> DataFrame:
@@ -292,14 +292,14 @@ def _importance(s: SparkSession, d: str) -> DataFrame:
 
 
 def _failure_report(s: SparkSession, d: str) -> DataFrame:
-    fitted = train_failure_model(sensor(s, d), rounds=10)
+    fitted = train_failure_model(sensor(s, d))
     report = fitted.report()
     return report.join(fitted.auc(), F.col("class") == "accuracy", "left")
 
 
 def _failure_scores(s: SparkSession, d: str) -> DataFrame:
     readings = sensor(s, d)
-    return score_failures(train_failure_model(readings, rounds=10), readings)
+    return score_failures(train_failure_model(readings), readings)
 
 
 def _model() -> dict[str, Query]:

@@ -8,8 +8,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from millrace import registry
 from millrace.operators import evaluation, model, oversample, sensors
-from millrace.operators.features import FEATURES, NUMERIC, dashboard_view
+from millrace.operators.features import CATEGORICAL, FEATURES, NUMERIC, dashboard_view
 from millrace.plans.delay_model import train_delay_model
 from millrace.plans.etl import clean_orders
 from millrace.plans.maintenance import score_failures, train_failure_model
@@ -189,3 +190,23 @@ def test_failure_model_scores_every_full_machine(spark):
     assert len(scored) == full
     assert all(0 <= r["failure_probability"] <= 1 and 1 <= r["rul_hours"] <= 72 for r in scored)
     assert fitted.report().count() == 5
+
+
+def test_registered_models_train_the_default_rounds(monkeypatch):
+    seen = []
+    for name in ("mart", "sensor", "clean_orders", "score_failures"):
+        monkeypatch.setattr(registry, name, lambda *a: None)
+    for name in ("train_delay_model", "train_failure_model"):
+        monkeypatch.setattr(registry, name, lambda *a, **kw: seen.append(kw))
+    registry._trained(None, "")
+    registry._failure_scores(None, "")
+    assert seen == [{}, {}]
+
+
+def test_wide_categories_are_coded(spark):
+    rows = [(i, *[float(i % 7)] * len(NUMERIC), *[f"v{i:06d}"] * len(CATEGORICAL)) for i in range(60_000)]
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, 8), ["order_item_id", *NUMERIC, *CATEGORICAL])
+    fitted = model.fit_preprocessing(frame)
+    assert all(len(labels) == 60_000 for labels in fitted.stages[0].labelsArray)
+    known = fitted.transform(frame.where("order_item_id = 59999")).select(vector_to_array("features")).first()[0]
+    assert known[len(NUMERIC):] == [59_999.0] * len(CATEGORICAL)
