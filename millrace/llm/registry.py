@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
-    hilbert, neardup, ordermin, packing, pii, quality, sharding, simple8b, tokens, toxicity,
+    hilbert, neardup, ordermin, packing, pii, quality, resample, sharding, simple8b, tokens,
+    toxicity,
 )
 from millrace.llm.common import table
 
@@ -28,8 +29,10 @@ def queries() -> dict[str, Query]:
             table(s, d, "documents"), table(s, d, "labels")),
         "op9_simple8b": lambda s, d: simple8b.written_and_read(table(s, d, "documents")),
         "op10_hypergeometric_shards": lambda s, d: sharding.sharded(table(s, d, "documents")),
+        "op12_importance_resampling": lambda s, d: resample.resample(
+            table(s, d, "documents"), table(s, d, "benchmark")),
     }
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op12_importance_resampling": resample.SQL}
