@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
-    hilbert, neardup, ordermin, packing, pii, quality, resample, sharding, simple8b, tokens,
-    toxicity,
+    grouping, hilbert, neardup, ordermin, packing, pii, quality, resample, sharding, simple8b,
+    tokens, toxicity,
 )
 from millrace.llm.common import table
 
@@ -31,6 +31,7 @@ def queries() -> dict[str, Query]:
         "op10_hypergeometric_shards": lambda s, d: sharding.sharded(table(s, d, "documents")),
         "op12_importance_resampling": lambda s, d: resample.resample(
             table(s, d, "documents"), table(s, d, "benchmark")),
+        "op13_grouping_packing": lambda s, d: grouping.best_fit_pieces(table(s, d, "documents")),
     }
 
 
