@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
-    grouping, hilbert, neardup, ordermin, packing, pii, quality, resample, sharding, simple8b,
-    tokens, toxicity,
+    grouping, hilbert, neardup, negatives, ordermin, packing, pii, quality, resample, sharding,
+    simple8b, tokens, toxicity,
 )
 from millrace.llm.common import table
 
@@ -29,6 +29,7 @@ def queries() -> dict[str, Query]:
             table(s, d, "documents"), table(s, d, "labels")),
         "op9_simple8b": lambda s, d: simple8b.written_and_read(table(s, d, "documents")),
         "op10_hypergeometric_shards": lambda s, d: sharding.sharded(table(s, d, "documents")),
+        "op11_maximus_negatives": lambda s, d: negatives.hard_negatives(table(s, d, "embeddings")),
         "op12_importance_resampling": lambda s, d: resample.resample(
             table(s, d, "documents"), table(s, d, "benchmark")),
         "op13_grouping_packing": lambda s, d: grouping.best_fit_pieces(table(s, d, "documents")),
@@ -36,4 +37,4 @@ def queries() -> dict[str, Query]:
 
 
 def statements() -> dict[str, str]:
-    return {"op12_importance_resampling": resample.SQL}
+    return {"op11_maximus_negatives": negatives.SQL, "op12_importance_resampling": resample.SQL}
