@@ -145,6 +145,63 @@ def test_long_runs_cost_neither_stack_nor_squares(spark):
     assert sizes == {0: 0, 1: 0, 2: 1, 3: 2_500, 4: 0}
 
 
+def test_surroundings_are_those_of_the_text(spark):
+    rnd = random.Random(6)
+    parts = ["1234567", "(98) 765.4321", "12", "é", " x ", "\n", "a" * 30, "+1 200 300 400", "😀"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 60))) for _ in range(60)]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", pii._pieces("near_number").alias("p_near_number"))
+    for r in frame.select("t", pii._spans("near_number", True).alias("found")).collect():
+        for m in r["found"] or []:
+            assert r["t"][m["start"]:m["end"]] == m["m"]
+            assert m["before"] == r["t"][max(m["start"] - pii.CONTEXT, 0):m["start"]]
+            assert m["after"] == r["t"][m["end"]:m["end"] + pii.CONTEXT]
+
+
+def test_many_spans_in_one_text(spark):
+    """Each text has 60,000 spans or matches; the work grows with their number alone."""
+    busy = ", ".join(f"é {i} +1 988 555 {i % 9000 + 1000} a{i}@b.org" for i in range(30_000))
+    idle = " ".join(f"w{i % 977}x{i % 13}" for i in range(30_000))
+    frame = spark.createDataFrame([(1, busy), (2, idle)], "doc_id long, text string")
+    found = pii.find(frame, pii.Trees("1D", {"phone": 0.5, "email": 0.5}), ("doc_id", "text"))
+    rows = {r["doc_id"]: r for r in found.select(
+        "doc_id", F.size("base").alias("n"), pii.redacted("text", "spans").alias("clean")).collect()}
+    assert rows[1]["n"] == 60_000
+    assert rows[1]["clean"] == ", ".join(f"é {i} [PHONE] [EMAIL]" for i in range(30_000))
+    assert rows[2]["clean"] == idle
+
+
+def test_overlaps_and_order_by_plain_loops(spark):
+    rnd = random.Random(8)
+    schema = ("base array<struct<kind string, rank int, start int, end int>>, "
+              "spans array<struct<kind string, rank int, start int, end int>>")
+    rows = []
+    for n in (0, 1, 5, 40, 700):
+        base = [("ip", rnd.randint(0, 3), a := rnd.randint(0, 8 * n), a + rnd.randint(1, 9))
+                for _ in range(n)]
+        at, follow = 0, []
+        for _ in range(n):
+            at += rnd.randint(0, 5)
+            follow.append(("email", 0, at, at := at + rnd.randint(1, 6)))
+        rows += [(base, follow), ([], follow), (base, [])]
+    frame = spark.createDataFrame(rows, schema).select(
+        "base", "spans", F.expr(pii.overlapping("base", "spans")).alias("reach"),
+        F.expr(pii.in_order("concat(base, base, spans)")).alias("sorted"))
+    for r in frame.collect():
+        hits = [reach > s["start"] for reach, s in zip(r["reach"], r["spans"], strict=True)]
+        assert hits == [any(b["start"] < s["end"] and s["start"] < b["end"] for b in r["base"])
+                        for s in r["spans"]]
+        assert [(x["start"], x["rank"], x["end"], x["kind"]) for x in r["sorted"]] == sorted(
+            {(x["start"], x["rank"], x["end"], x["kind"]) for x in r["base"] + r["spans"]})
+
+
+def test_no_number_with_a_wrong_check_digit_is_added(spark):
+    frame = spark.createDataFrame(
+        [(1, "no 4041 8949 7460 8796 here"), (2, "no 4041894974608796 here")], "doc_id long, text string")
+    every = pii.Trees("1D", {"card": 0.5, "phone": 0.5, "email": 0.5})
+    assert [r[0] for r in pii.find(frame, every).select(pii.listed("spans")).collect()] == ["", ""]
+
+
 def test_query_keeps_the_base_spans(real):
     text_of = dict(real.select("doc_id", "text").collect())
     for r in pii.personal_data(real).collect():
