@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-# Odd multipliers, one for each place in a word, repeating after 256 places.
+# Odd multipliers for the first 256 places in a word; those of later ones are derived from them.
 POWERS = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -51,6 +51,9 @@ def words(raw: np.ndarray, bounds: np.ndarray, inside: np.ndarray,
     sizes = np.diff(np.append(begin, len(places)))
     at = (np.arange(len(places)) - np.repeat(begin, sizes))
     parts = VALUES[raw[places]] * POWERS[at & 255]
+    if len(at) and at.max() > 255:  # later places get multipliers of their own
+        far = np.flatnonzero(at > 255)
+        parts[far] *= mixed((at[far] >> 8).astype(np.uint64)) | np.uint64(1)
     out = [mixed(np.add.reduceat(parts, begin))]
     for k in prefixes:
         out.append(mixed(np.add.reduceat(np.where(at < k, parts, np.uint64(0)), begin) + np.uint64(k)))

@@ -1,8 +1,8 @@
 """Byte-level BPE with the tokenizers library over Arrow batches: ids, offsets, decoding.
 
 A text falls into chunks at its white space, and where a full stop or comma ends a word. No rule of
-the three vocabularies looks across such a border, so the distinct chunks of a batch, told apart by a 64-bit hash, are looked up in a dictionary
-of bounded size or given to the library, and the ids of a text are those of its chunks, end to end.
+the three vocabularies looks across such a border, so the distinct chunks of a batch, found by a hash and compared byte by byte, are looked up
+in a dictionary of bounded size or given to the library, and the ids of a text are those of its chunks, end to end.
 
 Defined results: null text counts as empty and has no ids; repeated rows give repeated results; an
 empty table gives an empty table; other columns, whatever their names, are neither read nor kept
@@ -189,6 +189,13 @@ class Encoder:
             at = np.arange(len(raw)) - np.repeat(starts, sizes)
             h = mixed(np.add.reduceat(BYTES[raw] * POWERS[at & 255], starts) + sizes.astype(np.uint64))
             _, first, kind = np.unique(h, return_index=True, return_inverse=True)
+            # Chunks share ids only if their bytes are equal; the others are kinds of their own.
+            model = first[kind]
+            same = np.logical_and.reduceat(
+                raw[np.minimum(np.repeat(starts[model], sizes) + at, len(raw) - 1)] == raw, starts)
+            apart = np.flatnonzero(~(same & (sizes[model] == sizes)))
+            kind[apart] = len(first) + np.arange(len(apart))
+            first = np.concatenate([first, apart])
             data, begin = raw.tobytes(), starts[first]
             found = self._found(
                 [data[a:b] for a, b in zip(begin.tolist(), (begin + sizes[first]).tolist())])

@@ -1,8 +1,10 @@
 """Token operators against the libraries themselves: ids, decoding, packing, files."""
 
 import base64
+import hashlib
 import random
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -52,6 +54,59 @@ def test_ids_are_those_of_the_libraries(library):
         assert found == whole(name, texts), name
 
 
+def swapped():
+    """Unbroken texts of the same bytes, in which stretches of 256 bytes have changed places."""
+    rnd = random.Random(9)
+    x, y = ("".join(rnd.choice("abcdefghij") for _ in range(256)) for _ in range(2))
+    return [x + y, y + x, x + y + x, x + x + y, x + y]
+
+
+def test_long_chunks_are_told_apart(library):
+    column = pa.array(swapped())
+    by_rank = tokens.rank_encoder(RANKS, public_tokenizers.PATTERN).encode(column)
+    assert by_rank == [np.array(library.encode_ordinary(t), "<u4").tobytes() for t in swapped()]
+    for name, drops in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
+        found = tokens.file_encoder(public_tokenizers.path(name), drops).encode(column)
+        assert found == whole(name, swapped()) and found[0] != found[1], name
+
+
+def test_equal_hashes_of_unequal_chunks_change_nothing(monkeypatch):
+    monkeypatch.setattr(tokens, "mixed", lambda h: h & np.uint64(7))
+    texts = odd_texts()[:200] + swapped()
+    made = tokens.Encoder(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), False)
+    assert made.encode(pa.array(texts)) == whole("byte_bpe_50k.json", texts)
+
+
+def test_queries_by_the_libraries_alone(docs, spark, library):
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()] + list(enumerate(swapped(), 100))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    expected = []
+    for key, text in rows:
+        ids = library.encode_ordinary(text or "")
+        raw = np.array(ids, "<u4").tobytes()
+        expected.append((key, len(ids), hashlib.sha256(raw).hexdigest(),
+                         hashlib.sha256((text or "").encode()).hexdigest()))
+    found = [tuple(r) for r in tokens.round_trip(frame).collect()]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+    ids_of = {k: i + b"\x01\0\0\0" for (k, _), i in zip(
+        rows, whole("word_bpe_49k.json", [t for _, t in rows]))}
+    copies, pieces = Counter(k for k, _ in rows), defaultdict(list)  # rows of one id are alike
+    for r in packing.packed_pieces(frame).collect():
+        ids = ids_of[r["doc_id"]]
+        cut = ids[4 * r["start"]:4 * (r["start"] + r["length"])]
+        assert r["ids_crc32"] == zlib.crc32(cut) and len(cut) == 4 * r["length"]
+        assert r["doc_tokens"] == len(ids) // 4
+        pieces[r["doc_id"]].append((r["start"], r["start"] + r["length"]))
+    assert pieces.keys() == ids_of.keys()
+    for key, found in pieces.items():
+        found.sort()
+        assert all(found.count(p) == copies[key] for p in found)
+        ends = sorted(set(found))
+        assert [a for a, _ in ends] == [0, *(b for _, b in ends[:-1])]
+        assert ends[-1][1] == len(ids_of[key]) // 4
+
+
 def test_full_dictionary_changes_nothing(monkeypatch):
     texts = odd_texts()[:100]
     monkeypatch.setattr(tokens, "CACHE_CHUNKS", 5)
