@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.lookup import mapped
+from millrace.session import staged
 
 SKETCH_ACCURACY = 10_000
 # Ten times the sketch's own rank error, so the wanted rank is inside the band.
@@ -125,6 +126,26 @@ def rank_among(few: DataFrame, population: DataFrame, value: str, out: str,
     return few.withColumn("bin", bin_of).join(F.broadcast(ahead), "bin").drop("bin")
 
 
+def places(df: DataFrame, key: str, order: str, out: str) -> DataFrame:
+    """Zero-based place of every row among the rows of its key, by distinct values of ``order``.
+
+    Rows are cut into ranges of (key, order) and sorted within them, so no task holds more than a
+    range, however large one key is. A row's place is its place in its range plus the rows that the
+    key has in ranges before: one small number per key and range.
+    """
+    at, piece = "at", "piece"
+    ranges = staged(
+        df.repartitionByRange(F.asc(key), F.asc(order)).sortWithinPartitions(key, order)
+        .withColumns({
+            piece: F.spark_partition_id(),
+            at: F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), "ranges")
+    earlier = Window.partitionBy(key).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.groupBy(key, piece).agg(F.count("*").alias("n"), F.min(at).alias("first")).select(
+        key, piece, (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
+    return ranges.join(starts, [key, piece]).select(
+        *df.columns, (F.col("shift") + F.col(at)).alias(out))
+
+
 def running_sums(levels: DataFrame, order: str, sums: list[str], descending: bool = False,
                  slice_rows: int = WINDOW_ROWS) -> DataFrame:
     """Inclusive running totals over a column of distinct values, as ``cum_<name>`` columns.

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from dataclasses import dataclass
+
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.lookup import attach, scalar
+from millrace.functions.lookup import attach
 from millrace.functions.numeric import rounded
 from millrace.functions.stats import quantiles
-from millrace.operators.features import CATEGORICAL, FEATURES, NUMERIC, TARGET
-from millrace.session import shared_folder
+from millrace.operators.features import CATEGORICAL, FEATURES, NUMERIC, TARGET, incoming_orders
+from millrace.operators.preparation import Preparation
+from millrace.session import shared_folder, staged
 
 # Labels, limits and messages of the risk levels.
 HIGH, MEDIUM, LOW = "🔴 High Risk", "🟡 Medium Risk", "🟢 Low Risk"
@@ -27,8 +28,11 @@ ADVICE = {
     "LOW RISK": "This order is likely to be delivered ON TIME. Continue with the current shipping "
                 "plan.",
 }
-# Hexadecimal digits of the digest prefix that rows are counted by.
+# Hexadecimal digits by which the counted prefix of a digest grows, the rows of a prefix that one task
+# may order, and the digits of a whole digest.
 PREFIX_DIGITS = 4
+PREFIX_ROWS = 100_000
+DIGEST_DIGITS = 32
 
 
 def digest_of(key: str, seed: int) -> Column:
@@ -38,23 +42,33 @@ def digest_of(key: str, seed: int) -> Column:
 def quota_limits(hashed: DataFrame, group: str, quota: Column) -> DataFrame:
     """Per group the digest of its ``quota``-th row in digest order, as (group, limit).
 
-    ``quota`` may refer to the group's row count as ``total``. Counting rows per digest prefix
-    finds the one prefix in which the quota is reached; only the rows of that prefix are ordered.
+    ``quota`` may refer to the group's row count as ``total``. Rows are counted per digest prefix,
+    which tells the one prefix in which the quota is reached; as long as that holds too many rows,
+    they are counted again by a longer prefix. Only the rows of the last prefix are ordered. There
+    is one small number per group and prefix, and few groups: the classes of a label.
     """
-    prefix = F.conv(F.substring("digest", 1, PREFIX_DIGITS), 16, 10).cast("bigint")
-    keyed = hashed.select(group, "digest").withColumn("prefix", prefix)
-    counts = keyed.groupBy(group, "prefix").agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy(group).orderBy("prefix"))
-    total = F.sum("n").over(Window.partitionBy(group))
-    reached = (
-        counts.select(group, "prefix", "n", upto.alias("upto"), total.alias("total"))
-        .withColumn("quota", quota)
-        .where((F.col("upto") - F.col("n") < F.col("quota")) & (F.col("upto") >= F.col("quota")))
-        .select(group, "prefix", "quota", (F.col("upto") - F.col("n")).alias("before"))
-    )
-    rows = keyed.join(F.broadcast(reached), [group, "prefix"])
-    place = F.col("before") + F.row_number().over(Window.partitionBy(group).orderBy("digest"))
-    rows = rows.withColumn("place", place).where("place = quota")
+    spark, digits = hashed.sparkSession, PREFIX_DIGITS
+    keyed = staged(hashed.select(group, "digest"), "digests")
+    within = keyed.withColumns(
+        {"quota": F.lit(None).cast("bigint"), "base": F.lit(0).cast("bigint")})
+    while True:
+        counts = within.groupBy(group, F.substring("digest", 1, digits).alias("prefix")).agg(
+            F.count("*").alias("n"), F.first("quota").alias("given"), F.first("base").alias("base"))
+        upto = F.col("base") + F.sum("n").over(Window.partitionBy(group).orderBy("prefix"))
+        total = F.sum("n").over(Window.partitionBy(group))
+        reached = (
+            counts.select(group, "prefix", "n", "given", upto.alias("upto"), total.alias("total"))
+            .withColumn("quota", F.coalesce("given", quota.cast("bigint")))
+            .where((F.col("upto") - F.col("n") < F.col("quota")) & (F.col("upto") >= F.col("quota")))
+            .select(group, "prefix", "n", "quota", (F.col("upto") - F.col("n")).alias("base")))
+        found = reached.collect()
+        bounds = F.broadcast(spark.createDataFrame(found, reached.schema).drop("n"))
+        within = keyed.join(bounds, group).where(F.startswith("digest", "prefix")).drop("prefix")
+        if digits >= DIGEST_DIGITS or all(r["n"] <= PREFIX_ROWS for r in found):
+            break
+        digits = min(digits + PREFIX_DIGITS, DIGEST_DIGITS)
+    place = F.col("base") + F.row_number().over(Window.partitionBy(group).orderBy("digest"))
+    rows = within.withColumn("place", place).where("place = quota")
     return rows.select(group, F.col("digest").alias("limit"))
 
 
@@ -79,65 +93,6 @@ def class_weight(df: DataFrame, label: str = TARGET) -> DataFrame:
         rounded(F.try_divide(F.col("neg").cast("double"), F.col("pos")), 2).alias("weight"))
 
 
-def ordinal_encode(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:
-    """Append ``<name>_code``: place of the value among the sorted known values, -1 if unknown."""
-    for c in cols:
-        known = (df if fit_on is None else fit_on).where(F.col(c).isNotNull()).select(c).distinct()
-        code = (F.row_number().over(Window.orderBy(c)) - 1).alias(f"{c}_code")
-        df = attach(df, known.select(c, code), c)
-        df = df.withColumn(f"{c}_code", F.coalesce(f"{c}_code", F.lit(-1)))
-    return df
-
-
-def standard_scale(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:
-    """Zero mean and unit population deviation; a constant column becomes 0."""
-    source = df if fit_on is None else fit_on
-    moments = source.agg(*[
-        F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("sd")).alias(c) for c in cols
-    ])
-
-    def scaled(c: str) -> Column:
-        m = F.col("moments")[c]
-        return (F.col(c) - m["mean"]) / F.coalesce(F.nullif(m["sd"], F.lit(0.0)), F.lit(1.0))
-
-    placed = df.withColumn("moments", scalar(moments))
-    return placed.withColumns({c: scaled(c) for c in cols}).drop("moments")
-
-
-def _number(value: float) -> str:
-    return f"CAST({value!r} AS DOUBLE)"
-
-
-def fit_preprocessing(train: DataFrame) -> PipelineModel:
-    """Fill, scale and encode as a saveable pipeline that ends in a feature vector.
-
-    Medians, means, deviations and the sorted category values are learnt from the training rows.
-    """
-    medians = quantiles(train, dict.fromkeys(NUMERIC, 0.5))
-    filled = [F.coalesce(F.col(c).cast("double"), F.lit(medians[c])).alias(c) for c in NUMERIC]
-    moments = train.select(*filled).agg(*[
-        F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("sd")).alias(c) for c in NUMERIC
-    ]).first()
-    scaled = [
-        f"(coalesce(CAST({c} AS DOUBLE), {_number(medians[c])}) - {_number(moments[c]['mean'])}) / "
-        f"{_number(moments[c]['sd'] or 1.0)} AS {c}_scaled"
-        for c in NUMERIC
-    ]
-    indexer = StringIndexer(
-        inputCols=CATEGORICAL, outputCols=[f"{c}_index" for c in CATEGORICAL],
-        stringOrderType="alphabetAsc", handleInvalid="keep",
-    ).fit(train.select(*[F.col(c).cast("string") for c in CATEGORICAL]))
-    # the index of an unseen value is the number of known ones
-    codes = [
-        f"CASE WHEN {c}_index = {len(labels)} THEN -1.0 ELSE {c}_index END AS {c}_code"
-        for c, labels in zip(CATEGORICAL, indexer.labelsArray)
-    ]
-    statement = "SELECT *, " + ", ".join(scaled + codes) + " FROM __THIS__"
-    columns = [f"{c}_scaled" for c in NUMERIC] + [f"{c}_code" for c in CATEGORICAL]
-    assembler = VectorAssembler(inputCols=columns, outputCol="features")
-    return PipelineModel([indexer, SQLTransformer(statement=statement), assembler])
-
-
 def fit_classifier(train: DataFrame, weight: float = 1.0, rounds: int = 300, seed: int = 42,
                    label: str = TARGET):
     """Boosted trees over a prepared ``features`` vector; positives count ``weight`` times.
@@ -156,15 +111,45 @@ def fit_classifier(train: DataFrame, weight: float = 1.0, rounds: int = 300, see
     ).fit(weighted)
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Classifier:
+    """Fitted preprocessing and boosted trees; saved as plain tables and a Spark ML model."""
+
+    preparation: Preparation
+    trees: GBTClassificationModel
+
+    def save(self, folder: str) -> None:
+        self.preparation.save(f"{folder}/preparation")
+        self.trees.save(f"{folder}/trees")
+
+    @staticmethod
+    def load(spark: SparkSession, folder: str) -> Classifier:
+        return Classifier(
+            Preparation.load(spark, f"{folder}/preparation"),
+            GBTClassificationModel.load(f"{folder}/trees"))
+
+
+def predict(model: Classifier, df: DataFrame) -> DataFrame:
     """Add ``score`` and ``prediction`` to rows that have all feature columns."""
-    text = df.withColumns({c: F.col(c).cast("string") for c in CATEGORICAL})
-    out = model.transform(text)
+    out = model.trees.transform(model.preparation.transform(df))
     score = vector_to_array("probability")[1].alias("score")
     return out.select(*df.columns, score, F.col("prediction").cast("int").alias("prediction"))
 
 
-def score_orders(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score_incoming(model: Classifier, df: DataFrame, keep: list[str]) -> DataFrame:
+    """Probability, level and advice for new orders without an outcome: a table or a stream.
+
+    Levels compare the unrounded probability. All steps are projections and joins with the model's own
+    tables, so ``df`` may be a stream; ``keep`` names the columns that identify an order.
+    """
+    scored = predict(model, incoming_orders(df, keep))
+    level = risk_level(F.col("score"))
+    return scored.select(
+        *keep, F.col("prediction").alias("predicted_late"), F.col("score").alias("delay_probability"),
+        level.alias("risk_level"), advice(level).alias("message"))
+
+
+def score_orders(model: Classifier, df: DataFrame) -> DataFrame:
     """Class, probability and risk label for a full table, whose own columns stay as they are.
 
     Only for the model, missing numbers get the median of this table, missing text ``Unknown``, absent features 0.
@@ -222,10 +207,11 @@ def risk_factors(df: DataFrame, key: str = "order_item_id") -> DataFrame:
     return df.select(key, F.inline(F.array(*rows))).withColumn("level", level)
 
 
-def feature_importance(model: PipelineModel, df: DataFrame, n: int = 15) -> DataFrame:
+def feature_importance(model: Classifier, n: int = 15) -> DataFrame:
     """The n most important features, least important first."""
-    weights = model.stages[-1].featureImportances.toArray()
-    pairs = [(name, float(w)) for name, w in zip(NUMERIC + CATEGORICAL, weights)]
-    table = df.sparkSession.createDataFrame(pairs, "Feature string, Importance double")
+    weights = model.trees.featureImportances.toArray()
+    pairs = [(name, float(w)) for name, w in zip(model.preparation.columns, weights)]
+    spark = model.preparation.codes.sparkSession
+    table = spark.createDataFrame(pairs, "Feature string, Importance double")
     top = table.orderBy(F.desc("Importance"), "Feature").limit(n)
     return top.orderBy("Importance", F.desc("Feature"))

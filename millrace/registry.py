@@ -13,7 +13,10 @@ from millrace.operators import (
     briefing, cleaning, evaluation, features, marts, model, monitoring, quality, sensors,
 )
 from millrace.operators.oversample import oversample
-from millrace.plans.delay_model import train_delay_model, training_rows
+from millrace.operators.preparation import fit_preparation
+from millrace.plans.delay_model import (
+    DelayModel, fit_on_training_rows, train_delay_model, training_rows,
+)
 from millrace.plans.etl import clean_orders
 from millrace.plans.maintenance import score_failures, train_failure_model
 from millrace.session import new_folder, shared_folder
@@ -261,34 +264,69 @@ def _split(s: SparkSession, d: str) -> DataFrame:
     return model.stratified_split(rows)
 
 
+def _rows(s: SparkSession, d: str) -> DataFrame:
+    return training_rows(_clean(s, d))
+
+
 def _prepared(s: SparkSession, d: str) -> DataFrame:
     """Feature vectors of the training rows."""
-    train = training_rows(clean_orders(mart(s, d))).where("split = 'train'")
-    fitted = model.fit_preprocessing(train)
-    return fitted.transform(train).select("order_item_id", "late_delivery_risk", "features")
+    rows = _rows(s, d)
+    train = rows.where("split = 'train'")
+    return fit_on_training_rows(rows).transform(train).select(
+        "order_item_id", "late_delivery_risk", "features")
+
+
+def _filled(s: SparkSession, d: str) -> DataFrame:
+    """Features of incoming orders, whose gaps are filled with what was learnt from them."""
+    orders_in = features.incoming_orders(cleaning.extract(
+        mart_with_gaps(s, d)["orders"], customers(s, d), products(s, d)), ["order_item_id"])
+    return fit_preparation(orders_in, features.NUMERIC, features.CATEGORICAL).fill(orders_in)
+
+
+# Folders of the models that this process has trained, by application and state of the input.
+_models: dict[tuple[str, str], str] = {}
+
 
+def _state_of(s: SparkSession, d: str) -> str:
+    """Names, sizes and times of the input's files."""
+    found = []
+    for name in ("orders", "lineitem", "customer", "part", "nation", "region"):
+        files = s.read.parquet(f"{d}/{name}.parquet").select(
+            "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+        found += sorted(map(str, files.distinct().collect()))
+    return "\n".join(found)
 
-def _trained(s: SparkSession, d: str):
-    """Cleaned orders and a model fitted on them."""
-    clean = clean_orders(mart(s, d))
-    return clean, train_delay_model(clean)
+
+def _trained(s: SparkSession, d: str) -> DelayModel:
+    """The model of these orders: trained and saved by the first query that asks, then loaded."""
+    asked = (s.sparkContext.applicationId, _state_of(s, d))
+    if asked not in _models:
+        folder = new_folder(s, "delay_model")
+        train_delay_model(clean_orders(mart(s, d))).save(folder)
+        _models[asked] = folder
+    return DelayModel.load(s, _models[asked])
 
 
 def _predictions(s: SparkSession, d: str) -> DataFrame:
-    clean, fitted = _trained(s, d)
-    return model.score_orders(fitted.pipeline, features.dashboard_view(clean))
+    view = features.dashboard_view(clean_orders(mart(s, d)))
+    return model.score_orders(_trained(s, d).classifier, view)
+
+
+def _incoming_scores(s: SparkSession, d: str) -> DataFrame:
+    """Orders before cleaning, scored one by one by the saved model."""
+    arrived = cleaning.extract(mart_with_gaps(s, d)["orders"], customers(s, d), products(s, d))
+    return model.score_incoming(_trained(s, d).classifier, arrived, ["order_item_id"])
 
 
 def _oversampled(s: SparkSession, d: str) -> DataFrame:
-    """Rows and new rows per class after balancing."""
+    """Rows, new rows and sums of the new vectors per class after balancing."""
     rows = oversample(_prepared(s, d), "late_delivery_risk")
+    x = vector_to_array("features")
+    made = F.col("parent").isNotNull()
     return rows.groupBy("late_delivery_risk").agg(
-        F.count("*").alias("n"), F.count("parent").alias("added"))
-
-
-def _importance(s: SparkSession, d: str) -> DataFrame:
-    clean, fitted = _trained(s, d)
-    return model.feature_importance(fitted.pipeline, clean)
+        F.count("*").alias("n"), F.count("parent").alias("added"),
+        *[rounded(F.coalesce(F.sum(F.when(made, x[i])), F.lit(0.0)), 3).alias(f"sum_{c}")
+          for i, c in enumerate([*features.NUMERIC, *features.CATEGORICAL])])
 
 
 def _failure_report(s: SparkSession, d: str) -> DataFrame:
@@ -303,12 +341,22 @@ def _failure_scores(s: SparkSession, d: str) -> DataFrame:
 
 
 def _model() -> dict[str, Query]:
-    numeric = ["days_for_shipment_scheduled", "order_item_quantity", "order_item_discount_rate",
-               "order_item_product_price"]
-    text = ["shipping_mode", "order_region", "market", "type"]
+    numeric, text = features.NUMERIC, features.CATEGORICAL
+
+    def scaled(s: SparkSession, d: str) -> DataFrame:
+        rows = _rows(s, d)
+        return _digits(fit_on_training_rows(rows).scale(rows), numeric).select(
+            "order_item_id", *numeric)
+
+    def encoded(s: SparkSession, d: str) -> DataFrame:
+        rows, codes = _rows(s, d), [f"{c}_code" for c in text]
+        fitted = fit_on_training_rows(rows)
+        return fitted.encode(fitted.fill(rows)).select("order_item_id", *codes)
 
-    def gaps(s: SparkSession, d: str) -> DataFrame:
-        return mart_with_gaps(s, d)["orders"]
+    def vectors(s: SparkSession, d: str) -> DataFrame:
+        x = vector_to_array("features")
+        return _prepared(s, d).select("order_item_id", *[
+            rounded(x[i], 6).alias(f"x_{c}") for i, c in enumerate([*numeric, *text])])
 
     def labelled(s: SparkSession, d: str) -> DataFrame:
         label = model.risk_label(F.col("score")).alias("risk_label")
@@ -323,25 +371,21 @@ def _model() -> dict[str, Query]:
         "ml_split": _split,
         "ev_base_rates": lambda s, d: evaluation.late_rate_by_split(
             _split(s, d), label="late_delivery_risk"),
-        "ml_impute_num": lambda s, d: cleaning.fill_median(gaps(s, d), ["sales"]).select(
-            "order_item_id", "sales"),
-        "ml_impute_cat": lambda s, d: cleaning.fill_mode(gaps(s, d), ["type"]).select(
-            "order_item_id", "type"),
-        "ml_scale": lambda s, d: _digits(
-            model.standard_scale(orders(s, d), numeric), numeric).select("order_item_id", *numeric),
-        "ml_encode": lambda s, d: model.ordinal_encode(
-            orders(s, d).select("order_item_id", *text), text).select(
-            "order_item_id", *[f"{c}_code" for c in text]),
-        "ml_assemble": lambda s, d: _prepared(s, d).select(
-            "order_item_id", vector_to_array("features").alias("features")),
+        "ml_impute_num": lambda s, d: _digits(_filled(s, d), numeric).select(
+            "order_item_id", *numeric),
+        "ml_impute_cat": lambda s, d: _filled(s, d).select("order_item_id", *text),
+        "ml_scale": scaled,
+        "ml_encode": encoded,
+        "ml_assemble": vectors,
         "ml_class_weight": lambda s, d: model.class_weight(_split(s, d).where("split = 'train'")),
         "ml_oversample": _oversampled,
-        "ml_train": lambda s, d: _trained(s, d)[1].metrics(),
+        "ml_train": lambda s, d: _trained(s, d).metrics(),
         "ml_score": _predictions,
+        "ml_score_incoming": _incoming_scores,
         "ml_risk_label": labelled,
         "ml_advice": advised,
         "ml_factor_flags": lambda s, d: _digits(model.risk_factors(_clean(s, d)), ["score"]),
-        "ev_importance": _importance,
+        "ev_importance": lambda s, d: model.feature_importance(_trained(s, d).classifier),
         "sink_predictions": lambda s, d: tables.write_table(
             _predictions(s, d), new_folder(s, "predictions")),
         "ts_failure_train": _failure_report,

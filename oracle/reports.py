@@ -72,16 +72,69 @@ def _split(source: str) -> str:
 SPLIT = _split("sc_orders")
 
 
+# The model's columns in the order of its vector.
+NUMERIC = [
+    "days_for_shipment_scheduled", "order_item_quantity", "order_item_discount_rate",
+    "order_item_product_price", "sales", "revenue_per_unit", "is_weekend_order", "has_discount",
+    "order_hour", "order_month", "market_risk_score", "region_risk_score", "mode_risk_score",
+]
+CATEGORICAL = [
+    "shipping_mode", "order_region", "market", "category_name", "department_name",
+    "customer_segment", "payment_type",
+]
+
+
+def _scaled(c: str) -> str:
+    train = "FILTER (split = 'train') OVER ()"
+    return f"({c} - avg({c}) {train}) / coalesce(nullif(stddev_pop({c}) {train}, 0), 1)"
+
+
+def _code(c: str) -> str:
+    """How many training values are smaller, unless the value itself is not one of them."""
+    known = f"(SELECT DISTINCT {c} AS v FROM model_rows WHERE split = 'train')"
+    return (f"(SELECT CASE WHEN count(*) FILTER (v = {c}) = 0 THEN -1 ELSE count(*) FILTER (v < {c}) END "
+            f"FROM {known})::DOUBLE")
+
+
+# The smaller class is raised with points between a row and one of its five nearest others.
+OVERSAMPLED = """
+placed AS MATERIALIZED (SELECT *, md5(order_item_id || '42') AS digest,
+  count(*) OVER (PARTITION BY label) AS size FROM model_vectors WHERE split = 'train'),
+ends AS (SELECT min(size) AS small, max(size) AS large FROM placed),
+few AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY digest, order_item_id) AS nth, {grid} FROM placed, ends
+  WHERE label = (SELECT arg_min(label, (size, label)) FROM placed)),
+chosen AS (SELECT *, (large - small) // small
+  + CASE WHEN nth <= (large - small) % small THEN 1 ELSE 0 END AS copies FROM few),
+near AS MATERIALIZED (SELECT a.order_item_id, min_by(b.nth, ({distance}) * 100000 + b.nth, 5) AS partners
+  FROM (SELECT * FROM chosen WHERE copies > 0) a JOIN few b ON b.nth <= 20000
+    AND a.order_item_id <> b.order_item_id GROUP BY a.order_item_id),
+steps AS (SELECT c.*, copy,
+    CAST('0x' || substr(md5(concat_ws('#', order_item_id, copy, 42)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u,
+    CAST('0x' || substr(md5(concat_ws('#', order_item_id, copy, 43)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS t
+  FROM chosen c, unnest(range(1, copies + 1)) AS r(copy)),
+made AS (SELECT s.label, {moved} FROM steps s JOIN near USING (order_item_id)
+  JOIN few p ON p.nth = partners[CAST(floor(u * len(partners)) AS INT) + 1]),
+totals AS (SELECT label, {totals} FROM made GROUP BY label)
+SELECT label AS late_delivery_risk, large AS n, large - size AS added, {sums}
+FROM (SELECT DISTINCT label, size, large FROM placed, ends) LEFT JOIN totals USING (label)"""
+
+
 def model() -> dict[str, str]:
-    scaled = ", ".join(
-        half_up(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()", 6) + f" AS {c}"
-        for c in ("days_for_shipment_scheduled", "order_item_quantity", "order_item_discount_rate",
-                  "order_item_product_price")
-    )
-    codes = ", ".join(
-        f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS INTEGER) AS {c}_code"
-        for c in ("shipping_mode", "order_region", "market", "type")
-    )
+    names = [*NUMERIC, *CATEGORICAL]
+    rows = f"model_rows AS MATERIALIZED (SELECT c.*, split FROM sc_clean c JOIN {_split('sc_items')} USING (order_item_id))"
+    vectors = ", ".join(
+        [f"{_scaled(c)} AS x_{c}" for c in NUMERIC] + [f"{_code(c)} AS x_{c}" for c in CATEGORICAL])
+    vectors = f"""{rows},
+model_vectors AS MATERIALIZED (SELECT order_item_id, late_delivery_risk::INT AS label, split, {vectors}
+  FROM model_rows)"""
+    distance = " + ".join(
+        f"(a.g_{c} - b.g_{c}) * (a.g_{c} - b.g_{c})" for c in names)
+    oversampled = OVERSAMPLED.format(
+        distance=distance,
+        grid=", ".join(f"CAST(floor(x_{c} * 1024 + 0.5) AS BIGINT) AS g_{c}" for c in names),
+        moved=", ".join(f"s.x_{c} + t * (p.x_{c} - s.x_{c}) AS x_{c}" for c in names),
+        totals=", ".join(f"sum(x_{c}) AS x_{c}" for c in names),
+        sums=", ".join(half_up(f"coalesce(x_{c}, 0)", 3) + f" AS sum_{c}" for c in names))
     levels = [
         ("Market Risk Score", "market_risk_score"), ("Region Risk Score", "region_risk_score"),
         ("Mode Risk Score", "mode_risk_score"),
@@ -99,20 +152,24 @@ def model() -> dict[str, str]:
         "ml_split": f"SELECT order_item_id, label AS late_delivery_risk, split FROM {SPLIT}",
         "ev_base_rates": f"""
 SELECT split, COUNT(*) AS n, {mean("label")} AS late_rate FROM {SPLIT} GROUP BY split""",
-        "ml_impute_num": """
-SELECT order_item_id, coalesce(CAST(sales AS DOUBLE),
-  (SELECT median(CAST(sales AS DOUBLE)) FROM sc_orders_gaps)) AS sales FROM sc_orders_gaps""",
-        "ml_impute_cat": """
-SELECT order_item_id, coalesce(type, (SELECT type FROM sc_orders_gaps WHERE type IS NOT NULL
-  GROUP BY type ORDER BY COUNT(*) DESC, type LIMIT 1)) AS type FROM sc_orders_gaps""",
-        "ml_scale": f"SELECT order_item_id, {scaled} FROM sc_orders",
-        "ml_encode": f"SELECT order_item_id, {codes} FROM sc_orders",
+        "ml_impute_num": "SELECT order_item_id, " + ", ".join(
+            half_up(f"coalesce({c}::DOUBLE, (SELECT median({c}::DOUBLE) FROM sc_incoming))", 6)
+            + f" AS {c}" for c in NUMERIC) + " FROM sc_incoming",
+        "ml_impute_cat": "SELECT order_item_id, " + ", ".join(
+            f"coalesce({c}, (SELECT {c} FROM sc_incoming WHERE {c} IS NOT NULL GROUP BY {c} "
+            f"ORDER BY COUNT(*) DESC, {c} LIMIT 1)) AS {c}" for c in CATEGORICAL)
+            + " FROM sc_incoming",
+        "ml_scale": f"WITH {rows} SELECT order_item_id, " + ", ".join(
+            f"{half_up(_scaled(c), 6)} AS {c}" for c in NUMERIC) + " FROM model_rows",
+        "ml_encode": f"WITH {rows} SELECT order_item_id, " + ", ".join(
+            f"{_code(c)} AS {c}_code" for c in CATEGORICAL) + " FROM model_rows",
+        "ml_assemble": f"WITH {vectors} SELECT order_item_id, " + ", ".join(
+            f"{half_up(f'x_{c}', 6)} AS x_{c}" for c in names)
+            + " FROM model_vectors WHERE split = 'train'",
         "ml_class_weight": f"""
 SELECT {half_up("CAST(COUNT(*) FILTER (label = 0) AS DOUBLE) / COUNT(*) FILTER (label = 1)", 2)}
   AS weight FROM {SPLIT} WHERE split = 'train'""",
-        "ml_oversample": f"""
-SELECT label AS late_delivery_risk, MAX(COUNT(*)) OVER () AS n,
-  MAX(COUNT(*)) OVER () - COUNT(*) AS added FROM {_split("sc_items")} WHERE split = 'train' GROUP BY label""",
+        "ml_oversample": f"WITH {vectors}, {oversampled}",
         "ml_risk_label": f"""
 SELECT risk_label, COUNT(*) AS n FROM (SELECT {label.format(p=half_up("score", 3))} AS risk_label
   FROM sc_scored) GROUP BY risk_label""",
@@ -212,4 +269,5 @@ FROM (SELECT date_trunc('month', order_date) AS month, CAST(SUM(late_delivery_ri
 
 
 def statements() -> dict[str, str]:
-    return {name: with_views(sql) for name, sql in {**metrics(), **model(), **briefing()}.items()}
+    parts = {**metrics(), **model(), **briefing()}
+    return {name: with_views(sql) for name, sql in parts.items()}

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from oracle.views import CHANNELS, RISK_COLUMNS, half_up, mean, money, pct, with_views
+from oracle.views import CHANNELS, MODE_RISK, RISK_COLUMNS, half_up, mean, money, pct, with_views
 
 ORDER_COLUMNS = """order_id, order_item_id, customer_id, product_id, order_date, shipping_date,
   shipping_mode, order_status, delivery_status, late_delivery_risk, days_for_shipping_real,
@@ -147,9 +147,7 @@ SELECT order_item_id, {key}, SUM(late_delivery_risk) OVER (PARTITION BY {key})
 FROM sc_orders WHERE order_status <> 'CANCELED'"""
         for short, key in (("market", "market"), ("region", "order_region"), ("mode", "shipping_mode"))
     }
-    mode_risk = """CASE shipping_mode WHEN 'Standard Class' THEN 63e-2
-  WHEN 'Second Class' THEN 56e-2 WHEN 'First Class' THEN 48e-2 WHEN 'Same Day' THEN 35e-2
-  ELSE 55e-2 END AS mode_risk_score"""
+    mode_risk = MODE_RISK
     return {
         "fe_delay_days": """
 SELECT order_item_id, days_for_shipping_real - days_for_shipment_scheduled AS shipping_delay_days
@@ -182,16 +180,7 @@ FROM sc_orders""",
         "fe_lookup_risk": f"""
 SELECT order_item_id, 55e-2 AS market_risk_score, 55e-2 AS region_risk_score, {mode_risk}
 FROM sc_orders""",
-        "fe_incoming_order": f"""
-SELECT order_item_id, shipping_mode, order_region, market, category_name, department_name,
-  customer_segment, payment_type, days_for_shipment_scheduled, order_item_quantity,
-  order_item_discount_rate, order_item_product_price, sales,
-  {half_up("CAST(sales AS DOUBLE) / greatest(order_item_quantity, 1)", 2)} AS revenue_per_unit,
-  CASE WHEN isodow(order_date) >= 6 THEN 1 ELSE 0 END AS is_weekend_order,
-  CASE WHEN order_item_discount_rate > 0 THEN 1 ELSE 0 END AS has_discount,
-  CAST(hour(order_date) AS INTEGER) AS order_hour, CAST(month(order_date) AS INTEGER) AS order_month,
-  55e-2 AS market_risk_score, 55e-2 AS region_risk_score, {mode_risk}
-FROM sc_extracted""",
+        "fe_incoming_order": "SELECT * FROM sc_incoming",
     }
 
 

@@ -29,6 +29,10 @@ RISK_COLUMNS = {
     "shipping_mode": "mode_risk_score",
 }
 
+MODE_RISK = """CASE shipping_mode WHEN 'Standard Class' THEN 63e-2
+  WHEN 'Second Class' THEN 56e-2 WHEN 'First Class' THEN 48e-2 WHEN 'Same Day' THEN 35e-2
+  ELSE 55e-2 END AS mode_risk_score"""
+
 _NAMES = {t: t for t in (*fixtures.WAREHOUSE, "sc_orders")}
 
 BODY = {
@@ -50,6 +54,17 @@ SELECT order_id, order_item_id, order_date, shipping_date, shipping_mode, order_
 FROM sc_orders_gaps o JOIN sc_customers c ON o.customer_id = c.customer_id
 JOIN sc_products p ON o.product_id = p.product_id
 WHERE order_status <> 'CANCELED'""",
+    # features of orders without an outcome
+    "sc_incoming": f"""
+SELECT order_item_id, shipping_mode, order_region, market, category_name, department_name,
+  customer_segment, payment_type, days_for_shipment_scheduled, order_item_quantity,
+  order_item_discount_rate, order_item_product_price, sales,
+  {half_up("CAST(sales AS DOUBLE) / greatest(order_item_quantity, 1)", 2)} AS revenue_per_unit,
+  CASE WHEN isodow(order_date) >= 6 THEN 1 ELSE 0 END AS is_weekend_order,
+  CASE WHEN order_item_discount_rate > 0 THEN 1 ELSE 0 END AS has_discount,
+  CAST(hour(order_date) AS INTEGER) AS order_hour, CAST(month(order_date) AS INTEGER) AS order_month,
+  55e-2 AS market_risk_score, 55e-2 AS region_risk_score, {MODE_RISK}
+FROM sc_extracted""",
     "sc_items": """
 SELECT * FROM sc_extracted QUALIFY ROW_NUMBER() OVER (PARTITION BY order_item_id
   ORDER BY order_date, order_id, order_item_quantity, sales_per_customer, benefit_per_order) = 1""",
@@ -145,4 +160,8 @@ def with_views(statement: str) -> str:
     ordered = [n for n in BODY if n in wanted]
     if not ordered:
         return statement.strip()
-    return "WITH " + ",\n".join(f"{n} AS ({BODY[n]})" for n in ordered) + "\n" + statement.strip()
+    views = ",\n".join(f"{n} AS ({BODY[n]})" for n in ordered)
+    own = statement.strip()
+    if own.startswith("WITH "):  # a statement may have further expressions of its own
+        return f"WITH {views},\n{own.removeprefix('WITH ')}"
+    return f"WITH {views}\n{own}"

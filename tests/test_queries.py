@@ -12,7 +12,7 @@ QUERIES = entry.queries()
 # These train a model and are covered by test_model.
 TRAINED = {
     "ml_train", "ml_score", "ev_importance", "sink_predictions", "ts_failure_train",
-    "ts_failure_score", "adv_risk_radar", "ml_assemble",
+    "ts_failure_score", "adv_risk_radar", "ml_score_incoming",
 }
 
 
