@@ -17,6 +17,8 @@ BAND = 10 / SKETCH_ACCURACY
 BAND_CELLS = 4_096
 WINDOW_ROWS = 1_000_000
 MAX_SLICES = 100_000
+# Parts that the rows of a key fall into while its first rows are sought.
+TOP_PARTS = 32
 
 
 def quantiles(df: DataFrame, wanted: dict[str, float],
@@ -126,6 +128,23 @@ def rank_among(few: DataFrame, population: DataFrame, value: str, out: str,
     return few.withColumn("bin", bin_of).join(F.broadcast(ahead), "bin").drop("bin")
 
 
+def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, spread: str,
+                out: str) -> DataFrame:
+    """The first ``n`` rows of every key, numbered from 1 as ``out``.
+
+    Each key's rows are parted by a hash of ``spread``, a column that tells rows apart, and every
+    part keeps its own first n; those of all parts meet again. No task holds more of a key than one
+    part, then ``TOP_PARTS`` times n rows, whatever n is.
+    """
+    part = F.pmod(F.xxhash64(spread), F.lit(TOP_PARTS))
+    of_part = Window.partitionBy(*keys, "part").orderBy(*order)
+    leading = df.withColumn("part", part).withColumn(out, F.row_number().over(of_part))
+    of_key = Window.partitionBy(*keys).orderBy(*order)
+    return (
+        leading.where(F.col(out) <= n).drop("part", out)
+        .withColumn(out, F.row_number().over(of_key)).where(F.col(out) <= n))
+
+
 def places(df: DataFrame, key: str, order: str, out: str) -> DataFrame:
     """Zero-based place of every row among the rows of its key, by distinct values of ``order``.
 

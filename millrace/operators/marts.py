@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.numeric import mean, money, percent, rounded
-from millrace.functions.stats import rank_among
+from millrace.functions.stats import rank_among, top_per_key
 from millrace.session import staged
 
 
@@ -176,7 +176,7 @@ def risk_radar(orders: DataFrame, products: DataFrame, threshold: float = 55,
     """Late items of regions whose rounded late percentage exceeds the threshold.
 
     The result ranks by region rate first, so it lies within the top items of each region; those
-    are picked before the rates are joined and the fact is never shuffled by region.
+    are picked before the rates are joined, and no task ever holds a region.
     """
     late = (
         orders.where(F.col("late_delivery_risk") == 1)
@@ -187,8 +187,8 @@ def risk_radar(orders: DataFrame, products: DataFrame, threshold: float = 55,
             "late_delivery_risk",
         )
     )
-    largest = Window.partitionBy("order_region").orderBy(F.desc("sales"), "order_item_id")
-    leading = late.withColumn("place", F.row_number().over(largest)).where(F.col("place") <= limit)
+    largest = [F.desc("sales"), F.asc("order_item_id")]
+    leading = top_per_key(late, ["order_region"], largest, limit, "order_item_id", "place")
     risky = region_late_rates(orders).where(F.col("region_late_rate") > threshold)
     return (
         leading.join(risky, "order_region")

@@ -10,10 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.lookup import scalar, small_or_same
+from millrace.functions.lookup import scalar
 from millrace.functions.numeric import clamp, rounded
-from millrace.operators.cleaning import dedup
-from millrace.session import staged
+from millrace.functions.stats import top_per_key
 
 MACHINE, TIME, READING = "machine_id", "reading_ts", "event_id"
 
@@ -27,9 +26,11 @@ HORIZON_HOURS = 24
 LIFE_HOURS = 72
 
 CHANNELS = list(RANGES)
+# Readings of a machine that a bucket of time should hold at most, and the buckets' lengths in minutes.
 SLICE_ROWS = 100_000
-# Stands for a missing time, so that such readings come last.
-NO_DAY = "9999-12-31"
+BUCKETS = (1440, 480, 120, 60, 30, 10, 5, 1)
+# Buckets of readings without a time come after all others.
+UNTIMED = 1 << 60
 
 
 def clip_ranges(df: DataFrame, ranges: dict[str, tuple[float, float]] = RANGES) -> DataFrame:
@@ -40,26 +41,30 @@ def label_failures(df: DataFrame, horizon_hours: int = HORIZON_HOURS, event: str
                    out: str = "failure_in_24h") -> DataFrame:
     """1 where the same machine fails at the reading's time or within the horizon after it.
 
-    Time is cut into slices one horizon long, so the deciding failure lies in the reading's own
-    slice or in the next; failures are copied into the slice before theirs. Within a slice the
-    next failure is a running minimum in descending time order.
+    Time is cut into slices one horizon long. A failure in the reading's own slice counts if it is
+    not earlier, so the slice's last one decides; one in the next slice counts if it is near enough,
+    so the first one decides. These two times per machine and slice, found by a plain aggregate, are
+    joined to the readings; the history itself is never sorted or gathered. Readings and failures
+    without a time have no slice: such a reading is 0, such a failure marks nothing.
     """
-    hour = F.datediff(F.to_date(TIME), F.lit("1970-01-01")) * 24 + F.hour(TIME)
-    own = F.floor(hour / horizon_hours)
-    # A failure without a time belongs to no slice but its own.
-    places = F.when((F.col(event) == 1) & own.isNotNull(), F.array(own, own - 1)).otherwise(F.array(own))
-    sliced = df.withColumn("own", own).withColumn("slice", F.explode(places))
-    upcoming = (
-        Window.partitionBy(MACHINE, "slice").orderBy(F.desc(TIME))
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    next_failure = F.min(F.when(F.col(event) == 1, F.col(TIME))).over(upcoming)
-    labelled = sliced.withColumn("next_failure", next_failure).where("slice <=> own")
+    def slice_of(time: Column) -> Column:
+        hour = F.datediff(F.to_date(time), F.lit("1970-01-01")) * 24 + F.hour(time)
+        return F.floor(hour / horizon_hours)
+
+    failures = df.where((F.col(event) == 1) & F.col(TIME).isNotNull()).groupBy(
+        F.col(MACHINE).alias("of_machine"), slice_of(F.col(TIME)).alias("at")).agg(
+        F.min(TIME).alias("first"), F.max(TIME).alias("last"))
+    none = F.lit(None).cast(df.schema[TIME].dataType)
+    places = F.array(
+        F.struct(F.col("at").alias("slice"), none.alias("next"), F.col("last")),
+        F.struct((F.col("at") - 1).alias("slice"), F.col("first").alias("next"), none.alias("last")))
+    ends = failures.select("of_machine", F.inline(places)).groupBy("of_machine", "slice").agg(
+        F.min("next").alias("next_first"), F.max("last").alias("own_last"))
+    same = F.col(MACHINE).eqNullSafe(F.col("of_machine")) & (slice_of(F.col(TIME)) == F.col("slice"))
     limit = F.col(TIME) + F.make_dt_interval(hours=F.lit(horizon_hours))
-    return (
-        labelled.withColumn(out, F.coalesce(F.col("next_failure") <= limit, F.lit(False)).cast("int"))
-        .drop("own", "slice", "next_failure")
-    )
+    fails = F.coalesce(F.col("own_last") >= F.col(TIME), F.lit(False)) | F.coalesce(
+        F.col("next_first") <= limit, F.lit(False))
+    return df.join(ends, same, "left").select(*df.columns, fails.cast("int").alias(out))
 
 
 def minmax(df: DataFrame, cols: list[str] = CHANNELS, fit_on: DataFrame | None = None) -> DataFrame:
@@ -75,46 +80,43 @@ def minmax(df: DataFrame, cols: list[str] = CHANNELS, fit_on: DataFrame | None =
     return df.withColumn("ends", scalar(ends)).withColumns({c: scaled(c) for c in cols}).drop("ends")
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """Add ``seq``, the zero-based place of a reading in its machine's history.
-
-    Readings are numbered within a machine's day; the days' totals, one small row each, give the
-    number a day starts from.
-    """
-    daily = df.withColumn("day", F.coalesce(F.to_date(TIME), F.lit(NO_DAY).cast("date")))
-    in_day = Window.partitionBy(MACHINE, "day").orderBy(TIME, READING)
-    days = daily.groupBy(MACHINE, "day").agg(F.count("*").alias("n"))
-    earlier = (
-        Window.partitionBy(MACHINE).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = days.select(
-        MACHINE, "day", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start")
-    )
-    starts = starts.toDF("of_machine", "of_day", "start")
-    # A machine that is not known is a history of its own, as in the windows.
-    same = F.col(MACHINE).eqNullSafe(F.col("of_machine")) & (F.col("day") == F.col("of_day"))
-    placed = daily.withColumn("place", F.row_number().over(in_day)).join(starts, same)
-    return placed.withColumn("seq", F.col("start") + F.col("place") - 1).drop(
-        "day", "place", "start", "of_machine", "of_day")
+def bucket_minutes(df: DataFrame, most_rows: int) -> int:
+    """Length of the time buckets that histories are cut into: a day, or less where some machine has
+    more than ``most_rows`` readings in one. Counted per machine and day, so no history moves."""
+    daily = df.where(F.col(TIME).isNotNull()).groupBy(MACHINE, F.to_date(TIME)).agg(F.count("*").alias("n"))
+    busiest = daily.agg(F.max("n")).first()[0] or 0
+    parts = -(-busiest // most_rows) or 1
+    return next((m for m in BUCKETS if 1440 // m >= parts), BUCKETS[-1])
 
 
 def with_lookback(df: DataFrame, window: int, columns: dict[str, Column],
                   slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Add aggregates over the ``window`` preceding readings, for readings that have that many.
 
-    ``columns`` are aggregate expressions. Histories are cut into slices of equal length, and
-    the last ``window`` readings of a slice are copied into the next one.
+    ``columns`` are aggregate expressions. Histories are cut into buckets of time. Within a bucket,
+    all but its first ``window`` readings find the readings before them; these first ones and the
+    last ``window`` of each bucket, few rows of a history, meet once more per machine. So the
+    history is shuffled once, and no task holds more of it than a bucket. Readings without a time
+    come last, in the order of their ids, and are cut into buckets by these.
     """
-    slice_rows = max(slice_rows, window)
-    own = F.floor(F.col("seq") / slice_rows)
-    near_end = F.col("seq") % slice_rows >= slice_rows - window
-    places = F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))
-    sliced = numbered(df).withColumn("slice", F.explode(places))
-    before = Window.partitionBy(MACHINE, "slice").orderBy("seq").rowsBetween(-window, -1)
-    added = sliced.select(
-        *df.columns, "seq", "slice", *[agg.over(before).alias(out) for out, agg in columns.items()]
-    )
-    return added.where((F.col("slice") == own) & (F.col("seq") >= window)).drop("slice", "seq")
+    minute = F.datediff(F.to_date(TIME), F.lit("1970-01-01")) * 1440 + F.hour(TIME) * 60 + F.minute(TIME)
+    untimed = F.lit(UNTIMED) + F.coalesce(F.floor(F.col(READING) / max(slice_rows, window)), F.lit(0))
+    bucket = F.coalesce(F.floor(minute / bucket_minutes(df, slice_rows)), untimed)
+    in_bucket = Window.partitionBy(MACHINE, "bucket").orderBy(TIME, READING)
+    near = in_bucket.rowsBetween(-window, -1)
+    placed = df.withColumn("bucket", bucket).select(
+        "*", F.row_number().over(in_bucket).alias("place"),
+        F.lead(F.lit(1), window).over(in_bucket).isNull().alias("is_last"),
+        *[agg.over(near).alias(out) for out, agg in columns.items()])
+    inner = placed.where(F.col("place") > window).select(*df.columns, *columns)
+    edges = placed.where((F.col("place") <= window) | F.col("is_last")).select(
+        *df.columns, "bucket", "place")
+    before = Window.partitionBy(MACHINE).orderBy("bucket", TIME, READING).rowsBetween(-window, -1)
+    outer = edges.select(
+        *df.columns, "place", F.count(F.lit(1)).over(before).alias("known"),
+        *[agg.over(before).alias(out) for out, agg in columns.items()])
+    outer = outer.where((F.col("place") <= window) & (F.col("known") == window))
+    return inner.unionByName(outer.select(*df.columns, *columns))
 
 
 def sequences(df: DataFrame, window: int = WINDOW, cols: list[str] = CHANNELS,
@@ -123,8 +125,10 @@ def sequences(df: DataFrame, window: int = WINDOW, cols: list[str] = CHANNELS,
 
     The reading itself is not part of its list. Copies every reading ``window`` times.
     """
-    lists = {"sequence": F.collect_list(F.array(*cols))}
-    return with_lookback(df, window, lists, slice_rows)
+    # The step is a column of its own, so that both parts of the look-back read one exchange.
+    stepped = df.withColumn("step", F.array(*cols))
+    lists = {"sequence": F.collect_list("step")}
+    return with_lookback(stepped, window, lists, slice_rows).drop("step")
 
 
 def window_features(df: DataFrame, window: int = WINDOW, cols: list[str] = CHANNELS,
@@ -147,9 +151,9 @@ WINDOW_FEATURES = [
 
 
 def latest_window(df: DataFrame, n: int = WINDOW) -> DataFrame:
-    """The newest n readings of every machine; the rank limit is applied before the shuffle."""
-    newest = Window.partitionBy(MACHINE).orderBy(F.desc(TIME), F.desc(READING))
-    ranked = df.withColumn("age", F.row_number().over(newest)).where(F.col("age") <= n)
+    """The newest n readings of every machine."""
+    newest = [F.desc(TIME), F.desc(READING)]
+    ranked = top_per_key(df, [MACHINE], newest, n, READING, "age")
     return ranked.withColumn("age", F.col("age").cast("bigint"))
 
 
@@ -187,16 +191,13 @@ def health_scores(df: DataFrame, cols: list[str] = CHANNELS) -> DataFrame:
     The mean absolute deviation in sample standard deviations, divided by 4 and limited to 0..1.
     A channel that never varied counts as having deviation 1.
 
-    Moments and newest times are plain hash aggregates, staged at one row per machine; joining
-    the times back picks the newest readings without sorting or shuffling the history.
+    Moments and the newest reading come from one mergeable aggregate over one scan. A reading without a
+    time is older than any other, so a machine that has only such readings is scored by its last id.
     """
     moments = [F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("sd")).alias(f"of_{c}") for c in cols]
-    machines = staged(
-        df.where(F.col(MACHINE).isNotNull()).groupBy(MACHINE).agg(F.max(TIME).alias("newest"), *moments),
-        "machine_moments",
-    )
-    times = small_or_same(machines.select(MACHINE, F.col("newest").alias(TIME)))
-    newest = dedup(df.join(times, [MACHINE, TIME]), [MACHINE], [F.desc(READING)])
+    newest = F.max_by(F.struct(*cols), F.struct(TIME, READING)).alias("newest")
+    machines = df.where(F.col(MACHINE).isNotNull()).groupBy(MACHINE).agg(newest, *moments)
+    machines = machines.select(MACHINE, "newest.*", *[f"of_{c}" for c in cols])
 
     def distance(c: str) -> Column:
         sd = F.coalesce(F.nullif(F.col(f"of_{c}")["sd"], F.lit(0.0)), F.lit(1.0))
@@ -204,7 +205,7 @@ def health_scores(df: DataFrame, cols: list[str] = CHANNELS) -> DataFrame:
 
     total = sum((distance(c) for c in cols[1:]), distance(cols[0]))
     probability = clamp(total / len(cols) / 4, 0.0, 1.0)
-    return newest.join(machines, MACHINE).select(MACHINE, probability.alias("probability"), *cols)
+    return machines.select(MACHINE, probability.alias("probability"), *cols)
 
 
 def health_table(scores: DataFrame) -> DataFrame:

@@ -70,18 +70,13 @@ def train_failure_model(readings: DataFrame, rounds: int = 50, test_share: float
 
 
 def score_failures(model: FailureModel, readings: DataFrame) -> DataFrame:
-    """Probability, hours left and severity of every machine.
+    """The health table of every machine, by the model: most endangered machine first.
 
-    From the newest window by the model; for a machine without a full one, from the deviation of its
-    newest reading (``health_scores``), null if that reading has no time or lacks a channel.
+    The probability is the model's for the newest window; for a machine without a full one it comes
+    from the deviation of its newest reading (``health_scores``), null if that lacks a channel.
     """
     known = readings.where(F.col(sensors.MACHINE).isNotNull())
     full = _scored(model.pipeline, sensors.latest_features(known), sensors.MACHINE)
-    deviation = sensors.health_scores(known).select(sensors.MACHINE, "probability")
-    p = F.coalesce("score", "probability")
-    machines = known.select(sensors.MACHINE).distinct()
-    return machines.join(full, sensors.MACHINE, "left").join(
-        deviation, sensors.MACHINE, "left").select(
-        sensors.MACHINE, F.round(p, 4).alias("failure_probability"),
-        sensors.rul_hours(p).alias("rul_hours"), sensors.severity(p).alias("severity"),
-    )
+    both = sensors.health_scores(known).join(full, sensors.MACHINE, "left")
+    scores = both.withColumn("probability", F.coalesce("score", "probability"))
+    return sensors.health_table(scores).orderBy(F.desc("failure_probability"), "machine_id")

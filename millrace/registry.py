@@ -228,6 +228,8 @@ def _sensors() -> dict[str, Query]:
             "machine_id", "event_id", *sensors.WINDOW_FEATURES),
         "ts_latest_window": lambda s, d: sensors.latest_window(sensor(s, d)).select(
             "machine_id", "event_id", "reading_ts", "age"),
+        "ts_latest_features": lambda s, d: _digits(
+            sensors.latest_features(sensor(s, d)), sensors.WINDOW_FEATURES, 4),
         "ts_health_zscore": lambda s, d: _digits(
             scores(s, d), ["probability"]).select("machine_id", "probability"),
         "ts_rul": lambda s, d: scores(s, d).select(

@@ -191,6 +191,15 @@ def sensors() -> dict[str, str]:
         half_up(f"({c} - MIN({c}) OVER ()) / (MAX({c}) OVER () - MIN({c}) OVER ())", 6) + f" AS {c}"
         for c in CHANNELS
     )
+    latest = ", ".join(
+        f"{half_up(expr, 4)} AS {c}_{kind}"
+        for c in CHANNELS
+        for kind, expr in (
+            ("mean", f"AVG({c})"), ("sd", f"STDDEV_SAMP({c})"), ("min", f"MIN({c})"),
+            ("max", f"MAX({c})"), ("last", f"arg_min({c}, age)"),
+            ("change", f"arg_min({c}, age) - arg_max({c}, age)"),
+        )
+    )
     sums = ", ".join(f"{half_up(f'SUM({c}) OVER {w}', 4)} AS sum_{c}" for c in CHANNELS)
     feats = ", ".join(
         f"{half_up(expr, 4)} AS {c}_{kind}"
@@ -216,6 +225,10 @@ WHERE rn > 30""",
 SELECT machine_id, event_id, reading_ts, age FROM (SELECT *, ROW_NUMBER() OVER
   (PARTITION BY machine_id ORDER BY reading_ts DESC, event_id DESC) AS age FROM sc_sensor)
 WHERE age <= 30""",
+        "ts_latest_features": f"""
+SELECT machine_id, {latest} FROM (SELECT *, ROW_NUMBER() OVER
+  (PARTITION BY machine_id ORDER BY reading_ts DESC, event_id DESC) AS age FROM sc_sensor)
+WHERE age <= 30 GROUP BY machine_id HAVING COUNT(*) = 30""",
         "ts_health_zscore":
             f"SELECT machine_id, {half_up('p', 6)} AS probability FROM sc_health_raw",
         "ts_rul": """

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 import statistics
 
 import pytest
@@ -91,8 +92,14 @@ def test_failure_scores_of_short_and_broken_histories(spark):
               int(i == 35)) for i in range(40)]
     frame = spark.createDataFrame(rows, SCHEMA)
     fitted = train_failure_model(frame, rounds=2, test_share=0.0)
-    seen = {r["machine_id"]: r for r in score_failures(fitted, frame).collect()}
+    scored = score_failures(fitted, frame)
+    assert scored.columns == sensors.health_table(sensors.health_scores(frame)).columns
+    assert len(scored.columns) == 10
+    rows = scored.collect()
+    seen = {int(r["machine_id"][2:]): r for r in rows}
     assert seen.keys() == {*range(1, 13), 20, 21}
+    assert rows == sorted(rows, key=lambda r: (-r["failure_probability"], r["machine_id"]))
+    assert seen[20]["last_temperature"] == 4.0 and seen[21]["last_temperature"] is None
     assert all(r["failure_probability"] is not None and r["severity"] for r in seen.values())
     own = sensors.health_scores(frame).where("machine_id = 20").first()["probability"]
     assert seen[20]["failure_probability"] == pytest.approx(own, abs=1e-4)
@@ -105,15 +112,58 @@ def test_readings_without_a_time_come_last_and_are_kept(spark):
     assert sensors.label_failures(df).count() == 5
     failed = spark.createDataFrame([*rows[:4], (*rows[4][:8], 1)], SCHEMA)
     assert sensors.label_failures(failed).count() == 5
-    order = {r["event_id"]: r["seq"] for r in sensors.numbered(df).collect()}
-    assert order == {0: 0, 1: 1, 2: 2, 3: 3, 9: 4}
+    lists = {r["event_id"]: [x[0] for x in r["sequence"]] for r in sensors.sequences(
+        spark.createDataFrame([reading(1, i, i, float(i)) for i in range(4)] + [
+            (1, i, None, float(i), 1.0, 1.0, 1.0, 1.0, 0) for i in range(9, 14)], SCHEMA), 2, slice_rows=2).collect()}
+    assert lists == {2: [0, 1], 3: [1, 2], 9: [2, 3], 10: [3, 9], 11: [9, 10], 12: [10, 11], 13: [11, 12]}
+
+
+def exchanges(df):
+    """Keys of the exchanges of a plan, those of reused ones left out."""
+    text = re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString())
+    lines = [x for x in text.splitlines() if "ReusedExchange" not in x]
+    found = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", "\n".join(lines))
+    return [re.sub(r", \d+$", "", f) for f in found]
+
+
+def test_a_long_history_is_shuffled_once(spark, tmp_path):
+    spark.createDataFrame(history(), SCHEMA).write.parquet(str(tmp_path / "h"))
+    df = spark.read.parquet(str(tmp_path / "h"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for made in (sensors.window_features(df, 5), sensors.sequences(df, 5)):
+            assert sorted(exchanges(made)) == ["machine_id", "machine_id, bucket"]
+        labelled = sensors.label_failures(df)
+        text = labelled._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in text and "BroadcastHashJoin" in text
+        assert all("machine_id" not in e.split(", ") for e in exchanges(labelled))
+        assert len(exchanges(sensors.health_scores(df))) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+@pytest.mark.parametrize("n", [3, 40, 5_000])
+def test_newest_readings_at_any_limit(spark, n):
+    df = spark.createDataFrame(history(), SCHEMA)
+    found = sensors.latest_window(df, n)
+    assert sorted(exchanges(found)) == ["machine_id", "machine_id, part"]
+    got = {(r["machine_id"], r["age"]): r["event_id"] for r in found.collect()}
+    assert got == {(m, i + 1): r[1] for m, rows in by_machine(history()).items()
+                   for i, r in enumerate(rows[::-1][:n])}
+
+
+def test_buckets_shrink_where_a_machine_is_busy(spark):
+    rows = [reading(1, i, i / 60) for i in range(1_000)] + [reading(2, 5_000 + i, 30 * i) for i in range(9)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert [sensors.bucket_minutes(df, n) for n in (2_000, 500, 100, 10, 1)] == [1440, 480, 120, 10, 1]
+    assert sensors.bucket_minutes(df.limit(0), 10) == 1440
 
 
-def test_a_long_history_is_cut_into_slices(spark):
-    plan = sensors.window_features(spark.createDataFrame(history(), SCHEMA))
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in text.splitlines() if "Window [" in line and "machine_id" in line]
-    assert any("slice" in line for line in windows) and "Python" not in text
+def test_machines_without_any_time_have_a_health(spark):
+    rows = [(5, i, None, float(i), 1.0, 1.0, 1.0, 1.0, 0) for i in (3, 8, 4)]
+    found = sensors.health_scores(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [(r["machine_id"], r["temperature"]) for r in found] == [(5, 8.0)]
 
 
 def test_newest_of_equal_times_is_the_larger_id(spark):
