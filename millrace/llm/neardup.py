@@ -10,10 +10,12 @@
 3. Every list links its members to the one whose postings are longest, the centre of a group of
    near copies; of those centres a class keeps the one it agrees with most, so that this round
    makes at most one pair per class. Confirmed links are contracted to components.
-4. At last each member of a list that is outside the list's largest component is compared with all
-   of the list that are in other components. A group of copies of copies is one component by then
-   and makes no pairs; a group whose members are alike but not alike enough still makes its pairs,
-   whose number grows with the square of such a group.
+4. At last, lists that still hold several components name the classes that may have partners left.
+   These are posted again, under the rarest shingles of their full sets: two sets that are alike
+   enough share one of the first ``size - needed + 1`` in the order of rarity, and the first one
+   they share lies early enough in both that what follows can still reach the needed overlap. Pairs
+   across components that meet this way are compared; a group of copies of copies is one component by
+   then, and texts that differ by more words of their own than they may have no rare shingle in common.
 5. Every pair whose signatures agree often enough is confirmed on the two full sets.
 
 Components are found by contraction rounds over the link table: each node takes the smallest node
@@ -188,14 +190,18 @@ def _closest(pairs: DataFrame, reps: DataFrame) -> DataFrame:
         F.max(F.struct("agree", "a"))["a"].alias("a")).select("a", "b"), "closest")
 
 
-def _open_lists(prefix: DataFrame, joined: DataFrame) -> DataFrame:
-    """The postings of lists that hold more than one component, with each member's component."""
-    placed = staged(
-        prefix.join(joined.withColumnRenamed("node", "set_key"), "set_key", "left")
-        .withColumn("component", F.coalesce("component", "set_key")), "placed")
-    several = placed.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    return placed.join(several.select("token"), "token", "left_semi")
+def _components_of(posted: DataFrame, joined: DataFrame) -> DataFrame:
+    """Postings with the component of each class; one without a link is its own."""
+    return posted.join(joined.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn(
+        "component", F.coalesce("component", "set_key"))
+
+
+def _open_lists(placed: DataFrame) -> DataFrame:
+    """Tokens of the lists that hold more than one component, and the largest one in each."""
+    sizes = placed.groupBy("token", "component").agg(F.count("*").alias("size"))
+    return sizes.groupBy("token").agg(
+        F.count("*").alias("several"), F.max(F.struct("size", "component"))["component"].alias("main")
+    ).where("several > 1").drop("several")
 
 
 def _fits(percent: int):
@@ -203,6 +209,44 @@ def _fits(percent: int):
     return (F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent)
 
 
+def _rare_postings(sets: DataFrame, percent: int) -> DataFrame:
+    """Each set's rarest shingles: as many as one of them must be shared with any partner.
+
+    ``token``, ``set_key``, the set's size ``n`` and the shingle's place ``at`` in the order of
+    rarity. Shingles that only one set has are placed but not posted.
+    """
+    each = sets.select("set_key", F.explode("hashes").alias("token"))
+    known = each.groupBy("token").agg(F.count("*").alias("long"))
+    ranked = each.join(known, "token").groupBy("set_key").agg(
+        F.sort_array(F.collect_list(F.struct("long", "token"))).alias("ranked"))
+    n = F.size("ranked")
+    first = n - F.ceil(n * percent / F.lit(100)).cast("int") + 1
+    return ranked.select(
+        "set_key", n.alias("n"), F.posexplode(F.slice("ranked", F.lit(1), first)).alias("at", "x")
+    ).where("x.long > 1").select(F.col("x.token").alias("token"), "set_key", "n", "at")
+
+
+def _meetings(posted: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of different components that meet in a list early enough.
+
+    All that are outside a list's largest component meet all others of the list.
+    """
+    placed = staged(_components_of(posted, joined), "rare")
+    lists = _open_lists(placed)
+    inside = placed.join(lists, "token")
+    outside = inside.where(F.col("component") != F.col("main")).drop("main")
+    other = inside.select(
+        F.col("token").alias("other_token"), F.col("set_key").alias("other_key"), F.col("n").alias("other_n"),
+        F.col("at").alias("other_at"), F.col("component").alias("other"))
+    left = F.least(F.col("n") - F.col("at"), F.col("other_n") - F.col("other_at"))
+    enough = left * (100 + percent) >= (F.col("n") + F.col("other_n")) * percent
+    met = outside.join(other, (F.col("token") == F.col("other_token")) & (
+        F.col("component") != F.col("other")) & _fits(percent) & enough)
+    return met.select(
+        F.least("set_key", "other_key").alias("a"), F.greatest("set_key", "other_key").alias("b")
+    ).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
                     carry: tuple[str, ...] = ()) -> DataFrame:
     """Per row: ``doc_id``, carried columns, ``n_shingles``, ``component_id``, ``kept``, ``single``.
@@ -248,16 +292,10 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     links = staged(_confirmed(closest, sets, percent), "links")
     joined = components(links)
 
-    placed = _open_lists(prefix, joined)
-    main = placed.groupBy("token", "component").agg(F.count("*").alias("size")).groupBy("token").agg(
-        F.max(F.struct("size", "component"))["component"].alias("main"))
-    outside = placed.join(main, "token").where(F.col("component") != F.col("main"))
-    other = placed.select("token", F.col("set_key").alias("a"), F.col("n").alias("other_n"),
-                          F.col("component").alias("other"))
-    rest = outside.join(other, "token").where(F.col("component") != F.col("other")).where(_fits(percent))
-    ends = F.least("a", "set_key").alias("a"), F.greatest("a", "set_key").alias("b")
-    tried = closest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = rest.select(*ends).distinct().join(tried, ["a", "b"], "left_anti")
+    placed = _components_of(prefix, joined)
+    left_over = placed.join(_open_lists(placed), "token").select("set_key").distinct()
+    posted = _rare_postings(sets.join(left_over, "set_key", "left_semi"), percent)
+    rest = _meetings(posted, joined, percent)
     links = links.unionByName(_confirmed(_agreeing(rest, reps), sets, percent))
     joined = components(links)
 

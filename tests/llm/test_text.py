@@ -269,6 +269,46 @@ def test_components(spark, real, docs, none, width):
     assert neardup.linked_documents(none).count() == 0
 
 
+def test_a_group_alike_but_not_enough(spark):
+    """Texts of one origin, alike at 0.55 to 0.9: no link is lost, and few pairs are compared."""
+    rnd = random.Random(12)
+    base = [f"v{rnd.randrange(4_000)}" for _ in range(150)]
+    rows = []
+    for i in range(400):
+        own = list(base)
+        for k in range(rnd.choice([1, 2, 6, 8, 10, 12])):
+            own[rnd.randrange(len(own))] = f"own{i}x{k}"
+        rows.append((i, " ".join(own)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = [(d, *c) for (d, _), c in zip(rows, brute_components(rows, 4))]
+    tried, meetings = [], neardup._meetings
+    neardup._meetings = lambda *a: tried.append(meetings(*a)) or tried[-1]
+    try:
+        found = neardup.linked_documents(frame).select("doc_id", "n_shingles", "component_id")
+        assert sorted(tuple(r) for r in found.collect()) == want
+    finally:
+        neardup._meetings = meetings
+    groups = len({c for _, _, c in want})
+    print(f"{tried[0].count()} pairs compared of {400 * 399 // 2}, {groups} groups")
+    assert 50 < groups < 350 and tried[0].count() < 4_000
+
+
+def test_rare_postings_meet_every_partner(spark):
+    rnd = random.Random(3)
+    sets = [sorted({rnd.randrange(60) for _ in range(rnd.randint(1, 40))}) for _ in range(80)]
+    sets += [sorted({*s, 100 + i} - {s[0]}) for i, s in enumerate(sets[:40])]
+    frame = spark.createDataFrame(
+        [(str(i).encode(), s) for i, s in enumerate(sets)], "set_key binary, hashes array<long>")
+    posted = neardup._rare_postings(frame, 80)
+    none = spark.createDataFrame([], "node binary, component binary")
+    met = {(int(r["a"]), int(r["b"])) for r in neardup._meetings(posted, none, 80).collect()}
+    met |= {(b, a) for a, b in met}
+    for i, a in enumerate(map(set, sets)):
+        for j, b in enumerate(map(set, sets)):
+            if i != j and a != b and 100 * len(a & b) >= 80 * len(a | b):
+                assert (i, j) in met
+
+
 def test_hypergeometric_matrix():
     rnd = random.Random(5)
     draws = [sharding.hypergeometric(30, 100, 20, rnd.random()) for _ in range(20_000)]
