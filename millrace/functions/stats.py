@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from math import ceil, floor
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.lookup import mapped
 from millrace.session import staged
 
 SKETCH_ACCURACY = 10_000
@@ -21,80 +21,111 @@ MAX_SLICES = 100_000
 TOP_PARTS = 32
 
 
-def quantiles(df: DataFrame, wanted: dict[str, float],
-              window_rows: int = WINDOW_ROWS) -> dict[str, float | None]:
-    """Exact, linearly interpolated quantile of each named column; None for an empty column.
+@dataclass(frozen=True)
+class Sketch:
+    """Approximate values of a column at some fractions, and how many values it has."""
 
-    A sketch brackets each quantile within a narrow band (two numbers per column). The second
-    pass counts what lies below and above the bracket, so only distinct values inside the band
-    are shuffled. A band of more than ``window_rows`` rows is cut into cells, and the wanted rank
-    is looked up in the one cell that holds it.
+    n: int
+    fractions: list[float]
+    values: list[float]
+
+    def bracket(self, low: int, high: int) -> tuple[float, float]:
+        """Values that enclose the ranks from ``low`` to ``high``, whatever the sketch's error."""
+        n = max(self.n, 1)
+        below = [v for f, v in zip(self.fractions, self.values) if f <= low / n - BAND / 2]
+        above = [v for f, v in zip(self.fractions, self.values) if f >= high / n + BAND / 2]
+        return below[-1] if below else float("-inf"), above[0] if above else float("inf")
+
+
+def sketched(df: DataFrame, columns: dict[str, tuple[Column, list[float]]],
+             *more: Column) -> tuple[dict[str, Sketch], Row]:
+    """Sketches of several expressions at the given fractions, and further aggregates, in one pass."""
+    numbers = {c: value.cast("double") for c, (value, _) in columns.items()}
+    row = df.agg(*[
+        F.struct(F.percentile_approx(v, columns[c][1], SKETCH_ACCURACY).alias("at"), F.count(v).alias("n"))
+        .alias(f"sketch_{i}") for i, (c, v) in enumerate(numbers.items())], *more).first()
+    out = {}
+    for i, c in enumerate(columns):
+        found = row[f"sketch_{i}"]
+        out[c] = Sketch(found["n"], columns[c][1], found["at"] or [])
+    return out, row
+
+
+def at_ranks(df: DataFrame, wanted: dict[str, tuple[Column, Sketch, list[int]]]
+             ) -> dict[str, dict[int, float]]:
+    """Exact values at zero-based ranks, one or two neighbouring ones per name, in one pass.
+
+    A sketch encloses the ranks by two numbers. The pass counts what lies below and above them, so
+    only distinct values in between are shuffled; these are counted per cell of their range, and the
+    ranks are looked up in the cells that hold them. All sizes take the same path.
     """
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in wanted])
-    sketch = values.agg(*[
-        F.struct(
-            F.percentile_approx(c, [max(p - BAND, 0.0), min(p + BAND, 1.0)], SKETCH_ACCURACY)
-            .alias("at"),
-            F.count(c).alias("n"),
-        ).alias(c)
-        for c, p in wanted.items()
-    ]).first()
-    names = [c for c in wanted if sketch[c]["n"]]
-    if not names:
-        return dict.fromkeys(wanted)
-    position = {c: (sketch[c]["n"] - 1) * wanted[c] for c in names}
-
-    def entry(c: str) -> Column:
-        low, high = sketch[c]["at"]
-        v = F.col(c)
+    if not wanted:
+        return {}
+    names = list(wanted)
+    values = df.select(*[wanted[c][0].cast("double").alias(f"v{i}") for i, c in enumerate(names)])
+
+    def entry(i: int, c: str) -> Column:
+        low, high = wanted[c][1].bracket(min(wanted[c][2]), max(wanted[c][2]))
+        v = F.col(f"v{i}")
         # side: -1 below the bracket, 0 inside, 1 above
         side = F.when(v < low, -1).when(v > high, 1).when(v.isNotNull(), 0)
-        share = (v - low) / (high - low) if high > low else F.lit(0.0)
+        finite = float("-inf") < low < high < float("inf")
+        share = (v - low) / (high - low) if finite else F.lit(0.0)
         inside = v.between(low, high)
         return F.struct(
-            F.lit(c).alias("name"), side.alias("side"),
+            F.lit(i).alias("name"), side.alias("side"),
             F.when(inside, F.floor(share * BAND_CELLS)).otherwise(0).alias("cell"),
-            F.when(inside, v).alias("key"), v.alias("v"),
-        )
+            F.when(inside, v).alias("key"), v.alias("v"))
+
+    tally = staged(
+        values.select(F.inline(F.array(*[entry(i, c) for i, c in enumerate(names)])))
+        .where("side is not null").groupBy("name", "side", "cell", "key")
+        .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")), "tally")
+    in_order = Window.partitionBy("name").orderBy("side", "cell")
+    cells = tally.groupBy("name", "side", "cell").agg(F.sum("n").alias("held")).select(
+        "name", "side", "cell", (F.sum("held").over(in_order) - F.col("held")).alias("before"), "held")
+    ranks = F.lit(None)
+    for i, c in enumerate(names):
+        ranks = F.when(F.col("name") == i, F.array(*[F.lit(r) for r in sorted(set(wanted[c][2]))])).otherwise(ranks)
+    hit = cells.withColumn("rank", F.explode(ranks)).where(
+        (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("held")))
+    within = Window.partitionBy("name", "side", "cell", "rank").orderBy("key")
+    steps = tally.join(hit, ["name", "side", "cell"]).withColumn(
+        "last", F.col("before") + F.sum("n").over(within))
+    reached = steps.where(
+        (F.col("rank") >= F.col("last") - F.col("n")) & (F.col("rank") < F.col("last")))
+    # Known are values inside the bracket and those at its two outer edges.
+    value = (
+        F.when(F.col("side") == 0, F.col("low"))
+        .when((F.col("side") == -1) & (F.col("rank") == F.col("last") - 1), F.col("high"))
+        .when((F.col("side") == 1) & (F.col("rank") == F.col("last") - F.col("n")), F.col("low"))
+        .otherwise(F.raise_error(F.lit("quantile lies outside its bracket")).cast("double")))
+    out: dict[str, dict[int, float]] = {c: {} for c in names}
+    for row in reached.select("name", "rank", value.alias("value")).collect():
+        out[names[row["name"]]][row["rank"]] = row["value"]
+    return out
+
+
+def around(p: float) -> list[float]:
+    """Fractions that enclose the p-quantile."""
+    return [max(p - BAND, 0.0), min(p + BAND, 1.0)]
+
+
+def position(n: int, p: float) -> tuple[list[int], float]:
+    """The two ranks between which the p-quantile of n values lies, and how far it is from the first."""
+    exact = (n - 1) * p
+    return [floor(exact), ceil(exact)], exact - floor(exact)
 
-    tally = (
-        values.select(F.inline(F.array(*[entry(c) for c in names]))).where("side is not null")
-        .groupBy("name", "side", "cell", "key")
-        .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-    )
-    first_rank = mapped(F.col("name"), {c: float(floor(position[c])) for c in names}, None)
-    if max(sketch[c]["n"] for c in names) * 2 * BAND <= window_rows:
-        in_order = Window.partitionBy("name").orderBy("side", "key")
-        last = F.sum("n").over(in_order)
-        steps = tally
-    else:
-        cells = tally.groupBy("name", "side", "cell").agg(F.sum("n").alias("n"))
-        upto = F.sum("n").over(Window.partitionBy("name").orderBy("side", "cell"))
-        cells = cells.select(
-            "name", "side", "cell", (upto - F.col("n")).alias("before"), upto.alias("upto"))
-        cells = cells.where((F.col("before") <= first_rank + 1) & (F.col("upto") > first_rank))
-        within = Window.partitionBy("name", "side", "cell").orderBy("key")
-        last = F.col("before") + F.sum("n").over(within)
-        steps = tally.join(cells.drop("n"), ["name", "side", "cell"])
-    steps = steps.select("name", "side", "low", "high", "n", last.alias("last"))
-
-    def at(rank: Column) -> Column:
-        """Value at a zero-based rank: known inside the bracket and at its two outer edges."""
-        inside = (rank >= F.col("last") - F.col("n")) & (rank < F.col("last"))
-        value = (
-            F.when(F.col("side") == 0, F.col("low"))
-            .when((F.col("side") == -1) & (rank == F.col("last") - 1), F.col("high"))
-            .when((F.col("side") == 1) & (rank == F.col("last") - F.col("n")), F.col("low"))
-            .otherwise(F.raise_error(F.lit("quantile lies outside its bracket")).cast("double"))
-        )
-        return F.max(F.when(inside, value))
 
-    second_rank = mapped(F.col("name"), {c: float(ceil(position[c])) for c in names}, None)
-    found = steps.groupBy("name").agg(at(first_rank).alias("a"), at(second_rank).alias("b"))
+def quantiles(df: DataFrame, wanted: dict[str, float]) -> dict[str, float | None]:
+    """Exact, linearly interpolated quantile of each named column; None for an empty column."""
+    sketches, _ = sketched(df, {c: (F.col(c), around(p)) for c, p in wanted.items()})
+    places_of = {c: position(sketches[c].n, p) for c, p in wanted.items() if sketches[c].n}
+    found = at_ranks(df, {c: (F.col(c), sketches[c], ranks) for c, (ranks, _) in places_of.items()})
     out: dict[str, float | None] = dict.fromkeys(wanted)
-    for row in found.collect():
-        share = position[row["name"]] - floor(position[row["name"]])
-        out[row["name"]] = row["a"] + (row["b"] - row["a"]) * share
+    for c, (ranks, share) in places_of.items():
+        low, high = (found[c][r] for r in ranks)
+        out[c] = low + (high - low) * share
     return out
 
 

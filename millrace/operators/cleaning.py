@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.lookup import mapped
 from millrace.functions.numeric import clamp
-from millrace.functions.stats import modes, quantiles
+from millrace.functions.stats import (
+    around, at_ranks, modes, position, quantiles, sketched,
+)
 
 # Market base rates, shipping mode adjustments and the rate of unlisted markets.
 MARKET_BASE = {
@@ -65,21 +67,9 @@ def parse_timestamps(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast("timestamp_ntz") for c in cols})
 
 
-def with_gaps(df: DataFrame, cols: list[str]) -> list[str]:
-    """Those of the columns that have a missing value."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    return [c for c in cols if counts[c]]
-
-
 def learn_fills(df: DataFrame, numeric: list[str], text: list[str]) -> dict[str, float | str]:
     """Median or most frequent value of those columns that have a missing value."""
-    gaps = set(with_gaps(df, numeric + text))
-    numbers, words = [c for c in numeric if c in gaps], [c for c in text if c in gaps]
-    found = {
-        **(quantiles(df, dict.fromkeys(numbers, 0.5)) if numbers else {}),
-        **(modes(df, words) if words else {}),
-    }
-    return {c: v for c, v in found.items() if v is not None}
+    return fit_cleaning(df, numeric, text, []).fills
 
 
 def _fill(df: DataFrame, values: dict) -> DataFrame:
@@ -151,12 +141,70 @@ def _filled(df: DataFrame, numeric: list[str], fills: dict[str, float | str]) ->
     return abs_fix(_fill(as_double(df, numeric), fills), "sales")
 
 
+def _capped_at(held: dict[int, float], ranks: list[int], share: float, gaps: int,
+               fill: float | None) -> float:
+    """Quantile of a column whose ``gaps`` were filled with one value, from the values it had.
+
+    The value at a rank is the one ``gaps`` ranks lower if that is beyond the fill, the one at the
+    rank itself if that is before it, else the fill.
+    """
+    def value(rank: int) -> float:
+        shifted = held.get(rank - gaps)
+        if shifted is not None and (not gaps or shifted >= fill):
+            return shifted
+        plain = held.get(rank)
+        return plain if plain is not None and plain < fill else fill
+
+    low, high = (value(r) for r in ranks)
+    return low + (high - low) * share
+
+
 def fit_cleaning(df: DataFrame, numeric: list[str], text: list[str], money: list[str] = MONEY,
                  p: float = 0.99) -> CleaningRules:
-    """Learn fills and caps; the caps hold for the filled, non-negative amounts."""
-    fills = learn_fills(df, numeric, text)
-    caps = quantiles(_filled(df, numeric, fills), dict.fromkeys(money, p))
-    return CleaningRules(numeric, fills, {c: v for c, v in caps.items() if v is not None})
+    """Learn fills and caps; the caps hold for the filled, non-negative amounts.
+
+    Three passes: gap counts and sketches of all columns side by side, most frequent values of the
+    text columns with gaps, and exact ranks of all medians and caps at once. What filling does to
+    the rank of a cap is known from the gap counts, so nothing is filled to learn it.
+    """
+    signed = {c: F.col(c).cast("double") for c in numeric}
+    plain = {c: F.col(c).cast("double") for c in money}
+    paid = {c: F.abs(v) if c == "sales" else v for c, v in plain.items()}
+    grid = sorted({i / 200 for i in range(201)} | set(around(p)))
+    sketches, row = sketched(
+        df, {**{("fill", c): (v, around(0.5)) for c, v in signed.items()},
+             **{("cap", c): (v, grid) for c, v in paid.items()}},
+        F.count("*").alias("rows"), *[F.count(c).alias(f"has_{i}") for i, c in enumerate(text)])
+    rows = row["rows"]
+    broken = [c for c in numeric if 0 < sketches["fill", c].n < rows]
+    words = [c for i, c in enumerate(text) if row[f"has_{i}"] < rows]
+    wanted, medians, caps = {}, {}, {}
+    for c in broken:
+        medians[c] = position(sketches["fill", c].n, 0.5)
+        wanted["fill", c] = (signed[c], sketches["fill", c], medians[c][0])
+    for c in paid:
+        known = sketches["cap", c]
+        if not known.n:
+            continue
+        # An empty share of a column that is no numeric one of the table stays unfilled.
+        gaps = rows - known.n if c in broken else 0
+        caps[c] = (*position(known.n + gaps, p), gaps)
+        for name, shift in (("cap", gaps), ("plain", 0)):
+            ranks = [r - shift for r in caps[c][0] if 0 <= r - shift < known.n]
+            if ranks and (name == "cap" or gaps):
+                wanted[name, c] = (paid[c], known, ranks)
+    found = at_ranks(df, wanted)
+    fills: dict[str, float | str] = {}
+    for c, (ranks, share) in medians.items():
+        low, high = (found["fill", c][r] for r in ranks)
+        fills[c] = low + (high - low) * share
+    fills |= {c: v for c, v in (modes(df, words) if words else {}).items() if v is not None}
+    limits = {}
+    for c, (ranks, share, gaps) in caps.items():
+        fill = abs(fills[c]) if c == "sales" and gaps else fills.get(c)
+        held = found.get(("plain", c), {}) | found.get(("cap", c), {})
+        limits[c] = _capped_at(held, ranks, share, gaps, fill)
+    return CleaningRules(numeric, fills, limits)
 
 
 def apply_cleaning(df: DataFrame, rules: CleaningRules) -> DataFrame:

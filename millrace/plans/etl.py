@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from millrace.operators.cleaning import apply_cleaning, dedup, extract, fit_cleaning
+from millrace.operators.cleaning import (
+    apply_cleaning, dedup, extract, fit_cleaning, parse_timestamps,
+)
 from millrace.operators.features import derive, risk_scores
 from millrace.session import staged
 
@@ -18,19 +20,26 @@ TEXT_COLUMNS = [
     "shipping_mode", "order_status", "delivery_status", "order_region", "order_country", "market",
     "payment_type", "customer_segment", "customer_country", "category_name", "department_name",
 ]
+DATES = ["order_date", "shipping_date"]
 # Order of the copies of one item; the first is kept.
 FIRST_SEEN = [
     "order_date", "order_id", "order_item_quantity", "sales_per_customer", "benefit_per_order",
 ]
 
 
+def extracted_items(mart: dict[str, DataFrame]) -> DataFrame:
+    """Joined items with readable dates: text columns are parsed, what cannot be read is null."""
+    items = extract(mart["orders"], mart["customers"], mart["products"])
+    return parse_timestamps(items, [c for c in DATES if items.schema[c].dataType.typeName() == "string"])
+
+
 def clean_orders(mart: dict[str, DataFrame]) -> DataFrame:
-    """Extract, drop duplicates, fill, cap and add features.
+    """Extract, parse dates, drop duplicates, fill, cap and add features.
 
     The joined and deduplicated items are written once. Fills and caps are a handful of numbers
-    learnt from narrow passes over that table; applying them is a projection of the same table.
+    learnt from three narrow passes over that table, the late rates from a fourth; applying them is
+    a projection of the same table.
     """
-    items = extract(mart["orders"], mart["customers"], mart["products"])
-    items = staged(dedup(items, ["order_item_id"], FIRST_SEEN), "order_items")
+    items = staged(dedup(extracted_items(mart), ["order_item_id"], FIRST_SEEN), "order_items")
     rules = fit_cleaning(items, NUMERIC_COLUMNS, TEXT_COLUMNS)
     return risk_scores(derive(apply_cleaning(items, rules)))

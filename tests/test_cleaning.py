@@ -2,11 +2,13 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import cleaning, features, quality
 from millrace.plans.etl import clean_orders
+from millrace.session import new_folder
 from millrace.sources.fixtures import mart, mart_with_gaps, orders, products
 from tests.conftest import SF_DIR
 
@@ -27,6 +29,43 @@ def test_fill_abs_and_cap_follow_their_order(spark):
     assert [r["t"] for r in cleaned] == ["a", "b", "b", "b", "b"]
 
 
+@pytest.mark.parametrize("gaps", [0, 3, 40, 2_000])
+def test_caps_are_those_of_the_filled_column(spark, gaps):
+    rng = np.random.default_rng(gaps)
+    values = [*rng.normal(5, 40, 700).round(1).tolist(), *[None] * gaps]
+    df = spark.createDataFrame([(v,) for v in values], "sales double").repartition(3)
+    for p in (0.05, 0.5, 0.75, 0.99, 1.0):
+        rules = cleaning.fit_cleaning(df, ["sales"], [], ["sales"], p)
+        known = [v for v in values if v is not None]
+        median = float(np.median(known))
+        assert rules.fills == ({"sales": pytest.approx(median)} if gaps else {})
+        filled = np.abs([median if v is None else v for v in values])
+        assert rules.caps == {"sales": pytest.approx(np.quantile(filled, p))}
+
+
+def test_cleaning_takes_few_passes_over_the_items(spark):
+    items = mart_with_gaps(spark, SF_DIR)["orders"].withColumnRenamed("type", "payment_type")
+    path = new_folder(spark, "passes")
+    items.write.parquet(path)
+    df, tracker = spark.read.parquet(path), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("cleaning-passes", "")
+    rules = cleaning.fit_cleaning(df, ["late_delivery_risk", "sales", "benefit_per_order"], ["payment_type", "market"])
+    jobs = len(tracker.getJobIdsForGroup("cleaning-passes"))
+    spark.sparkContext.setJobGroup("other", "")
+    assert set(rules.fills) == {"sales", "payment_type"} and set(rules.caps) == set(cleaning.MONEY)
+    assert jobs <= 14
+
+
+def test_dates_of_text_columns_are_parsed_in_cleaning(spark):
+    whole = mart(spark, SF_DIR)
+    bad = F.when(F.col("order_id") % 113 == 0, "not a date").otherwise(F.col("order_date").cast("string"))
+    cleaned = clean_orders({**whole, "orders": whole["orders"].withColumn("order_date", bad)})
+    assert dict(cleaned.dtypes)["order_date"] == "timestamp_ntz"
+    broken = cleaned.where("order_id % 113 = 0")
+    assert broken.count() == broken.where("order_date is null and order_hour is null").count() > 0
+    assert cleaned.where("order_id % 113 <> 0 and order_date is null").count() == 0
+
+
 def test_clean_orders_has_all_columns_and_no_gaps(spark):
     cleaned = clean_orders(mart_with_gaps(spark, SF_DIR))
     assert len(cleaned.columns) == 41

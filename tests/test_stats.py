@@ -15,19 +15,18 @@ def frame(spark, values):
     return spark.createDataFrame([(v,) for v in values], "v double")
 
 
-@pytest.mark.parametrize("window_rows", [0, 1_000_000])
 @pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.99, 1.0])
-def test_quantile_is_exact(spark, p, window_rows):
+def test_quantile_is_exact(spark, p):
     rng = np.random.default_rng(7)
     values = np.concatenate([rng.lognormal(3, 2, 30_000), np.full(15_000, 12.5), [-4.0, 0.0]])
-    found = stats.quantiles(frame(spark, values.tolist()).repartition(7), {"v": p}, window_rows)
+    found = stats.quantiles(frame(spark, values.tolist()).repartition(7), {"v": p})
     assert found["v"] == pytest.approx(np.quantile(values, p), rel=1e-12)
 
 
 @given(st.lists(st.integers(-50, 50), min_size=1, max_size=12), st.sampled_from([0.5, 0.99]))
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 def test_quantile_of_few_values(spark, values, p):
-    found = stats.quantiles(frame(spark, [float(v) for v in values]), {"v": p}, 0)
+    found = stats.quantiles(frame(spark, [float(v) for v in values]), {"v": p})
     assert found["v"] == pytest.approx(np.quantile(values, p))
 
 
