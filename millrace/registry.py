@@ -17,7 +17,7 @@ from millrace.operators.preparation import fit_preparation
 from millrace.plans.delay_model import (
     DelayModel, fit_on_training_rows, train_delay_model, training_rows,
 )
-from millrace.plans.etl import clean_orders
+from millrace.plans.etl import FIRST_SEEN, clean_orders, extracted_items
 from millrace.plans.maintenance import score_failures, train_failure_model
 from millrace.session import new_folder, shared_folder
 from millrace.sources import tables
@@ -50,12 +50,12 @@ def _saved_mart(s: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def _sink_tables(s: SparkSession, d: str) -> DataFrame:
-    """Replace the mart's tables and count what is stored."""
+    """Replace the mart's tables, count what is stored, and digest its contents."""
     whole = mart(s, d)
     s.sql(f"create database if not exists millrace_mart location '{shared_folder(s)}/millrace_mart'")
     folder = new_folder(s, "tables")
     tables.save_mart(whole, folder, "millrace_mart")
-    return quality.row_counts({n: s.table(f"millrace_mart.{n}") for n in whole})
+    return quality.table_digests({n: s.table(f"millrace_mart.{n}") for n in whole})
 
 
 def _features_csv(s: SparkSession, d: str) -> DataFrame:
@@ -93,6 +93,32 @@ def _sources() -> dict[str, Query]:
     }
 
 
+def _repeated(s: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The mart with gaps, in which some orders have arrived twice."""
+    whole = mart_with_gaps(s, d)
+    orders_twice = whole["orders"].unionByName(whole["orders"].where("order_id % 7 = 0"))
+    return {**whole, "orders": orders_twice}
+
+
+def _cleaning_report(s: SparkSession, d: str) -> DataFrame:
+    arrived = _repeated(s, d)
+    items = extracted_items(arrived)
+    return quality.cleaning_report(
+        items, cleaning.dedup(items, ["order_item_id"], FIRST_SEEN), clean_orders(arrived))
+
+
+def _listed(s: SparkSession, d: str) -> DataFrame:
+    """Orders whose markets and regions take the names of the assumed rates, by their place."""
+    def renamed(column: str, known: list[str]):
+        digits = F.regexp_extract(F.col(column), "[0-9]+", 0)
+        place = F.when(digits != "", digits.cast("int")).otherwise(F.length(column))
+        return F.get(F.array(*[F.lit(x) for x in known]), place % F.lit(len(known) + 1))
+
+    return orders(s, d).withColumns({
+        "market": renamed("market", list(features.MARKET_RISK)),
+        "order_region": renamed("order_region", list(features.REGION_RISK))})
+
+
 def _quality() -> dict[str, Query]:
     return {
         "dq_row_counts": lambda s, d: quality.row_counts(mart(s, d)),
@@ -108,6 +134,7 @@ def _quality() -> dict[str, Query]:
         "dq_missing_total": lambda s, d: quality.missing_cells(
             cleaning.parse_timestamps(orders_dirty(s, d), ["order_date_text"])),
         "dq_summary": lambda s, d: quality.etl_summary(_clean(s, d)),
+        "dq_cleaning_report": _cleaning_report,
     }
 
 
@@ -194,6 +221,8 @@ def _features() -> dict[str, Query]:
         "fe_region_risk": risk("order_region"),
         "fe_mode_risk": risk("shipping_mode"),
         "fe_lookup_risk": one(features.lookup_risk, *features.RISK_KEYS.values()),
+        "fe_lookup_risk_listed": lambda s, d: features.lookup_risk(_listed(s, d)).select(
+            "order_item_id", "market", "order_region", *features.RISK_KEYS.values()),
         "fe_incoming_order": lambda s, d: features.incoming_orders(
             cleaning.extract(mart_with_gaps(s, d)["orders"], customers(s, d), products(s, d)),
             ["order_item_id"]),

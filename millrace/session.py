@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -23,6 +25,26 @@ def local_session(name: str = "millrace", cpus: str = "8") -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application, wherever the driver was started.
+
+    Spark's own file server hands it out. Nothing is sent where the package is installed (``pip
+    install .``) or the workers find it by PYTHONPATH or the folder they start in.
+    """
+    context = spark.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if context.applicationId in _shipped or "site-packages" in root or root in known:
+        return
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="millrace-package-"), "millrace"), "zip", root, "millrace")
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's checkpoint directory.
 

@@ -22,6 +22,39 @@ MODE_OF_TYPE = """(SELECT payment_type FROM sc_orders_dirty WHERE payment_type I
   GROUP BY payment_type ORDER BY COUNT(*) DESC, payment_type LIMIT 1)"""
 
 
+MART_COLUMNS = {
+    "customers": ["customer_id", "customer_fname", "customer_lname", "customer_segment",
+                  "customer_country", "latitude", "longitude"],
+    "products": ["product_id", "product_name", "category_name", "department_name", "product_price"],
+    "orders": [c.strip() for c in ORDER_COLUMNS.split(",")],
+}
+# Rates assumed for orders without history, in their order.
+MARKET_RATES = {"Africa": 0.72, "LATAM": 0.64, "Pacific Asia": 0.59, "Europe": 0.52, "USCA": 0.48}
+REGION_RATES = {
+    "West Africa": 0.74, "East Africa": 0.72, "North Africa": 0.70, "South Africa": 0.69,
+    "South America": 0.65, "Caribbean": 0.63, "Central America": 0.62, "Southeast Asia": 0.60,
+    "East Asia": 0.58, "South Asia": 0.57, "Oceania": 0.55, "Southern Europe": 0.54,
+    "Central Europe": 0.52, "Western Europe": 0.51, "Northern Europe": 0.50, "Central US": 0.50,
+    "Canada": 0.48, "East US": 0.47, "West US": 0.46,
+}
+
+
+def _cells(columns: list[str]) -> str:
+    return ", ".join(f"coalesce(CAST({c} AS VARCHAR), '?')" for c in sorted(columns))
+
+
+def _listed(column: str, rates: dict[str, float]) -> str:
+    """A name by its place: the number in the column's text, else the text's length."""
+    names = ", ".join(f"'{n}'" for n in rates)
+    place = f"coalesce(TRY_CAST(nullif(regexp_extract({column}, '[0-9]+'), '') AS INT), length({column}))"
+    return f"([{names}])[CAST({place} % {len(rates) + 1} AS INT) + 1]"
+
+
+def _rate(column: str, rates: dict[str, float]) -> str:
+    cases = " ".join(f"WHEN '{n}' THEN {r}::DOUBLE" for n, r in rates.items())
+    return f"CASE {column} {cases} ELSE 55e-2 END"
+
+
 def sources() -> dict[str, str]:
     return {
         "src_orders_mart": f"SELECT {ORDER_COLUMNS} FROM sc_orders",
@@ -29,7 +62,10 @@ def sources() -> dict[str, str]:
         "src_features_csv": f"SELECT {FEATURES}, late_delivery_risk FROM sc_clean",
         "src_sensor_csv": "SELECT machine_id, reading_ts, temperature, vibration, pressure, rpm, "
                           "current_amps, failure_in_24h FROM sc_labelled",
-        "sink_tables": COUNTS,
+        "sink_tables": " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, CAST(SUM(CAST('0x' || substr(md5("
+            f"concat_ws('|', {_cells(columns)})), 1, 8) AS BIGINT)) AS BIGINT) AS content FROM sc_{name}"
+            for name, columns in MART_COLUMNS.items()),
         "sink_flat": f"""
 SELECT {ORDER_COLUMNS.replace("customer_id", "o.customer_id").replace("product_id", "o.product_id")},
   customer_fname, customer_lname, customer_segment, customer_country, latitude, longitude,
@@ -75,6 +111,13 @@ SELECT CAST(SUM((CASE WHEN sales IS NULL THEN 1 ELSE 0 END)
   + (CASE WHEN payment_type IS NULL THEN 1 ELSE 0 END)
   + (CASE WHEN TRY_CAST(order_date_text AS TIMESTAMP) IS NULL THEN 1 ELSE 0 END)) AS BIGINT)
   AS missing FROM sc_orders_dirty""",
+        "dq_cleaning_report": """
+SELECT (SELECT COUNT(*) FROM sc_extracted) + (SELECT COUNT(*) FROM sc_extracted WHERE order_id % 7 = 0)
+    AS items, (SELECT COUNT(*) FROM sc_items) AS items_kept,
+  (SELECT COUNT(*) FILTER (sales IS NULL) + COUNT(*) FILTER (payment_type IS NULL) FROM sc_items)
+    AS missing_before, 0::BIGINT AS missing_after,
+  (SELECT COUNT(*) FROM sc_extracted) + (SELECT COUNT(*) FROM sc_extracted WHERE order_id % 7 = 0)
+    - (SELECT COUNT(*) FROM sc_items) AS duplicates_removed""",
         "dq_summary": f"""
 SELECT COUNT(*) AS records, {half_up(mean("late_delivery_risk"), 6)} AS late_rate,
   {money("SUM(CAST(sales AS DECIMAL(22,6)))")} AS total_revenue,
@@ -180,6 +223,11 @@ FROM sc_orders""",
         "fe_lookup_risk": f"""
 SELECT order_item_id, 55e-2 AS market_risk_score, 55e-2 AS region_risk_score, {mode_risk}
 FROM sc_orders""",
+        "fe_lookup_risk_listed": f"""
+SELECT order_item_id, m AS market, r AS order_region, {_rate("m", MARKET_RATES)} AS market_risk_score,
+  {_rate("r", REGION_RATES)} AS region_risk_score, {MODE_RISK}
+FROM (SELECT *, {_listed("market", MARKET_RATES)} AS m, {_listed("order_region", REGION_RATES)} AS r
+  FROM sc_orders)""",
         "fe_incoming_order": "SELECT * FROM sc_incoming",
     }
 
