@@ -31,6 +31,7 @@ WHITE_WIDE = [chr(c) for c in (
     0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 ASCII_LETTERS = byte_set((65, 90), (97, 122))
 BYTES = np.random.default_rng(13).integers(1, 1 << 63, 256, dtype=np.uint64)
+FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 # A run of Latin letters ends a chunk where white space, a full stop or a comma follows it.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 PLAIN = f"[{LETTERS}]+(?=[{WHITE}.,]|\\Z)"
@@ -127,6 +128,26 @@ def rare_white(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.unique(np.searchsorted(bounds, np.concatenate(hits), side="right") - 1)
 
 
+def equal_chunks(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray,
+                 model: np.ndarray) -> np.ndarray:
+    """Whether each chunk has the same bytes as the chunk whose number stands in ``model``.
+
+    The first and last eight bytes, read as one number each, are all of a chunk of up to sixteen.
+    """
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(raw) + 1, "<u8", padded.data, strides=(1,))
+    mask = FIRST_BYTES[np.minimum(sizes, 8)]
+    head, tail = eight[starts] & mask, eight[np.maximum(starts + sizes - 8, starts)] & mask
+    same = (sizes[model] == sizes) & (head[model] == head) & (tail[model] == tail)
+    longer = np.flatnonzero(same & (sizes > 16))
+    if len(longer):
+        n = sizes[longer]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        alike = raw[np.repeat(starts[longer], n) + at] == raw[np.repeat(starts[model[longer]], n) + at]
+        same[longer] = np.logical_and.reduceat(alike, np.cumsum(n) - n)
+    return same
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, one ``bytes`` object per text.
 
@@ -190,10 +211,8 @@ class Encoder:
             h = mixed(np.add.reduceat(BYTES[raw] * POWERS[at & 255], starts) + sizes.astype(np.uint64))
             _, first, kind = np.unique(h, return_index=True, return_inverse=True)
             # Chunks share ids only if their bytes are equal; the others are kinds of their own.
-            model = first[kind]
-            same = np.logical_and.reduceat(
-                raw[np.minimum(np.repeat(starts[model], sizes) + at, len(raw) - 1)] == raw, starts)
-            apart = np.flatnonzero(~(same & (sizes[model] == sizes)))
+            same = equal_chunks(raw, starts, sizes, first[kind])
+            apart = np.flatnonzero(~same)
             kind[apart] = len(first) + np.arange(len(apart))
             first = np.concatenate([first, apart])
             data, begin = raw.tobytes(), starts[first]
