@@ -17,7 +17,8 @@ HEADLINE = [
     "q6_route_rank", "q7_customer_value", "q8_risk_radar", "src_extract", "dq_null_audit",
     "dq_orphan_customers", "dq_status_dist", "dq_summary", "clean_dedup", "clean_fill_median",
     "clean_clip_p99", "fe_calendar", "fe_revenue_per_unit", "fe_market_risk", "sink_clean",
-    "sink_ml", "ml_split", "ml_encode", "ml_scale", "ev_auc", "ev_roc", "ev_report",
+    "sink_ml", "ml_split", "ml_encode", "ml_scale", "ml_assemble", "ml_oversample", "ev_auc",
+    "ev_roc", "ev_report",
     "ts_failure_label", "ts_minmax", "ts_sequences", "ts_window_features", "ts_health_table",
     "br_daily",
 ]

@@ -1,6 +1,7 @@
 """Briefing texts, report files and table round trips."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,6 +109,18 @@ def test_written_briefings_are_listed_by_name(spark, tmp_path):
         ("briefing_20260620_2030.json", "Friday, 19 June 2026", 5.7)]
 
 
+def test_a_report_written_again_counts_once(spark, tmp_path):
+    made = briefing.daily_briefing(health_of(spark, HEALTH), orders_of(spark, []), "2026-06-19 14:44:12")
+    for name, date in (("briefing_20260619_1444.json", "a"), ("briefing_20260620_2030.json", "old"),
+                       ("briefing_20260620_2030.json", "new")):
+        tables.write_briefings(
+            made.withColumns({"report_name": F.lit(name), "date": F.lit(date)}), str(tmp_path / "r"))
+        time.sleep(1.1)  # file times may be whole seconds
+    for n, dates in ((1, ["new"]), (2, ["new", "a"]), (20, ["new", "a"])):
+        rows = tables.list_reports(spark, str(tmp_path / "r"), n).orderBy(F.desc("filename")).collect()
+        assert [r["date"] for r in rows] == dates
+
+
 def test_flat_export_keeps_orders_without_a_match(spark):
     orders = spark.createDataFrame([(1, 10, 100), (2, 99, 999)], "order_item_id int, customer_id int, product_id int")
     customers = spark.createDataFrame(
