@@ -96,24 +96,32 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS) -> Model:
         before += len(starts)
     row, sentence = (np.concatenate([p[k] for p in parts]) for k in range(2))
     parts = [p[2] for p in parts]
-    of_word = row[sentence]
+    of_word, toxic = row[sentence], y.astype(np.int8)
     # Features that are no more frequent among toxic documents than among others are left out.
     keys, flat, where = [], [], []
     for kind in range(1 + len(PREFIXES)):
         h = np.concatenate([p[kind] for p in parts])
-        order = np.lexsort((of_word, h))
-        sorted_h, sorted_row = h[order], of_word[order]
-        del order
-        new = np.append(True, (sorted_h[1:] != sorted_h[:-1]) | (sorted_row[1:] != sorted_row[:-1]))
-        sorted_h, label = sorted_h[new], y[sorted_row[new]]
+        for p in parts:
+            p[kind] = None
+        # Hash and document in one number, sorted in place.
+        pairs = h.astype(np.uint64) << np.uint64(32)
+        pairs |= of_word.view(np.uint32)
+        pairs.sort()
+        pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])[:len(pairs)]]
+        sorted_h = (pairs >> np.uint64(32)).astype(np.uint32)
+        label = toxic[pairs & np.uint64(0xFFFFFFFF)]
+        del pairs
         begin = np.flatnonzero(np.append(True, sorted_h[1:] != sorted_h[:-1]))[:len(sorted_h)]
         if not len(begin):
             continue
-        with_toxic, with_clean = np.add.reduceat(label, begin), np.add.reduceat(1 - label, begin)
+        with_toxic = np.add.reduceat(label, begin, dtype=np.int64)
+        with_clean = np.diff(np.append(begin, len(label))) - with_toxic
+        del label
         lift = (with_toxic + 0.5) / y.sum() * (1 - y).sum() / (with_clean + 0.5)
         chosen = sorted_h[begin][(lift >= LEAST_LIFT) & (with_toxic >= LEAST_DOCS)]
         if len(chosen):
-            at = np.minimum(np.searchsorted(chosen, h), len(chosen) - 1)
+            at = np.searchsorted(chosen, h)
+            np.minimum(at, len(chosen) - 1, out=at)
             met = np.flatnonzero(chosen[at] == h)
             flat.append(at[met] + sum(map(len, keys)))
             where.append(sentence[met])
