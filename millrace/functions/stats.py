@@ -51,13 +51,26 @@ def sketched(df: DataFrame, columns: dict[str, tuple[Column, list[float]]],
     return out, row
 
 
+def _brackets(sketch: Sketch, ranks: list[int]) -> list[tuple[float, float]]:
+    """Enclosing values of neighbouring ranks, in order; those that touch are one."""
+    out: list[tuple[float, float]] = []
+    for rank in sorted(set(ranks)):
+        low, high = sketch.bracket(rank, rank)
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
 def at_ranks(df: DataFrame, wanted: dict[str, tuple[Column, Sketch, list[int]]]
              ) -> dict[str, dict[int, float]]:
-    """Exact values at zero-based ranks, one or two neighbouring ones per name, in one pass.
+    """Exact values at zero-based ranks of each named expression, in one pass.
 
-    A sketch encloses the ranks by two numbers. The pass counts what lies below and above them, so
-    only distinct values in between are shuffled; these are counted per cell of their range, and the
-    ranks are looked up in the cells that hold them. All sizes take the same path.
+    A sketch encloses the ranks by few numbers. Each row falls into one side per expression: inside a
+    bracket, or between two. What lies between is only counted, so nothing but distinct values inside
+    brackets is shuffled; these are counted per cell of their range, and the ranks are looked up in the
+    cells that hold them. All sizes take the same path.
     """
     if not wanted:
         return {}
@@ -65,16 +78,17 @@ def at_ranks(df: DataFrame, wanted: dict[str, tuple[Column, Sketch, list[int]]]
     values = df.select(*[wanted[c][0].cast("double").alias(f"v{i}") for i, c in enumerate(names)])
 
     def entry(i: int, c: str) -> Column:
-        low, high = wanted[c][1].bracket(min(wanted[c][2]), max(wanted[c][2]))
-        v = F.col(f"v{i}")
-        # side: -1 below the bracket, 0 inside, 1 above
-        side = F.when(v < low, -1).when(v > high, 1).when(v.isNotNull(), 0)
-        finite = float("-inf") < low < high < float("inf")
-        share = (v - low) / (high - low) if finite else F.lit(0.0)
-        inside = v.between(low, high)
+        v, brackets = F.col(f"v{i}"), _brackets(wanted[c][1], wanted[c][2])
+        # Sides count gaps and brackets from below: 0 before the first, 1 in it, 2 after it.
+        side, share = F.lit(2 * len(brackets)), F.lit(0.0)
+        for j, (low, high) in reversed(list(enumerate(brackets))):
+            side = F.when(v < low, 2 * j).when(v <= high, 2 * j + 1).otherwise(side)
+            if float("-inf") < low < high < float("inf"):
+                share = F.when(v.between(low, high), (v - low) / (high - low)).otherwise(share)
+        side = F.when(v.isNotNull(), side)
+        inside = side % 2 == 1
         return F.struct(
-            F.lit(i).alias("name"), side.alias("side"),
-            F.when(inside, F.floor(share * BAND_CELLS)).otherwise(0).alias("cell"),
+            F.lit(i).alias("name"), side.alias("side"), F.floor(share * BAND_CELLS).alias("cell"),
             F.when(inside, v).alias("key"), v.alias("v"))
 
     tally = staged(
@@ -94,11 +108,11 @@ def at_ranks(df: DataFrame, wanted: dict[str, tuple[Column, Sketch, list[int]]]
         "last", F.col("before") + F.sum("n").over(within))
     reached = steps.where(
         (F.col("rank") >= F.col("last") - F.col("n")) & (F.col("rank") < F.col("last")))
-    # Known are values inside the bracket and those at its two outer edges.
+    # Known are values inside a bracket and the outermost ones between two.
     value = (
-        F.when(F.col("side") == 0, F.col("low"))
-        .when((F.col("side") == -1) & (F.col("rank") == F.col("last") - 1), F.col("high"))
-        .when((F.col("side") == 1) & (F.col("rank") == F.col("last") - F.col("n")), F.col("low"))
+        F.when(F.col("side") % 2 == 1, F.col("low"))
+        .when(F.col("rank") == F.col("last") - 1, F.col("high"))
+        .when(F.col("rank") == F.col("last") - F.col("n"), F.col("low"))
         .otherwise(F.raise_error(F.lit("quantile lies outside its bracket")).cast("double")))
     out: dict[str, dict[int, float]] = {c: {} for c in names}
     for row in reached.select("name", "rank", value.alias("value")).collect():
@@ -117,18 +131,29 @@ def position(n: int, p: float) -> tuple[list[int], float]:
     return [floor(exact), ceil(exact)], exact - floor(exact)
 
 
-def quantiles(df: DataFrame, wanted: dict[str, float]) -> dict[str, float | None]:
-    """Exact, linearly interpolated quantile of each named column; None for an empty column."""
-    sketches, _ = sketched(df, {c: (F.col(c), around(p)) for c, p in wanted.items()})
-    places_of = {c: position(sketches[c].n, p) for c, p in wanted.items() if sketches[c].n}
-    found = at_ranks(df, {c: (F.col(c), sketches[c], ranks) for c, (ranks, _) in places_of.items()})
-    out: dict[str, float | None] = dict.fromkeys(wanted)
-    for c, (ranks, share) in places_of.items():
-        low, high = (found[c][r] for r in ranks)
-        out[c] = low + (high - low) * share
+def quantile_points(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, list[float]]:
+    """Exact, linearly interpolated quantiles of each named column; none for an empty column."""
+    fractions = {c: sorted({x for p in ps for x in around(p)}) for c, ps in wanted.items()}
+    sketches, _ = sketched(df, {c: (F.col(c), f) for c, f in fractions.items()})
+    found = at_ranks(df, {
+        c: (F.col(c), sketches[c], [r for p in ps for r in position(sketches[c].n, p)[0]])
+        for c, ps in wanted.items() if sketches[c].n})
+    out: dict[str, list[float]] = {}
+    for c, ps in wanted.items():
+        out[c] = []
+        for p in ps if sketches[c].n else ():
+            ranks, share = position(sketches[c].n, p)
+            low, high = (found[c][r] for r in ranks)
+            out[c].append(low + (high - low) * share)
     return out
 
 
+def quantiles(df: DataFrame, wanted: dict[str, float]) -> dict[str, float | None]:
+    """One exact quantile of each named column; None for an empty column."""
+    found = quantile_points(df, {c: [p] for c, p in wanted.items()})
+    return {c: values[0] if values else None for c, values in found.items()}
+
+
 def modes(df: DataFrame, cols: list[str]) -> dict[str, str | None]:
     """Most frequent value of each column, the smallest one on ties; None for an empty column."""
     entries = [F.struct(F.lit(c).alias("name"), F.col(c).alias("v")) for c in cols]

@@ -19,7 +19,7 @@ from millrace.plans.delay_model import (
 )
 from millrace.plans.etl import FIRST_SEEN, clean_orders, extracted_items
 from millrace.plans.maintenance import score_failures, train_failure_model
-from millrace.session import new_folder, shared_folder
+from millrace.session import new_folder, shared_folder, staged
 from millrace.sources import tables
 from millrace.sources.fixtures import (
     customers, mart, mart_with_gaps, orders, orders_dirty, products, scored, sensor,
@@ -485,11 +485,12 @@ def _briefing() -> dict[str, Query]:
 
 def _monitoring() -> dict[str, Query]:
     def drift(s: SparkSession, d: str) -> DataFrame:
-        """Orders since 1998 against the earlier ones."""
-        rows, since = orders(s, d), F.to_timestamp_ntz(F.lit("1998-01-01 00:00:00"))
+        """All features of the orders since 1998 against those of the earlier ones."""
+        since = F.to_timestamp_ntz(F.lit("1998-01-01 00:00:00"))
+        rows = staged(_clean(s, d).select("order_date", *features.FEATURES), "drift_rows")
         found = monitoring.drift(
             rows.where(F.col("order_date") < since), rows.where(F.col("order_date") >= since),
-            ["order_item_quantity", "order_item_product_price"], ["shipping_mode", "market"])
+            features.NUMERIC, features.CATEGORICAL)
         return _digits(found, ["psi"])
 
     return {

@@ -1,21 +1,19 @@
 from __future__ import annotations
 
+from oracle.reports import CATEGORICAL, NUMERIC
 from oracle.views import half_up, money, pct, with_views
 
-NUMERIC = ["order_item_quantity", "order_item_product_price"]
-CATEGORICAL = ["shipping_mode", "market"]
-
 
 def statements() -> dict[str, str]:
     binned = []
     for c in NUMERIC:
         cuts = (f"(SELECT quantile_cont(CAST({c} AS DOUBLE), [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) "
-                f"FROM sc_orders WHERE order_date < TIMESTAMP '1998-01-01')")
+                f"FROM sc_clean WHERE order_date < TIMESTAMP '1998-01-01')")
         binned.append(
             f"SELECT '{c}' AS feature, CAST(len(list_filter(cuts, lambda x: x < {c})) AS VARCHAR) AS bin, "
-            f"order_date >= TIMESTAMP '1998-01-01' AS fresh FROM sc_orders, (SELECT {cuts} AS cuts)")
+            f"order_date >= TIMESTAMP '1998-01-01' AS fresh FROM sc_clean, (SELECT {cuts} AS cuts)")
     for c in CATEGORICAL:
-        binned.append(f"SELECT '{c}', {c}, order_date >= TIMESTAMP '1998-01-01' FROM sc_orders")
+        binned.append(f"SELECT '{c}', {c}, order_date >= TIMESTAMP '1998-01-01' FROM sc_clean")
     counts = (
         "SELECT feature, bin, CAST(COUNT(*) FILTER (NOT fresh) AS DOUBLE) AS o, "
         f"CAST(COUNT(*) FILTER (fresh) AS DOUBLE) AS n FROM ({' UNION ALL '.join(binned)}) GROUP BY 1, 2"

@@ -23,6 +23,17 @@ def test_quantile_is_exact(spark, p):
     assert found["v"] == pytest.approx(np.quantile(values, p), rel=1e-12)
 
 
+def test_many_quantiles_of_several_columns_at_once(spark):
+    rng = np.random.default_rng(9)
+    a, b = rng.lognormal(1, 2, 20_000), rng.integers(0, 4, 20_000).astype(float)
+    b[:15_000] = 2.0
+    df = spark.createDataFrame(list(zip(a.tolist(), b.tolist(), [None] * len(a))), "a double, b double, c double")
+    points = [0.0, 0.1, 0.25, 0.2501, 0.5, 0.75, 0.9, 0.99, 1.0]
+    found = stats.quantile_points(df.repartition(5), {"a": points, "b": points, "c": points})
+    assert found["a"] == pytest.approx(np.quantile(a, points).tolist(), rel=1e-12)
+    assert found["b"] == pytest.approx(np.quantile(b, points).tolist(), rel=1e-12) and found["c"] == []
+
+
 @given(st.lists(st.integers(-50, 50), min_size=1, max_size=12), st.sampled_from([0.5, 0.99]))
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 def test_quantile_of_few_values(spark, values, p):
