@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -27,6 +29,15 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give back to the system what a fit has freed, where the C library can; a driver lives long."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def fresh(name: str) -> str:
     """A column name that no input column has."""
     return f"_{name}_{uuid.uuid4().hex[:12]}"

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import apart, fresh, over_slices, remainder, text_bytes
+from millrace.llm.common import apart, fresh, over_slices, release, remainder, text_bytes
 from millrace.llm.scan import SPACES, byte_set, segments, words
 
 FIT_ROWS = 4_000
@@ -235,7 +235,9 @@ def portions(texts: list[str], most: int = 1_000_000) -> Iterator[tuple[np.ndarr
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, fit_rows: int = FIT_ROWS,
         fit_chars: int = FIT_CHARS) -> Field:
-    return fit_field(*labelled_sample(docs, labels, "quality", usable, fit_rows, fit_chars))
+    field = fit_field(*labelled_sample(docs, labels, "quality", usable, fit_rows, fit_chars))
+    release()
+    return field
 
 
 def score(docs: DataFrame, field: Field, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:

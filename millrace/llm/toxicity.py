@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import apart, fresh, over_slices, remainder, text_bytes
+from millrace.llm.common import apart, fresh, over_slices, release, remainder, text_bytes
 from millrace.llm.quality import labelled_sample, portions
 from millrace.llm.scan import byte_set, segments, words
 
@@ -148,7 +148,9 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS) -> Model:
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, fit_rows: int = FIT_ROWS,
         fit_chars: int = FIT_CHARS) -> Model:
-    return train(*labelled_sample(docs, labels, "toxic", usable, fit_rows, fit_chars))
+    model = train(*labelled_sample(docs, labels, "toxic", usable, fit_rows, fit_chars))
+    release()
+    return model
 
 
 def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ("doc_id",),
