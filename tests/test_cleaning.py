@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import registry
 from millrace.operators import cleaning, features, quality
 from millrace.plans.etl import clean_orders
 from millrace.session import new_folder
@@ -147,3 +148,25 @@ def test_risk_scores_do_not_shuffle_the_rows(spark):
     df = products(spark, SF_DIR).select("category_name", F.lit(1).alias("late_delivery_risk"))
     text = plan(features.target_mean(df, "category_name", "r"))
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_stored_items_without_copies_are_not_written_again(spark):
+    path = new_folder(spark, "single")
+    spark.range(40).selectExpr("id k", "id % 3 o").write.parquet(path)
+    df = spark.read.parquet(path)
+    assert cleaning.dedup_stored(df, ["k"], ["o"]) is df
+
+
+def test_stored_copies_are_dropped_as_by_a_window(spark):
+    path = new_folder(spark, "copies")
+    rows = [(k, o, str(o)) for k in (None, 1, 2, 3) for o in range(1 if k == 2 else 4)]
+    spark.createDataFrame(rows, "k int, o int, t string").write.parquet(path)
+    df = spark.read.parquet(path)
+    want = sorted(map(str, cleaning.dedup(df, ["k"], ["o"]).collect()))
+    assert sorted(map(str, cleaning.dedup_stored(df, ["k"], ["o"]).collect())) == want
+
+
+def test_filled_orders_are_joined_once(spark):
+    for name in ("ml_impute_cat", "ml_impute_num"):
+        plan = registry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        assert "lineitem" not in plan and "Join" not in plan

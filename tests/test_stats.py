@@ -104,3 +104,18 @@ def test_attach_gives_the_same_with_and_without_broadcast(spark):
 def test_rounding_is_half_up_on_decimal_digits(spark):
     df = frame(spark, [0.125, 2.675, 1.005, -0.125])
     assert [r[0] for r in df.select(rounded(F.col("v"), 2)).collect()] == [0.13, 2.68, 1.01, -0.13]
+
+
+def test_bins_follow_the_order_of_numbers_and_enclose_ranks(spark):
+    rng = np.random.default_rng(5)
+    powers = [s * 2.0 ** e * f for s in (1, -1) for e in (-1070, -3, 0, 1, 52, 1000)
+              for f in (1.0, 1.0 + 2.0 ** -52, 2.0 - 2.0 ** -52)]
+    values = sorted([*powers, 0.0, float("inf"), float("-inf"), *rng.normal(0, 100, 2_000).tolist()])
+    df = frame(spark, values)
+    bins = [r[0] for r in df.orderBy("v").select(stats.bin_of(F.col("v"))).collect()]
+    assert bins == sorted(bins) and len(set(bins)) > 500
+    sketch = stats.sketched(df, {"v": F.col("v")})["v"]
+    assert sketch.n == len(values)
+    for rank in range(0, len(values), 37):
+        low, high = sketch.bracket(rank)
+        assert low <= values[rank] <= high
