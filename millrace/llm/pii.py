@@ -4,8 +4,7 @@ Base patterns find what has an exact form: emails, IP addresses, card numbers wi
 digit, international phone numbers. They always stay. Two generators propose more, overlapping
 freely: any number of seven digits or more with blanks, dots, brackets or dashes inside, and
 address-like strings including spelled-out ones such as ``name [at] host [dot] org``. Boosted trees score a
-candidate from its format and its surroundings; they learn from the candidates of a sample of
-documents. What the base patterns confirm is surely personal, the rest is unknown, not clean. So the
+candidate from its format and its surroundings; they learn from the candidates of all documents. What the base patterns confirm is surely personal, the rest is unknown, not clean. So the
 trees see a candidate without what only the base form has (``MASKED``: no country prefix, spelled-out
 addresses as plain ones): a national number looks like an international one, and only looks and
 surroundings that confirmed spans do not share speak against it. Held-out candidates give the share
@@ -21,7 +20,7 @@ found by sorting, and no match walks through the text. The base patterns are wri
 cost linear time and no stack.
 
 Defined results: null text counts as empty and has no spans; repeated rows get equal spans; without
-candidates of both sorts in the sample nothing is added; an empty table gives no rows. Columns in
+candidates of both sorts nothing is added; an empty table gives no rows. Columns in
 ``carry`` pass through, but for those named like a result.
 """
 
@@ -102,7 +101,6 @@ CONTEXT = 24
 # Steps of a running result that are taken at a time, and characters of a text cut at a time.
 BLOCK = 256
 CUT = 512
-FIT_DOCS = 20_000
 ROUNDS = 12
 DEPTH = 3
 PRECISION = 0.98
@@ -253,15 +251,11 @@ def as_expression(model: GBTClassificationModel, names: list[str]) -> str:
         for weight, tree in zip(model.treeWeights, model.trees))
 
 
-def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, rounds: int = ROUNDS,
-        precision: float = PRECISION) -> Trees:
-    """Fit trees and thresholds on the candidates of at most ``fit_docs`` documents."""
-    ids = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(fit_docs)
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+def fit(docs: DataFrame, rounds: int = ROUNDS, precision: float = PRECISION) -> Trees:
+    """Fit trees and thresholds on the candidates of all documents."""
     names = list(FEATURES)
     rows = staged(
-        with_candidates(sample, ("doc_id",)).select("doc_id", F.inline("candidates"))
+        with_candidates(docs.select("doc_id", "text"), ("doc_id",)).select("doc_id", F.inline("candidates"))
         .select("kind", "label", "f.*", (F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(10)) < 7)
                 .alias("learn")), "candidates")
     sorts = {r["label"] for r in rows.where("learn").groupBy("label").count().collect()}

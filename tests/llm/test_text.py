@@ -339,3 +339,11 @@ def test_shards(real, docs, none):
         assert (r["size"], r["text_crc32"], r["law"]) == (len(raw) + 16, zlib.crc32(raw), "rows")
     assert sharding.sharded(none).count() == 0
     assert len(LONG) > 100_000
+
+
+def test_trees_learn_from_every_document(spark, monkeypatch):
+    docs = spark.range(20_500).selectExpr("id doc_id", "concat('call 555 123 ', 1000 + id % 9000) text")
+    kept = []
+    monkeypatch.setattr(pii, "staged", lambda df, *more: kept.append(df) or df)
+    assert pii.fit(docs).margin is None
+    assert kept[0].count() == 20_500
