@@ -1,5 +1,6 @@
 """Order statistics, ranks and running totals against plain Python."""
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -119,3 +120,12 @@ def test_bins_follow_the_order_of_numbers_and_enclose_ranks(spark):
     for rank in range(0, len(values), 37):
         low, high = sketch.bracket(rank)
         assert low <= values[rank] <= high
+
+
+def test_rounding_to_eight_decimals_is_that_of_sql(spark):
+    n = 2_560
+    shares = spark.range(1, n + 1).select(F.col("id"), (F.col("id").cast("double") / n).alias("v"))
+    found = {r["id"]: r["v"] for r in shares.select("id", rounded(F.col("v"), 8).alias("v")).collect()}
+    asked = duckdb.connect().execute(
+        f"SELECT id, CAST(CAST(id::DOUBLE / {n} AS DECIMAL(28,8)) AS DOUBLE) FROM range(1, {n + 1}) r(id)")
+    assert found == dict(asked.fetchall())
