@@ -170,3 +170,24 @@ def test_filled_orders_are_joined_once(spark):
     for name in ("ml_impute_cat", "ml_impute_num"):
         plan = registry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         assert "lineitem" not in plan and "Join" not in plan
+
+
+def test_items_are_dealt_by_order_and_product_alone(spark):
+    adaptive, broadcast = (spark.conf.get(f"spark.sql.{c}") for c in (
+        "adaptive.enabled", "autoBroadcastJoinThreshold"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = orders(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    dealt = [line for line in text.splitlines() if "Exchange hashpartitioning(o_custkey" in line]
+    assert len(dealt) == 1
+    below = text[text.index(dealt[0]) + len(dealt[0]):].split("Exchange")[0]
+    assert "l_linenumber" not in below and "l_orderkey" not in below
+
+
+def test_caps_read_the_joined_amounts_once(spark):
+    text = registry.queries()["clean_clip_p99"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in text
