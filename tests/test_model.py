@@ -13,9 +13,11 @@ from millrace.operators import evaluation, model, oversample, sensors
 from millrace.functions.stats import places
 from millrace.operators.features import CATEGORICAL, FEATURES, NUMERIC, dashboard_view
 from millrace.operators.preparation import fit_preparation
+from millrace.plans import delay_model
 from millrace.plans.delay_model import DelayModel, train_delay_model, training_rows
 from millrace.plans.etl import clean_orders
 from millrace.plans.maintenance import score_failures, train_failure_model
+from millrace.session import staged
 from millrace.sources.fixtures import mart, sensor
 from tests.conftest import SF_DIR
 
@@ -300,3 +302,19 @@ def test_wide_categories_are_coded(spark):
     assert fitted.codes.count() == 60_000 * len(CATEGORICAL)
     known = fitted.transform(frame.where("order_item_id = 59999")).select(vector_to_array("features")).first()[0]
     assert known[len(NUMERIC):] == [59_999.0] * len(CATEGORICAL)
+
+
+def test_training_rows_are_written_once(spark, monkeypatch):
+    written = []
+
+    def counted(df, name):
+        written.append(name)
+        return staged(df, name)
+
+    for module in (model, delay_model):
+        if hasattr(module, "staged"):
+            monkeypatch.setattr(module, "staged", counted)
+    clean = clean_orders(mart(spark, SF_DIR))
+    rows = training_rows(clean)
+    assert written == ["digested"]
+    assert {"train", "test"} == {r["split"] for r in rows.select("split").distinct().collect()}

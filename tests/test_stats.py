@@ -129,3 +129,13 @@ def test_rounding_to_eight_decimals_is_that_of_sql(spark):
     asked = duckdb.connect().execute(
         f"SELECT id, CAST(CAST(id::DOUBLE / {n} AS DECIMAL(28,8)) AS DOUBLE) FROM range(1, {n + 1}) r(id)")
     assert found == dict(asked.fetchall())
+
+
+def test_ranks_of_many_columns_in_one_pass(spark):
+    columns = [f"c{i}" for i in range(13)]
+    df = spark.range(2_000).select(*[((F.col("id") * (i + 7)) % 1_009).cast("double").alias(c)
+                                     for i, c in enumerate(columns)])
+    found = stats.quantile_points(df, {c: [0.5, 0.99] for c in columns})
+    for i, c in enumerate(columns):
+        values = [(k * (i + 7)) % 1_009 for k in range(2_000)]
+        assert found[c] == pytest.approx(np.quantile(values, [0.5, 0.99]).tolist())
