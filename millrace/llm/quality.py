@@ -208,9 +208,10 @@ def fit_field(texts: list[str], labels: list[int], steps: int = STEPS) -> Field:
     return field
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column,
-                    fit_rows: int, fit_chars: int) -> tuple[list[str], list[int]]:
-    """At most ``fit_rows`` labelled texts, picked by a hash of their id."""
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, usable: Column,
+                  fit_rows: int, fit_chars: int) -> DataFrame:
+    """``text``, ``label`` and ``h`` of at most ``fit_rows`` labelled texts, picked by a hash of their
+    id and in the order of ``h``, ``label``, ``text``."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label"))
     known = known.where("doc_id is not null and label in (0, 1)").where(usable).distinct()
     # Ids are picked first; at most fit_rows of them go to the executors, and their texts come back.
@@ -218,8 +219,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Colu
     picked = known.select("doc_id", "label", h).orderBy("h", "doc_id", "label").limit(fit_rows)
     texts = docs.select("doc_id", F.col("text").alias("text")).where(
         F.coalesce(F.char_length("text"), F.lit(0)) <= fit_chars)
-    rows = texts.join(F.broadcast(picked), "doc_id").orderBy("h", "label", "text").select(
-        "text", "label").limit(fit_rows).collect()
+    return texts.join(F.broadcast(picked), "doc_id").orderBy("h", "label", "text").select(
+        "text", "label", "h").limit(fit_rows)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column,
+                    fit_rows: int, fit_chars: int) -> tuple[list[str], list[int]]:
+    """The texts and labels of ``labelled_rows``."""
+    rows = labelled_rows(docs, labels, label, usable, fit_rows, fit_chars).select("text", "label").collect()
     return [r["text"] for r in rows], [r["label"] for r in rows]
 
 

@@ -4,8 +4,9 @@ A sentence's score is a logistic function of hashed words and word beginnings. A
 probability is the noisy-or of its sentences, 1 - prod(1 - p), and the weights are trained from
 document labels alone; the sentences that carry a document's probability are its offending ones.
 
-Training runs on the driver over at most ``fit_rows`` labelled texts of at most ``fit_chars``
-characters. Scoring reads every whole text.
+Training takes at most ``fit_rows`` labelled texts of at most ``fit_chars`` characters: tasks read them
+and count their features, and only where learnt ones occur comes to the driver, which finds the weights.
+Scoring reads every whole text.
 
 Defined results: null and empty text is one sentence without words; repeated rows get equal
 scores; labels without a document or with a null label are not used; an empty table gives no rows;
@@ -19,12 +20,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import apart, fresh, over_slices, release, remainder, text_bytes
-from millrace.llm.quality import labelled_sample, portions
+from millrace.llm.common import apart, fresh, over_slices, release, remainder, staged, text_bytes
+from millrace.llm.quality import labelled_rows, portions
 from millrace.llm.scan import byte_set, segments, words
 
 FIT_ROWS = 6_000
@@ -87,8 +88,8 @@ class Model:
 def train(texts: list[str], labels: list[int], steps: int = STEPS) -> Model:
     """Weights that maximise the likelihood of document labels under the noisy-or."""
     y = np.array(labels, float)
-    if not len(y) or y.min() == y.max():
-        return Model(np.zeros(0, np.uint32), np.zeros(0), -40.0 if not len(y) or y[0] == 0 else 40.0)
+    if model := one_label(y):
+        return model
     parts, before = [], 0
     for raw, bounds, first in portions(texts):
         starts, row, hashes, sentence = instances(raw, bounds)
@@ -127,6 +128,19 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS) -> Model:
             where.append(sentence[met])
             keys.append(chosen)
     keys, flat, where = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, flat, where))
+    return learnt(y, keys, flat, where, row, steps)
+
+
+def one_label(y: np.ndarray) -> Model | None:
+    """The model of rows that do not hold both labels."""
+    if len(y) and y.min() != y.max():
+        return None
+    return Model(np.zeros(0, np.uint32), np.zeros(0), -40.0 if not len(y) or y[0] == 0 else 40.0)
+
+
+def learnt(y: np.ndarray, keys: np.ndarray, flat: np.ndarray, where: np.ndarray, row: np.ndarray,
+           steps: int) -> Model:
+    """Weights of ``keys``, where key ``flat[i]`` occurs in sentence ``where[i]`` of ``row[where[i]]``."""
     size = len(keys)
     # Sentences without such a feature are not toxic, however many a document has.
     met, where = np.unique(where, return_inverse=True)
@@ -146,9 +160,72 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS) -> Model:
     return Model(keys[order].astype(np.uint32), theta[order], float(constant))
 
 
+def _counted(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Each feature of a row once, by kind, with the row's label."""
+    starts, row, hashes, sentence = instances(*text_bytes(batch.column(0)))
+    label, of_word = batch.column(1).to_numpy(zero_copy_only=False), row[sentence].view(np.uint32)
+    found = [np.unique(h.astype(np.uint64) << np.uint64(32) | of_word) for h in hashes]
+    pairs = np.concatenate(found)
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.repeat(np.arange(len(found), dtype=np.int32), [len(f) for f in found])),
+        pa.array((pairs >> np.uint64(32)).astype(np.int64)),
+        pa.array(label[(pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)].astype(np.int32)),
+    ], names=["kind", "hash", "label"])
+
+
+def _occurrences(chosen: list[np.ndarray]):
+    """Where learnt features occur: kind, number of the key, row, sentence of the row, place."""
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        starts, row, hashes, sentence = instances(*text_bytes(batch.column(0)))
+        number = batch.column(1).to_numpy(zero_copy_only=False)
+        first = np.searchsorted(row, np.arange(batch.num_rows))
+        out: list[list[np.ndarray]] = [[] for _ in range(5)]
+        before = 0
+        for kind, (h, keys) in enumerate(zip(hashes, chosen)):
+            at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
+            met = np.flatnonzero(keys[at] == h) if len(keys) else np.zeros(0, np.int64)
+            r = row[sentence[met]]
+            for column, values in zip(out, (
+                    np.full(len(met), kind), at[met] + before, number[r], sentence[met] - first[r], met)):
+                column.append(values.astype(np.int64))
+            before += len(keys)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(column)) for column in out],
+            names=["kind", "key", "row", "sentence", "place"])
+    return work
+
+
+def train_on(rows: DataFrame, steps: int = STEPS) -> Model:
+    """``train`` for rows of ``row`` (numbers from 0), ``text`` and ``label``, read twice by tasks."""
+    y = np.array([r["label"] for r in rows.select("row", "label").orderBy("row").collect()], float)
+    if model := one_label(y):
+        return model
+    each = rows.select("text", "label").mapInArrow(
+        over_slices(_counted), "kind int, hash long, label int")
+    counts = each.groupBy("kind", "hash").agg(
+        F.sum("label").alias("with_toxic"), F.count_if(F.col("label") == 0).alias("with_clean"))
+    lift = (F.col("with_toxic") + 0.5) / F.lit(float(y.sum())) * F.lit(float((1 - y).sum())) / (
+        F.col("with_clean") + 0.5)
+    known = counts.where((lift >= LEAST_LIFT) & (F.col("with_toxic") >= LEAST_DOCS)).select(
+        "kind", "hash").toPandas()
+    chosen = [np.sort(known["hash"][known["kind"] == kind].to_numpy().astype(np.uint32))
+              for kind in range(1 + len(PREFIXES))]
+    met = rows.select("text", "row").mapInArrow(
+        over_slices(_occurrences(chosen)), "kind long, key long, row long, sentence long, place long"
+    ).toPandas().sort_values(["kind", "row", "place"])
+    # Sentences get numbers in the order of rows.
+    pairs = met[["row", "sentence"]].to_numpy()
+    sentences, where = np.unique(pairs, axis=0, return_inverse=True)
+    return learnt(y, np.concatenate(chosen).astype(np.int64), met["key"].to_numpy(), where.reshape(-1),
+                  sentences[:, 0], steps)
+
+
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, fit_rows: int = FIT_ROWS,
         fit_chars: int = FIT_CHARS) -> Model:
-    model = train(*labelled_sample(docs, labels, "toxic", usable, fit_rows, fit_chars))
+    picked = labelled_rows(docs, labels, "toxic", usable, fit_rows, fit_chars)
+    number = F.row_number().over(Window.orderBy("h", "label", "text")) - 1
+    rows = picked.select("text", "label", number.alias("row"))
+    model = train_on(staged(rows.repartition(16, "row"), "toxic-sample"))
     release()
     return model
 

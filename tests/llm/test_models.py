@@ -194,3 +194,24 @@ def test_pipeline_takes_hard_rows(spark, docs, none):
             out = spark.createDataFrame(out.collect(), frame.schema)
         pieces = corpus_pipeline.STAGES[-1][1](spark, out, SF_DIR)
         assert pieces.count() >= out.count()
+
+
+def test_tasks_and_lists_learn_the_same_toxicity(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    random = np.random.default_rng(4)
+    texts = [". ".join(" ".join(random.choice(words, 6)) for _ in range(3)) for _ in range(80)]
+    labels = [int(i % 4 == 0) for i in range(80)]
+    texts = [f"{t}. You awful{i % 3} fool" if y else t for i, (t, y) in enumerate(zip(texts, labels))]
+    monkeypatch.setattr(toxicity, "LEAST_LIFT", 2.0)
+    local = toxicity.train(texts, labels)
+    rows = spark.createDataFrame(
+        [(i, t, y) for i, (t, y) in enumerate(zip(texts, labels))], "row long, text string, label int")
+    monkeypatch.setattr(toxicity, "train", None)
+    spread = toxicity.train_on(rows.repartition(5))
+    assert len(local.keys) > 3 and (spread.keys == local.keys).all()
+    assert (spread.weights == local.weights).all() and spread.constant == local.constant
+    # The texts stay with the tasks: a fit needs neither them nor their words on the driver.
+    monkeypatch.setattr(toxicity, "portions", None)
+    docs = rows.select(F.col("row").alias("doc_id"), "text")
+    fitted = toxicity.fit(docs, rows.select(F.col("row").alias("doc_id"), F.col("label").alias("toxic")), F.lit(True))
+    assert set(fitted.keys.tolist()) == set(local.keys.tolist())
