@@ -51,14 +51,13 @@ def label_failures(df: DataFrame, horizon_hours: int = HORIZON_HOURS, event: str
         hour = F.datediff(F.to_date(time), F.lit("1970-01-01")) * 24 + F.hour(time)
         return F.floor(hour / horizon_hours)
 
-    failures = df.where((F.col(event) == 1) & F.col(TIME).isNotNull()).groupBy(
-        F.col(MACHINE).alias("of_machine"), slice_of(F.col(TIME)).alias("at")).agg(
-        F.min(TIME).alias("first"), F.max(TIME).alias("last"))
     none = F.lit(None).cast(df.schema[TIME].dataType)
+    at = slice_of(F.col(TIME))
     places = F.array(
-        F.struct(F.col("at").alias("slice"), none.alias("next"), F.col("last")),
-        F.struct((F.col("at") - 1).alias("slice"), F.col("first").alias("next"), none.alias("last")))
-    ends = failures.select("of_machine", F.inline(places)).groupBy("of_machine", "slice").agg(
+        F.struct(at.alias("slice"), none.alias("next"), F.col(TIME).alias("last")),
+        F.struct((at - 1).alias("slice"), F.col(TIME).alias("next"), none.alias("last")))
+    ends = df.where((F.col(event) == 1) & F.col(TIME).isNotNull()).select(
+        F.col(MACHINE).alias("of_machine"), F.inline(places)).groupBy("of_machine", "slice").agg(
         F.min("next").alias("next_first"), F.max("last").alias("own_last"))
     same = F.col(MACHINE).eqNullSafe(F.col("of_machine")) & (slice_of(F.col(TIME)) == F.col("slice"))
     limit = F.col(TIME) + F.make_dt_interval(hours=F.lit(horizon_hours))
