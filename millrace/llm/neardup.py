@@ -13,9 +13,10 @@
 4. At last, lists that still hold several components name the classes that may have partners left.
    These are posted again, under the rarest shingles of their full sets: two sets that are alike
    enough share one of the first ``size - needed + 1`` in the order of rarity, and the first one
-   they share lies early enough in both that what follows can still reach the needed overlap. Pairs
-   across components that meet this way are compared; a group of copies of copies is one component by
-   then, and texts that differ by more words of their own than they may have no rare shingle in common.
+   they share lies early enough in both that what follows can still reach the needed overlap. At first
+   each meets only the member of a list that has the fewest rarer shingles, the text that a group of
+   copies was changed from, and what is confirmed is contracted; then all pairs across components that
+   meet this way are compared. In both, parities of hashed shingles leave out pairs that differ too much.
 5. Every pair whose signatures agree often enough is confirmed on the two full sets.
 
 Components are found by contraction rounds over the link table: each node takes the smallest node
@@ -30,10 +31,12 @@ table gives no rows. Columns in ``carry`` pass through, but for those named like
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +49,8 @@ WORDS = 4
 # The row number's column, a name that carried columns do not have.
 ROW = fresh("row")
 PERCENT = 80
+# Words of 64 parities that a posting carries of its set.
+PARITIES = 8
 
 _random = np.random.default_rng(19)
 MULTIPLIERS = _random.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -209,21 +214,73 @@ def _fits(percent: int):
     return (F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent)
 
 
+def _parities() -> list[Column]:
+    """For each of ``64 * PARITIES`` places the parity of a set's shingles that fall there."""
+    place = F.call_function(
+        "shiftleft", F.lit(1).cast("long"), F.shiftright("token", 3).bitwiseAND(63).cast("int"))
+    word = F.col("token").bitwiseAND(PARITIES - 1)
+    return [F.bit_xor(F.when(word == j, place).otherwise(F.lit(0).cast("long"))) for j in range(PARITIES)]
+
+
+def _can_link(percent: int) -> Column:
+    """Whether two postings of a list may be of similar sets: by size, place and parities.
+
+    No similar pair is lost in the first list it shares: what follows there must hold the needed
+    overlap. Each place whose parity differs has a shingle that only one of the sets has.
+    """
+    total = F.col("n") + F.col("other_n")
+    left = F.least(F.col("n") - F.col("at"), F.col("other_n") - F.col("other_at"))
+    differ = reduce(add, (F.bit_count(F.get("odd", j).bitwiseXOR(F.get("other_odd", j)))
+                          for j in range(PARITIES)))
+    # With at least total * percent / (100 + percent) in common, all but twice that may differ.
+    return _fits(percent) & (left * (100 + percent) >= total * percent) & (
+        differ * (100 + percent) <= total * (100 - percent))
+
+
 def _rare_postings(sets: DataFrame, percent: int) -> DataFrame:
     """Each set's rarest shingles: as many as one of them must be shared with any partner.
 
-    ``token``, ``set_key``, the set's size ``n`` and the shingle's place ``at`` in the order of
-    rarity. Shingles that only one set has are placed but not posted.
+    ``token``, ``set_key``, the set's size ``n`` and parities ``odd``, and the shingle's place ``at`` in
+    the order of rarity. Shingles that only one set has are placed but not posted.
     """
     each = sets.select("set_key", F.explode("hashes").alias("token"))
     known = each.groupBy("token").agg(F.count("*").alias("long"))
     ranked = each.join(known, "token").groupBy("set_key").agg(
-        F.sort_array(F.collect_list(F.struct("long", "token"))).alias("ranked"))
+        F.sort_array(F.collect_list(F.struct("long", "token"))).alias("ranked"),
+        *[p.alias(f"odd_{j}") for j, p in enumerate(_parities())])
     n = F.size("ranked")
     first = n - F.ceil(n * percent / F.lit(100)).cast("int") + 1
     return ranked.select(
-        "set_key", n.alias("n"), F.posexplode(F.slice("ranked", F.lit(1), first)).alias("at", "x")
-    ).where("x.long > 1").select(F.col("x.token").alias("token"), "set_key", "n", "at")
+        "set_key", n.alias("n"), F.array(*[f"odd_{j}" for j in range(PARITIES)]).alias("odd"),
+        F.posexplode(F.slice("ranked", F.lit(1), first)).alias("at", "x")
+    ).where("x.long > 1").select(F.col("x.token").alias("token"), "set_key", "n", "odd", "at")
+
+
+def _others(members: DataFrame) -> DataFrame:
+    """Postings as the other side of a pair."""
+    return members.select(
+        F.col("token").alias("other_token"), F.col("set_key").alias("other_key"), F.col("n").alias("other_n"),
+        F.col("odd").alias("other_odd"), F.col("at").alias("other_at"), F.col("component").alias("other"))
+
+
+def _across(members: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of different components that share a list and may be similar."""
+    met = members.join(others, (F.col("token") == F.col("other_token")) & (
+        F.col("component") != F.col("other")) & _can_link(percent))
+    return met.select(
+        F.least("set_key", "other_key").alias("a"), F.greatest("set_key", "other_key").alias("b")
+    ).distinct()
+
+
+def _core_meetings(posted: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each class with the member of a list that has the fewest rarer shingles.
+
+    A group's changed copies have more of them than the text they come from, so most of a group that
+    can be linked is linked by one pair for each posting at most.
+    """
+    placed = _components_of(posted, joined)
+    core = placed.groupBy("token").agg(F.min(F.struct("at", "set_key", "n", "odd", "component")).alias("core"))
+    return _across(placed, _others(core.select("token", "core.*")), percent)
 
 
 def _meetings(posted: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
@@ -235,16 +292,7 @@ def _meetings(posted: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
     lists = _open_lists(placed)
     inside = placed.join(lists, "token")
     outside = inside.where(F.col("component") != F.col("main")).drop("main")
-    other = inside.select(
-        F.col("token").alias("other_token"), F.col("set_key").alias("other_key"), F.col("n").alias("other_n"),
-        F.col("at").alias("other_at"), F.col("component").alias("other"))
-    left = F.least(F.col("n") - F.col("at"), F.col("other_n") - F.col("other_at"))
-    enough = left * (100 + percent) >= (F.col("n") + F.col("other_n")) * percent
-    met = outside.join(other, (F.col("token") == F.col("other_token")) & (
-        F.col("component") != F.col("other")) & _fits(percent) & enough)
-    return met.select(
-        F.least("set_key", "other_key").alias("a"), F.greatest("set_key", "other_key").alias("b")
-    ).distinct()
+    return _across(outside, _others(inside), percent)
 
 
 def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
@@ -294,10 +342,11 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
 
     placed = _components_of(prefix, joined)
     left_over = placed.join(_open_lists(placed), "token").select("set_key").distinct()
-    posted = _rare_postings(sets.join(left_over, "set_key", "left_semi"), percent)
-    rest = _meetings(posted, joined, percent)
-    links = links.unionByName(_confirmed(_agreeing(rest, reps), sets, percent))
-    joined = components(links)
+    posted = staged(_rare_postings(sets.join(left_over, "set_key", "left_semi"), percent), "rarest")
+    for meet in (_core_meetings, _meetings):
+        found = _confirmed(_agreeing(meet(posted, joined, percent), reps), sets, percent)
+        links = staged(links.unionByName(found), "links")
+        joined = components(links)
 
     of_class = reps.select("set_key", "least").join(
         joined.withColumnRenamed("node", "set_key"), "set_key", "left").select(

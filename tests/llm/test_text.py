@@ -309,6 +309,42 @@ def test_rare_postings_meet_every_partner(spark):
                 assert (i, j) in met
 
 
+def test_copies_of_one_text_meet_it_and_not_each_other(spark, monkeypatch):
+    """Copies with one to six changes: those near enough to the text are linked to it in linear work."""
+    rnd = random.Random(21)
+    base = [f"v{rnd.randrange(4_000)}" for _ in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 500):
+        own = list(base)
+        for k in range(1 + i % 6):
+            own[rnd.randrange(len(own))] = f"own{i}x{k}"
+        rows.append((i, " ".join(own)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = [(d, *c) for (d, _), c in zip(rows, brute_components(rows, 4))]
+    tried, meetings = [], neardup._meetings
+    monkeypatch.setattr(neardup, "_meetings", lambda *a: tried.append(meetings(*a)) or tried[-1])
+    found = neardup.linked_documents(frame).select("doc_id", "n_shingles", "component_id")
+    assert sorted(tuple(r) for r in found.collect()) == want
+    print(f"{tried[0].count()} pairs compared, {len({c for _, _, c in want})} groups")
+    assert tried[0].count() < 100
+
+
+def test_parities_leave_out_only_pairs_that_differ_too_much(spark):
+    rnd = random.Random(23)
+    core = [rnd.randrange(-1 << 62, 1 << 62) for _ in range(150)]
+    sets = [sorted({*rnd.sample(core, 150 - k), *(rnd.randrange(-1 << 62, 1 << 62) for _ in range(k))})
+            for k in (rnd.randrange(16) for _ in range(60))]
+    frame = spark.createDataFrame(
+        [(str(i).encode(), s) for i, s in enumerate(sets)], "set_key binary, hashes array<long>")
+    none = spark.createDataFrame([], "node binary, component binary")
+    met = {(int(r["a"]), int(r["b"])) for r in neardup._meetings(
+        neardup._rare_postings(frame, 80), none, 80).collect()}
+    met |= {(b, a) for a, b in met}
+    near = {(i, j) for i, a in enumerate(map(set, sets)) for j, b in enumerate(map(set, sets))
+            if i != j and 100 * len(a & b) >= 80 * len(a | b)}
+    assert near <= met and 0 < len(met - near) < len(near) / 4
+
+
 def test_hypergeometric_matrix():
     rnd = random.Random(5)
     draws = [sharding.hypergeometric(30, 100, 20, rnd.random()) for _ in range(20_000)]
