@@ -1,6 +1,8 @@
 """Cleaning, features and checks on hand-made rows, and the shape of their plans."""
 
 import datetime as dt
+import os
+import re
 
 import numpy as np
 import pytest
@@ -10,7 +12,7 @@ from millrace import registry
 from millrace.operators import cleaning, features, quality
 from millrace.plans.etl import clean_orders
 from millrace.session import new_folder
-from millrace.sources.fixtures import mart, mart_with_gaps, orders, products
+from millrace.sources.fixtures import mart, mart_to_extract, mart_with_gaps, orders, products
 from tests.conftest import SF_DIR
 
 
@@ -191,3 +193,39 @@ def test_items_are_dealt_by_order_and_product_alone(spark):
 def test_caps_read_the_joined_amounts_once(spark):
     text = registry.queries()["clean_clip_p99"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in text
+
+
+def below(text, head):
+    """The plan lines under each line that has ``head``."""
+    lines = text.splitlines()
+    depth = [re.match(r"[ :+\-|]*", x).end() for x in lines]
+    for i, line in enumerate(lines):
+        if head in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            yield lines[i + 1:end]
+
+
+def test_items_are_not_dealt_by_customer(spark):
+    plain = cleaning.extract(**mart_with_gaps(spark, SF_DIR))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(registry.queries()["src_extract"](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    dealt = [*below(text, "Exchange hashpartitioning(customer_id#"), *below(text, "Exchange hashpartitioning(o_custkey#")]
+    assert dealt and not any("l_orderkey" in line for lines in dealt for line in lines)
+    made = cleaning.extract(**mart_to_extract(spark, SF_DIR))
+    assert made.schema == plain.schema
+    assert made.exceptAll(plain).isEmpty() and plain.exceptAll(made).isEmpty()
+
+
+def test_features_are_stored_compressed(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(registry.tables, "read_csv", lambda s, path, schema: stored.append(path))
+    registry.queries()["src_features_csv"](spark, SF_DIR)
+    parts = [f for f in os.listdir(stored[0]) if f.startswith("part-")]
+    assert parts and all(f.endswith(".csv.gz") for f in parts)
