@@ -105,9 +105,10 @@ few AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY digest, order_item_id
   WHERE label = (SELECT arg_min(label, (size, label)) FROM placed)),
 chosen AS (SELECT *, (large - small) // small
   + CASE WHEN nth <= (large - small) % small THEN 1 ELSE 0 END AS copies FROM few),
-near AS MATERIALIZED (SELECT a.order_item_id, min_by(b.nth, ({distance}) * 100000 + b.nth, 5) AS partners
-  FROM (SELECT * FROM chosen WHERE copies > 0) a JOIN few b ON b.nth <= 20000
-    AND a.order_item_id <> b.order_item_id GROUP BY a.order_item_id),
+near AS MATERIALIZED (SELECT a.order_item_id,
+    min_by(b.nth, ({distance})::HUGEINT * 10000000000 + b.nth, 5) AS partners
+  FROM (SELECT * FROM chosen WHERE copies > 0) a JOIN few b ON a.order_item_id <> b.order_item_id
+  GROUP BY a.order_item_id),
 steps AS (SELECT c.*, copy,
     CAST('0x' || substr(md5(concat_ws('#', order_item_id, copy, 42)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u,
     CAST('0x' || substr(md5(concat_ws('#', order_item_id, copy, 43)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS t

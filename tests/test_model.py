@@ -4,6 +4,7 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -60,6 +61,47 @@ def test_partners_are_those_of_a_plain_search(spark, pool_rows):
         assert r["partners"] == [x[j].tolist() for _, j in near]
 
 
+def test_neighbours_beyond_the_first_twenty_thousand_rows_are_found(spark):
+    # far apart pairs of rows: the nearest other row is always the twin
+    near = spark.range(21_000).select(
+        F.concat(F.lit("a"), "id").alias("order_item_id"), F.lit(0).alias("y"),
+        F.array(F.floor(F.col("id") / 2).cast("double"), (F.col("id") % 2) / 8.0).alias("x"))
+    rest = spark.range(21_300).select(
+        F.concat(F.lit("b"), "id"), F.lit(1), F.array(F.lit(0.0), F.lit(0.0)))
+    df = near.unionAll(rest).select("order_item_id", "y", array_to_vector("x").alias("features"))
+    made = oversample.oversample(df, "y", k=1).where("parent is not null").select("parent", "partner").collect()
+    assert len(made) == 300
+    for r in made:
+        i = int(r["parent"][1:])
+        assert r["partner"] == [float(i // 2), (1 - i % 2) / 8]
+
+
+def test_a_cell_thins_equal_points_and_finds_the_same(monkeypatch):
+    monkeypatch.setattr(oversample, "CELL_ROWS", 40)
+    monkeypatch.setattr(oversample, "BOX_ROWS", 8)
+    monkeypatch.setattr(oversample, "SOUGHT_ROWS", 16)
+    rng = np.random.default_rng(8)
+    # half of the rows are one point, keys come back and some are missing
+    x = np.where(rng.random((600, 1)) < 0.5, 0.25, rng.integers(0, 9, (600, 3)) / 4)
+    keys = [None if i % 50 == 0 else f"k{i % 37}" if x[i, 0] == 0.25 else f"p{i}" for i in range(600)]
+    gathered = oversample.Gathered(3, 4)
+    for at in range(0, 600, 7):
+        part = slice(at, at + 7)
+        gathered.add(x[part], pa.array(keys[part], pa.string()), pa.array(range(at, min(at + 7, 600)), pa.int64()))
+    cell = gathered.cell()
+    assert len(cell.points) < 500
+    within = np.where(np.arange(600) % 3 == 0, 200_000.0, np.inf)
+    seekers = pa.RecordBatch.from_pydict({
+        "x": pa.array(x.tolist()), "key": pa.array(keys, pa.string()), "within": pa.array(within),
+        "order": pa.nulls(600, pa.int64())})
+    found, limit = gathered.neighbours(cell, seekers)
+    for i, got in enumerate(found.to_pylist()):
+        far = ((np.floor(x * 1024 + 0.5) - np.floor(x[i] * 1024 + 0.5)) ** 2).sum(1)
+        near = sorted((far[j], j) for j in range(600) if keys[j] != keys[i] and far[j] <= within[i])[:4]
+        assert [(p["d"], p["order"], p["x"]) for p in got] == [(d, j, x[j].tolist()) for d, j in near]
+        assert limit[i] == (near[3][0] if len(near) == 4 else within[i])
+
+
 def balanced_rows(spark, n_small, n_large, distinct):
     rng = np.random.default_rng(2)
     rows = [(f"a{i}", 0, rng.normal(0, 1, 4).round(distinct).tolist()) for i in range(n_small)]
