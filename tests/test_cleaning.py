@@ -12,6 +12,7 @@ from millrace import registry
 from millrace.operators import cleaning, features, quality
 from millrace.plans.etl import clean_orders
 from millrace.session import new_folder
+from millrace.sources import tables
 from millrace.sources.fixtures import mart, mart_to_extract, mart_with_gaps, orders, products
 from tests.conftest import SF_DIR
 
@@ -229,3 +230,26 @@ def test_features_are_stored_compressed(spark, monkeypatch):
     registry.queries()["src_features_csv"](spark, SF_DIR)
     parts = [f for f in os.listdir(stored[0]) if f.startswith("part-")]
     assert parts and all(f.endswith(".csv.gz") for f in parts)
+
+
+def test_flat_export_deals_orders_once_more(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = spark.range(40).select(
+            F.col("id").alias("order_id"), (F.col("id") % 3).alias("customer_id"), (F.col("id") % 5).alias("product_id"),
+            F.lit("x").alias("market")).repartition(8, "product_id")
+        who = spark.range(2).select(
+            F.col("id").alias("customer_id"), *[F.lit(c).alias(c) for c in (
+                "customer_fname", "customer_lname", "customer_segment", "customer_country", "latitude", "longitude")])
+        what = spark.range(4).select(
+            F.col("id").alias("product_id"), *[F.lit(c).alias(c) for c in (
+                "product_name", "category_name", "department_name", "product_price")])
+        flat = tables.flat_export(dealt, who, what)
+        # once as given, once by customer, and each of the small tables
+        assert len(re.findall(r"Exchange hashpartitioning\(product_id", plan(flat))) == 2
+        assert len(re.findall(r"Exchange hashpartitioning\(customer_id", plan(flat))) == 2
+        rows = {r["order_id"]: r for r in flat.collect()}
+        assert len(rows) == 40 and rows[2]["customer_fname"] is None and rows[4]["product_name"] is None
+        assert flat.columns == ["product_id", "customer_id", "order_id", "market", *who.columns[1:], *what.columns[1:]]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
